@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
-from marginalia.functions.segments import segments
+from marginalia.functions.segments import let, segments
 from marginalia.operators import coref, entities, segmentation, tagging
 from marginalia.plans import annotate as plan
 from marginalia.sources.documents import scan_documents, spread
@@ -101,12 +101,12 @@ def damaged(spark: SparkSession, folder: str) -> DataFrame:
 def tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Edges and leaves of a three-level tree per sentence: S, runs of a class, tags."""
     rows = tagged(spark, folder)
-    letter = lambda t: (F.when(t["tag"].isin(*tagging.NP_TAGS), F.lit("n"))
-                        .when(t["tag"].startswith("VB"), F.lit("v")).otherwise(F.lit("o")))
-    classes = F.array_join(F.transform("toks", letter), "")
+    nominal = ", ".join(f"'{tag}'" for tag in tagging.NP_TAGS)
+    classes = (f"array_join(transform(toks, t -> CASE WHEN t.tag IN ({nominal}) THEN 'n'"
+               f" WHEN startswith(t.tag, 'VB') THEN 'v' ELSE 'o' END), '')")
     rows = rows.where(F.size("toks") > 0).select(
         "doc_id", (F.col("sent_no") * S.SENTENCE_ID_STEP).alias("s"), "toks",
-        segments(classes, "n+|v+|o+").alias("runs"))
+        F.expr(let("classes", classes, segments("classes", "n+|v+|o+"))).alias("runs"))
     name = lambda r: (F.when(r["text"].startswith("n"), F.lit("NP"))
                       .when(r["text"].startswith("v"), F.lit("VP")).otherwise(F.lit("X")))
     root = F.array(F.struct(F.col("s").alias("node_id"), F.lit(None).cast("bigint").alias("parent_id"),

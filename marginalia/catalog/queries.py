@@ -269,7 +269,7 @@ def ne_from_labels_unflushed(spark, folder):
 @query
 def rebase_spans(spark, folder):
     sents = segmentation.sentences(inputs.docs(spark, folder))
-    found = F.posexplode(segmentation.token_spans(F.col("text"))).alias("no", "t")
+    found = F.posexplode(F.expr(segmentation.token_spans("`text`"))).alias("no", "t")
     local = sents.select("doc_id", "sent_no", found).select(
         "doc_id", "sent_no", (F.col("no") + 1).cast("bigint").alias("tok_no"), "t.start", "t.end")
     return spans.rebase_spans(local, sents, ["doc_id", "sent_no"])

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.functions.segments import matches
+from marginalia.functions.segments import matches, quoted
 
 # Entity patterns; the entity types without one come from word lists.
 PATTERNS = {
@@ -21,13 +21,11 @@ def pattern_entities(docs: DataFrame, patterns: dict[str, str] = PATTERNS) -> Da
     """``doc_id, type, start, end, text`` of all matches; one pass over the text."""
     any_hit = reduce(lambda a, b: a | b, [F.col("text").rlike(p) for p in patterns.values()])
 
-    def of_type(name: str, pattern: str):
-        return F.transform(matches(F.col("text"), pattern), lambda m: F.struct(
-            F.lit(name).alias("type"), m["start"].alias("start"), m["end"].alias("end"),
-            m["text"].alias("text")))
-
-    found = [of_type(name, pattern) for name, pattern in patterns.items()]
-    return docs.where(any_hit).select("doc_id", F.explode(F.concat(*found)).alias("e")).select(
+    found = [f"transform({matches('`text`', pattern)}, m -> struct({quoted(name)} AS type,"
+             f" m.`start` AS `start`, m.`end` AS `end`, m.`text` AS `text`))"
+             for name, pattern in patterns.items()]
+    listed = F.expr(f"concat({', '.join(found)})")
+    return docs.where(any_hit).select("doc_id", F.explode(listed).alias("e")).select(
         "doc_id", "e.type", "e.start", "e.end", "e.text")
 
 

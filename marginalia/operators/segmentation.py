@@ -8,12 +8,12 @@ a join or a shuffle.  Given a stored layer, its text is fetched first with
 from bisect import bisect_right
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
-from marginalia.functions.segments import BLANK, chars, is_blank, segments
+from marginalia.functions.segments import BLANK, is_blank, segments
 from marginalia.operators.spans import covered_text
 from marginalia.schema import MAX_DOCUMENT_NUMBER, MAX_SENTENCE_TOKENS
 
@@ -26,25 +26,24 @@ TOKEN_PATTERN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_ \t\n\x0B\f\r]|{BLANK}+"
 BREAKS = (";", ":", ",", ".")
 
 
-def paragraph_spans(text: Column) -> Column:
-    return segments(text, PARAGRAPH_PATTERN, drop=lambda s: F.ascii(s) == 10)
+def paragraph_spans(text: str) -> str:
+    return segments(text, PARAGRAPH_PATTERN, drop="ascii(piece) = 10")
 
 
-def sentence_spans(text: Column, base: Column | None = None) -> Column:
+def sentence_spans(text: str, base: str = "0L") -> str:
     """Sentences of one paragraph: a one-character tail without a stop is dropped."""
-    base = F.lit(0).cast("bigint") if base is None else base
     found = segments(text, SENTENCE_PATTERN, base=base)
-    return F.filter(found, lambda s: (s["start"] == base) | (chars(s["text"]) > 1)
-                    | s["text"].rlike("[.!?]"))
+    return (f"filter({found}, s -> s.`start` = {base} OR length(s.`text`) > 1"
+            f" OR s.`text` RLIKE '[.!?]')")
 
 
-def token_spans(text: Column, base: Column | None = None) -> Column:
-    return segments(text, TOKEN_PATTERN, drop=is_blank, base=base)
+def token_spans(text: str, base: str = "0L") -> str:
+    return segments(text, TOKEN_PATTERN, drop=is_blank("piece"), base=base)
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """``doc_id, par_no, start, end, text``: the maximal runs without a newline."""
-    return docs.select("doc_id", F.posexplode(paragraph_spans(F.col("text"))).alias("no", "p")).select(
+    return docs.select("doc_id", F.posexplode(F.expr(paragraph_spans("text"))).alias("no", "p")).select(
         "doc_id", F.col("no").cast("bigint").alias("par_no"), "p.start", "p.end", "p.text")
 
 
@@ -53,7 +52,7 @@ def default_paragraph(docs: DataFrame, pars: DataFrame) -> DataFrame:
     bare = docs.join(pars.select("doc_id").distinct(), "doc_id", "left_anti")
     covering = bare.select("doc_id", F.lit(0).cast("bigint").alias("par_no"),
                            F.lit(0).cast("bigint").alias("start"),
-                           (chars(F.col("text")) - 1).alias("end"))
+                           (F.length("text").cast("bigint") - 1).alias("end"))
     return pars.select("doc_id", "par_no", "start", "end").unionByName(covering)
 
 
@@ -64,7 +63,7 @@ def sentences(docs: DataFrame, pars: DataFrame | None = None) -> DataFrame:
     if "text" not in pars.columns:
         pars = covered_text(pars.select("doc_id", "par_no", "start", "end"), docs)
     cut = pars.select("doc_id", "par_no", F.col("start").alias("par_start"),
-                      sentence_spans(F.col("text"), F.col("start")).alias("found"))
+                      F.expr(sentence_spans("`text`", "`start`")).alias("found"))
     # One row per paragraph: the window sorts paragraphs, not sentences.
     before = F.sum(F.size("found")).over(
         W.partitionBy("doc_id").orderBy("par_start", "par_no")) - F.size("found")
@@ -75,13 +74,10 @@ def sentences(docs: DataFrame, pars: DataFrame | None = None) -> DataFrame:
 
 
 def _sentences_of_documents(docs: DataFrame) -> DataFrame:
-    def of_paragraph(p, no):
-        return F.transform(sentence_spans(p["text"], p["start"]), lambda s: F.struct(
-            no.cast("bigint").alias("par_no"), s["start"].alias("start"),
-            s["end"].alias("end"), s["text"].alias("text")))
-
-    found = F.flatten(F.transform(paragraph_spans(F.col("text")), of_paragraph))
-    return docs.select("doc_id", F.posexplode(found).alias("no", "s")).select(
+    found = (f"flatten(transform({paragraph_spans('`text`')}, (p, no) -> transform("
+             f"{sentence_spans('p.`text`', 'p.`start`')}, s -> struct(CAST(no AS BIGINT) AS par_no,"
+             f" s.`start` AS `start`, s.`end` AS `end`, s.`text` AS `text`))))")
+    return docs.select("doc_id", F.posexplode(F.expr(found)).alias("no", "s")).select(
         "doc_id", "s.par_no", F.col("no").cast("bigint").alias("sent_no"),
         "s.start", "s.end", "s.text")
 
@@ -110,7 +106,7 @@ def tokens(docs: DataFrame, sents: DataFrame | None = None) -> DataFrame:
         sents = sentences(docs)
     elif "text" not in sents.columns:
         sents = covered_text(sents.select("doc_id", "sent_no", "start", "end"), docs)
-    found = token_spans(F.col("text"), F.col("start"))
+    found = F.expr(token_spans("`text`", "`start`"))
     return sents.select("doc_id", "sent_no", F.posexplode(found).alias("no", "t")).select(
         "doc_id", "sent_no", (F.col("no") + 1).cast("bigint").alias("tok_no"),
         "t.start", "t.end", "t.text")
@@ -194,7 +190,7 @@ def document_number(docs: DataFrame, numbered: DataFrame | None = None,
     if numbered is not None:
         docs = docs.join(numbered.select("doc_id"), "doc_id", "left_anti")
     spark = docs.sparkSession
-    keyed = docs.select("doc_id", chars(F.col("text")).alias("end"))
+    keyed = docs.select("doc_id", F.length("text").cast("bigint").alias("end"))
     # The counts and the rows must come from one and the same sort.
     slots = durable(keyed.sort("doc_id").withColumn("slot", F.monotonically_increasing_id()),
                     "document-number")

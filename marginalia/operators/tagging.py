@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marginalia.functions.segments import runs
-from marginalia.operators.segmentation import token_spans
+from marginalia.functions.segments import let, quoted, segments
+from marginalia.operators.segmentation import sentences, token_spans
 from marginalia.operators.spans import overlap_join
 
 # The tag of closed-class words.
@@ -35,32 +35,29 @@ SUFFIXES = [("ing", "VBG"), ("ed", "VBD"), ("ly", "RB"), ("s", "NNS"),
 # Tags a noun phrase is made of, and those it needs one of.
 NP_TAGS = ("DT", "PRP$", "JJ", "CD", "NN", "NNS", "NNP")
 NOUN_TAGS = ("NN", "NNS", "NNP")
+# What makes a token a word, and a word a name.
+SIGN_FREE = r"[\p{L}\p{N}_]"
+CAPITAL = r"^\p{Lu}"
 # The label of a tag; all others are O.
 LABELS = {"NNP": "NAME", "CD": "NUMBER"}
 
 
-def _first(*choices: Column) -> Column:
-    return F.coalesce(*choices)
+def _any(words) -> str:
+    return "(" + ", ".join(quoted(w) for w in words) + ")"
 
 
-def _by_sign(text: Column) -> Column:
-    sign = (F.when(text.isin(".", "!", "?"), F.lit("."))
-            .when(text.isin(",", ":", ";"), text).otherwise(F.lit("SYM")))
-    return F.when(~text.rlike(r"[\p{L}\p{N}_]"), sign)
+_BUILT_IN = [f"WHEN {{low}} IN {_any(words)} THEN {quoted(tag)}" for tag, words in LEXICON.items()]
 
 
-def _by_ending(text: Column, low: Column, tok_no: Column, suffixes) -> list[Column]:
-    return [*[F.when((F.length(text) > 4) & F.endswith(low, F.lit(end)), F.lit(tag))
-              for end, tag in suffixes],
-            F.when((tok_no > 1) & text.rlike(r"^\p{Lu}"), F.lit("NNP")),
-            F.lit("NN")]
-
-
-def tag_of(text: Column, low: Column, tok_no: Column, suffixes=SUFFIXES) -> Column:
-    """The tag of a token by the built-in rules; ``low`` is its lower case."""
-    words = [F.when(low.isin(*listed), F.lit(tag)) for tag, listed in LEXICON.items()]
-    digits = F.when(text.rlike("^[0-9]+$"), F.lit("CD"))
-    return _first(_by_sign(text), digits, *words, *_by_ending(text, low, tok_no, suffixes))
+def tag_of(text: str, low: str, tok_no: str, suffixes=SUFFIXES, words=_BUILT_IN) -> str:
+    """The tag of a token, as SQL; ``low`` is its lower case, ``words`` the lexicon rules."""
+    listed = " ".join(words).format(low=low)
+    endings = " ".join(f"WHEN length({text}) > 4 AND endswith({low}, {quoted(end)}) THEN {quoted(tag)}"
+                       for end, tag in suffixes)
+    return (f"CASE WHEN {text} IN ('.', '!', '?') THEN '.' WHEN {text} IN (',', ':', ';') THEN {text}"
+            f" WHEN NOT {text} RLIKE {quoted(SIGN_FREE)} THEN 'SYM'"
+            f" WHEN {text} RLIKE '^[0-9]+$' THEN 'CD' {listed} {endings}"
+            f" WHEN {tok_no} > 1 AND {text} RLIKE {quoted(CAPITAL)} THEN 'NNP' ELSE 'NN' END")
 
 
 def pos_tags(toks: DataFrame, lexicon: DataFrame | None = None, suffixes=SUFFIXES) -> DataFrame:
@@ -69,35 +66,31 @@ def pos_tags(toks: DataFrame, lexicon: DataFrame | None = None, suffixes=SUFFIXE
     A lexicon of any size will do: Spark broadcasts a small one, and splits the
     partitions of frequent words when it has to shuffle.
     """
-    text, tok_no = F.col("text"), F.col("tok_no")
     if lexicon is None:
-        return toks.withColumn("tag", tag_of(text, F.lower(text), tok_no, suffixes))
+        return toks.withColumn("tag", F.expr(tag_of("`text`", "lower(`text`)", "tok_no", suffixes)))
     words = lexicon.groupBy("word").agg(F.min("tag").alias("tag"))
     exact = words.select(F.col("word").alias("text"), F.col("tag").alias("_exact"))
     lower = words.select(F.col("word").alias("_lower"), F.col("tag").alias("_folded"))
-    digits = F.when(text.rlike("^[0-9]+$"), F.lit("CD"))
+    rules = [f"WHEN {c} IS NOT NULL THEN {c}" for c in ("_exact", "_folded")]
     return (toks.join(exact, "text", "left")
             .withColumn("_lower", F.lower("text")).join(lower, "_lower", "left")
-            .withColumn("tag", _first(_by_sign(text), digits, F.col("_exact"), F.col("_folded"),
-                                      *_by_ending(text, F.col("_lower"), tok_no, suffixes)))
+            .withColumn("tag", F.expr(tag_of("`text`", "_lower", "tok_no", suffixes, rules)))
             .select(*toks.columns, "tag"))
 
 
 def tagged_tokens(sents: DataFrame) -> DataFrame:
     """Sentences with ``toks``, an array of ``{start,end,text,tag}``: one row per sentence."""
-    found = token_spans(F.col("text"), F.col("start"))
+    span = "t.`start` AS `start`, t.`end` AS `end`, t.`text` AS `text`"
     # Lambdas share no common subexpressions: fold the case once, before the rules.
-    folded = F.transform(found, lambda t: F.struct(
-        t["start"].alias("start"), t["end"].alias("end"), t["text"].alias("text"),
-        F.lower(t["text"]).alias("low")))
-    tagged = F.transform(folded, lambda t, i: F.struct(
-        t["start"].alias("start"), t["end"].alias("end"), t["text"].alias("text"),
-        tag_of(t["text"], t["low"], i + 1).alias("tag")))
-    return sents.withColumn("toks", tagged)
+    folded = (f"transform({token_spans('`text`', '`start`')},"
+              f" t -> struct({span}, lower(t.`text`) AS low))")
+    tag = tag_of("t.`text`", "t.low", "i + 1")
+    return sents.withColumn("toks", F.expr(
+        f"transform({folded}, (t, i) -> struct({span}, {tag} AS tag))"))
 
 
 def label_of(tag: Column) -> Column:
-    return _first(*[F.when(tag == t, F.lit(label)) for t, label in LABELS.items()], F.lit("O"))
+    return F.coalesce(*[F.when(tag == t, F.lit(label)) for t, label in LABELS.items()], F.lit("O"))
 
 
 def token_labels(pos: DataFrame) -> DataFrame:
@@ -125,46 +118,40 @@ def ne_from_labels(labelled: DataFrame, flush_last: bool = True) -> DataFrame:
     return found.where(kept).select("doc_id", "type", "start", "end")
 
 
-def label_runs(toks: Column) -> Column:
+def label_runs(toks: str = "toks") -> str:
     """The same runs inside a sentence row: array of ``{type,start,end}``."""
-    letter = {"NAME": "A", "NUMBER": "C"}
-    classes = F.array_join(F.transform(toks, lambda t: _first(
-        *[F.when(t["tag"] == tag, F.lit(letter[label])) for tag, label in LABELS.items()],
-        F.lit("o"))), "")
-    found = F.filter(runs(classes, "A+|C+|o+"), lambda r: ~r["text"].startswith("o"))
-    return F.transform(found, lambda r: F.struct(
-        F.when(r["text"].startswith("A"), F.lit("NAME")).otherwise(F.lit("NUMBER")).alias("type"),
-        toks[r["start"].cast("int")]["start"].alias("start"),
-        toks[(r["end"] - 1).cast("int")]["end"].alias("end")))
+    letters = {"NAME": "A", "NUMBER": "C"}
+    cases = " ".join(f"WHEN {quoted(t)} THEN {quoted(letters[label])}" for t, label in LABELS.items())
+    classes = f"array_join(transform({toks}, t -> CASE t.tag {cases} ELSE 'o' END), '')"
+    found = let("classes", classes, segments("classes", "A+|C+|o+"))
+    names = " ".join(f"WHEN {quoted(letter)} THEN {quoted(label)}" for label, letter in letters.items())
+    return (f"transform(filter({found}, r -> NOT startswith(r.`text`, 'o')), r -> struct("
+            f"CASE left(r.`text`, 1) {names} END AS type,"
+            f" {toks}[CAST(r.`start` AS INT)].`start` AS `start`,"
+            f" {toks}[CAST(r.`end` - 1 AS INT)].`end` AS `end`))")
 
 
-def noun_phrase_spans(toks: Column) -> Column:
-    """Noun phrases of a sentence row: array of ``{start,end,head,head_no,text}``.
+def noun_phrase_spans(toks: str = "toks") -> str:
+    """Noun phrases of a sentence row: array of ``{start,end,head,head_no}``.
 
     Each token becomes one letter, and a phrase is a run of letters: phrase tags
-    with a noun among them, or a single pronoun.
+    with a noun among them, or a single pronoun.  What follows the last noun of
+    a run is cut off to find the head.
     """
-    classes = F.array_join(F.transform(toks, lambda t: (
-        F.when(t["tag"].isin(*NOUN_TAGS), F.lit("N"))
-        .when(t["tag"].isin(*NP_TAGS), F.lit("d"))
-        .when(t["tag"] == "PRP", F.lit("P")).otherwise(F.lit("o")))), "")
-    found = F.filter(runs(classes, "[dN]+|P|o+"), lambda r: r["text"].rlike("[NP]"))
-
-    def phrase(r):
-        # What follows the last noun of the run is cut off to find the head.
-        head_no = r["start"] + F.length(F.rtrim(r["text"], F.lit("d")))
-        first, last = toks[r["start"].cast("int")], toks[(r["end"] - 1).cast("int")]
-        return F.struct(first["start"].alias("start"), last["end"].alias("end"),
-                        toks[(head_no - 1).cast("int")]["text"].alias("head"),
-                        head_no.cast("bigint").alias("head_no"))
-
-    return F.transform(found, phrase)
+    classes = (f"array_join(transform({toks}, t -> CASE WHEN t.tag IN {_any(NOUN_TAGS)} THEN 'N'"
+               f" WHEN t.tag IN {_any(NP_TAGS)} THEN 'd' WHEN t.tag = 'PRP' THEN 'P' ELSE 'o' END), '')")
+    found = let("classes", classes, segments("classes", "[dN]+|P|o+"))
+    head_no = "r.`start` + length(trim(TRAILING 'd' FROM r.`text`))"
+    return (f"transform(filter({found}, r -> r.`text` RLIKE '[NP]'), r -> struct("
+            f"{toks}[CAST(r.`start` AS INT)].`start` AS `start`,"
+            f" {toks}[CAST(r.`end` - 1 AS INT)].`end` AS `end`,"
+            f" {toks}[CAST({head_no} - 1 AS INT)].`text` AS head, {head_no} AS head_no))")
 
 
 def sentence_noun_phrases(tagged: DataFrame) -> DataFrame:
     """``doc_id, sent_no, start, end, text, head, head_no`` of rows with ``text`` and ``toks``."""
     np = tagged.select("doc_id", "sent_no", F.col("start").alias("_base"), "text",
-                       F.explode(noun_phrase_spans(F.col("toks"))).alias("np"))
+                       F.explode(F.expr(noun_phrase_spans())).alias("np"))
     text = F.substring(F.col("text"), (F.col("np.start") - F.col("_base") + 1).cast("int"),
                        (F.col("np.end") - F.col("np.start")).cast("int"))
     return np.select("doc_id", "sent_no", "np.start", "np.end", text.alias("text"),
@@ -178,8 +165,11 @@ def number_phrases(nps: DataFrame) -> DataFrame:
         "doc_id", "ce_id", "sent_no", "start", "end", "text", "head", "head_no")
 
 
-def add_entities(nps: DataFrame, ents: DataFrame, sents: DataFrame) -> DataFrame:
-    """Noun phrases and those entities that overlap none of them."""
+def add_entities(nps: DataFrame, ents: DataFrame, docs: DataFrame) -> DataFrame:
+    """Noun phrases and those entities that overlap none of them.
+
+    Only documents with such an entity are cut into sentences again, to place it.
+    """
     places = ents.select("doc_id", "start", "end", "text").distinct()
     taken = overlap_join(places, nps.select("doc_id", "start", "end")).select(
         "doc_id", F.col("a_start").alias("start"), F.col("a_end").alias("end")).distinct()
@@ -189,6 +179,7 @@ def add_entities(nps: DataFrame, ents: DataFrame, sents: DataFrame) -> DataFrame
                               .rowsBetween(W.unboundedPreceding, -1))
     free = free.withColumn("_reach", reach).where(
         F.col("_reach").isNull() | (F.col("_reach") <= F.col("start"))).drop("_reach")
+    sents = sentences(docs.join(free.select("doc_id"), "doc_id", "left_semi"))
     placed = overlap_join(free, sents.select("doc_id", "sent_no", "start", "end")).groupBy(
         "doc_id", "a_start", "a_end", "a_text").agg(F.min("b_sent_no").alias("sent_no"))
     extra = placed.select(
@@ -201,12 +192,10 @@ def add_entities(nps: DataFrame, ents: DataFrame, sents: DataFrame) -> DataFrame
 def base_noun_phrases(docs: DataFrame, sents: DataFrame | None = None,
                       ents: DataFrame | None = None) -> DataFrame:
     """``doc_id, ce_id, sent_no, start, end, text, head, head_no`` of documents."""
-    from marginalia.operators.segmentation import sentences
-
     sents = sentences(docs) if sents is None else sents
     nps = sentence_noun_phrases(tagged_tokens(sents))
     if ents is not None:
-        nps = add_entities(nps, ents, sents)
+        nps = add_entities(nps, ents, docs)
     return number_phrases(nps)
 
 
@@ -217,5 +206,5 @@ def noun_phrases_of_tokens(pos: DataFrame) -> DataFrame:
     """
     listed = F.array_sort(F.collect_list(F.struct("tok_no", "start", "end", "text", "tag")))
     rows = pos.groupBy("doc_id", "sent_no").agg(listed.alias("toks"))
-    np = rows.select("doc_id", "sent_no", F.explode(noun_phrase_spans(F.col("toks"))).alias("np"))
+    np = rows.select("doc_id", "sent_no", F.explode(F.expr(noun_phrase_spans())).alias("np"))
     return np.select("doc_id", "sent_no", "np.start", "np.end", "np.head", "np.head_no")

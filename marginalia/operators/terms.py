@@ -3,7 +3,12 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.operators.segmentation import tokens
+from marginalia.operators.segmentation import (
+    paragraph_spans,
+    sentence_spans,
+    token_spans,
+    tokens,
+)
 
 
 def terms_of(text: Column) -> Column:
@@ -26,11 +31,9 @@ def term_counts(df: DataFrame, col: str = "text", key=("doc_id",)) -> DataFrame:
 
 def token_list(docs: DataFrame) -> DataFrame:
     """``doc_id, terms``: sentence-aware tokens in order, case kept, nothing filtered."""
-    from marginalia.operators.segmentation import sentence_spans, paragraph_spans, token_spans
-
-    of_sentence = lambda s: F.transform(token_spans(s["text"]), lambda t: t["text"])
-    of_paragraph = lambda p: F.flatten(F.transform(sentence_spans(p["text"]), of_sentence))
-    found = F.flatten(F.transform(paragraph_spans(F.col("text")), of_paragraph))
+    of_sentence = f"transform({token_spans('s.`text`')}, t -> t.`text`)"
+    of_paragraph = f"flatten(transform({sentence_spans('p.`text`')}, s -> {of_sentence}))"
+    found = F.expr(f"flatten(transform({paragraph_spans('`text`')}, p -> {of_paragraph}))")
     return docs.select("doc_id", F.coalesce(found, F.array().cast("array<string>")).alias("terms"))
 
 

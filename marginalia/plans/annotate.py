@@ -59,11 +59,19 @@ def token_layers(tagged: DataFrame) -> DataFrame:
         _token_items(S.POS, F.col("toks"), lambda t: t["tag"])))
 
 
+def text_layers(tagged: DataFrame) -> DataFrame:
+    """SENT, TOKEN and POS of sentence rows with ``toks``, in one pass."""
+    return _exploded(tagged, F.concat(
+        F.array(_sentence_item()),
+        _token_items(S.TOKEN, F.col("toks"), lambda t: F.lit("token")),
+        _token_items(S.POS, F.col("toks"), lambda t: t["tag"])))
+
+
 def multi_layer_annotate(docs: DataFrame) -> DataFrame:
     """SENT, TOKEN, POS and NE of documents in one pass over the text, without a shuffle."""
     tagged = tagging.tagged_tokens(sentences(docs))
     first = F.col("sent_no") * S.SENTENCE_ID_STEP + 1
-    named = F.transform(tagging.label_runs(F.col("toks")), lambda r, i: _item(
+    named = F.transform(F.expr(tagging.label_runs()), lambda r, i: _item(
         S.NE, first + i, r["start"], r["end"], r["type"], _attrs()))
     return _exploded(tagged, F.concat(
         F.array(_sentence_item()),
@@ -91,9 +99,15 @@ def with_state(docs: DataFrame, held: DataFrame, max_bytes: int = S.MAX_ROW_BYTE
 
 
 def _tagged(sents: DataFrame, max_sentences: int | None) -> DataFrame:
-    # Sentence numbers count from 0 without gaps, so the cap is a plain filter.
-    capped = sents if max_sentences is None else sents.where(F.col("sent_no") < max_sentences)
-    return tagging.tagged_tokens(capped)
+    """Sentence rows with tagged tokens; those behind the cap hold none.
+
+    Sentence numbers count from 0 without gaps, so the cap needs no window.
+    """
+    tagged = tagging.tagged_tokens(sents)
+    if max_sentences is None:
+        return tagged
+    return tagged.withColumn("toks", F.when(F.col("sent_no") < max_sentences, F.col("toks")).otherwise(
+        F.array().cast(tagged.schema["toks"].dataType)))
 
 
 def base_layers(docs: DataFrame, existing: DataFrame | None = None,
@@ -105,9 +119,8 @@ def base_layers(docs: DataFrame, existing: DataFrame | None = None,
     """
     if existing is None:
         docs = guarded(docs)
-        sents = sentences(docs)
-        return (paragraph_layer(paragraphs(docs)).unionByName(sentence_layer(sents))
-                .unionByName(token_layers(_tagged(sents, max_sentences))))
+        return paragraph_layer(paragraphs(docs)).unionByName(
+            text_layers(_tagged(sentences(docs), max_sentences)))
     state = with_state(docs, existing)
     whole = (F.col("has_TOKEN") & F.col("has_POS")).alias("_whole")
     kept = (existing.join(state.select("doc_id", whole), "doc_id")
@@ -124,29 +137,26 @@ def new_base_layers(state: DataFrame, held: DataFrame,
     layer to build on fetch its text.
     """
     has = {name: F.col(f"has_{name}") for name in S.BASE_SETS}
-    text_only = state.where(~has[S.PAR])
-    bare = sentences(text_only.where(~has[S.SENT]))
-
-    on_pars = state.where(has[S.PAR] & ~has[S.SENT])
-    stored_pars = held.where(F.col("set") == S.PAR).select(
-        "doc_id", F.col("ann_id").alias("par_no"), "start", "end")
-    from_pars = sentences(on_pars, stored_pars.join(on_pars.select("doc_id"), "doc_id", "left_semi"))
-    made = bare.unionByName(from_pars)
-
     # A token layer that is whole but has no sentences under it is left alone.
     wants_tokens = ~(has[S.TOKEN] & has[S.POS])
-    on_sents = state.where(has[S.SENT] & wants_tokens)
+    stored_pars = held.where(F.col("set") == S.PAR).select(
+        "doc_id", F.col("ann_id").alias("par_no"), "start", "end")
     stored_sents = held.where(F.col("set") == S.SENT).select(
         "doc_id", F.col("ann_id").alias("sent_no"), "start", "end")
-    stored_sents = covered_text(
-        stored_sents.join(on_sents.select("doc_id"), "doc_id", "left_semi"), on_sents)
-    columns = ["doc_id", "sent_no", "start", "end", "text"]
-    open_bare = sentences(text_only.where(~has[S.SENT] & wants_tokens)).select(*columns)
-    open_pars = from_pars.join(state.where(wants_tokens).select("doc_id"), "doc_id", "left_semi")
-    tagged = _tagged(open_bare.unionByName(open_pars.select(*columns)).unionByName(
-        stored_sents.select(*columns)), max_sentences)
-    return (paragraph_layer(paragraphs(text_only)).unionByName(sentence_layer(made))
-            .unionByName(token_layers(tagged)))
+    of = lambda spans, docs: spans.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+    def new_sentences(docs: DataFrame) -> DataFrame:
+        on_pars = docs.where(has[S.PAR])
+        return sentences(docs.where(~has[S.PAR])).unionByName(
+            sentences(on_pars, of(stored_pars, on_pars)))
+
+    no_sents = state.where(~has[S.SENT])
+    on_sents = state.where(has[S.SENT] & wants_tokens)
+    return (paragraph_layer(paragraphs(state.where(~has[S.PAR])))
+            .unionByName(text_layers(_tagged(new_sentences(no_sents.where(wants_tokens)), max_sentences)))
+            .unionByName(sentence_layer(new_sentences(no_sents.where(~wants_tokens))))
+            .unionByName(token_layers(_tagged(
+                covered_text(of(stored_sents, on_sents), on_sents), max_sentences))))
 
 
 def entity_layer(ents: DataFrame) -> DataFrame:
@@ -170,29 +180,26 @@ def annotate(docs: DataFrame, patterns: dict[str, str] = entities.PATTERNS,
              check_crossing: bool = False) -> tuple[DataFrame, DataFrame]:
     """All layers of ``docs`` in order, and the coreference links.
 
-    Base layers, entities and noun phrases are made inside the document's row.
-    The first shuffle moves noun phrases, to number them; the pairs meet by
-    sentence or by text after that.
+    Each step that later ones read is written out, so the text is gone through
+    once for each: phrases, entities, layers.  Entities are few beside phrases;
+    where they are small enough Spark broadcasts them and moves no phrase.
     """
     docs = guarded(docs)
-    sents = sentences(docs)
-    tagged = _tagged(sents, max_sentences)
+    tagged = _tagged(sentences(docs), max_sentences)
     toks = tagged.select("doc_id", F.explode("toks").alias("t")).select(
         "doc_id", "t.start", "t.end", "t.text")
-    ents = entities.named_entities(docs, toks, patterns, gazetteer)
-    phrases = tagging.add_entities(tagging.sentence_noun_phrases(tagged), ents, sents)
-    nps = tagging.number_phrases(phrases)
+    ents = durable(entities.named_entities(docs, toks, patterns, gazetteer), "entities")
+    found = durable(tagging.sentence_noun_phrases(tagged), "phrases")
+    nps = durable(tagging.number_phrases(tagging.add_entities(found, ents, docs)), "phrases")
     if check_crossing:
         require_no_crossing(nps)
-    layers = (paragraph_layer(paragraphs(docs)).unionByName(sentence_layer(sents))
-              .unionByName(token_layers(tagged)).unionByName(entity_layer(ents))
-              .unionByName(phrase_layer(nps)))
+    layers = (paragraph_layer(paragraphs(docs)).unionByName(text_layers(tagged))
+              .unionByName(entity_layer(ents)).unionByName(phrase_layer(nps)))
     return layers, coref_pairs(nps, weights)
 
 
 def coref_pairs(nps: DataFrame, weights: dict[str, float] = coref.WEIGHTS) -> DataFrame:
-    """Links of all candidate pairs; the phrases are numbered once, not once per use."""
-    nps = durable(nps, "phrases")
+    """Links of all candidate pairs of written phrases."""
     scored = coref.pair_scores(coref.candidate_features(nps), weights)
     return coref.coref_links(scored, nps)
 
