@@ -285,8 +285,9 @@ PARTS: dict[str, str] = {
     "feats": """
     SELECT p.doc_id, p.i, p.j, CAST(a.low = b.low AS BIGINT) AS exact,
            CAST(a.head = b.head AS BIGINT) AS head_match,
-           round(CAST(len(list_intersect(a.words, b.words)) AS DOUBLE)
-                 / len(list_distinct(list_concat(a.words, b.words))), 6) AS jaccard,
+           floor(CAST(len(list_intersect(a.words, b.words)) AS DOUBLE)
+                 / len(list_distinct(list_concat(a.words, b.words))) * 1000000.0::DOUBLE + 0.5::DOUBLE)
+               / 1000000.0::DOUBLE AS jaccard,
            b.sent_no - a.sent_no AS sent_dist,
            CAST(a.pronoun AND b.pronoun AS BIGINT) AS both_pronoun,
            CAST(a.pronoun OR b.pronoun AS BIGINT) AS either_pronoun,
@@ -294,11 +295,12 @@ PARTS: dict[str, str] = {
            CAST(contains(a.low, b.low) OR contains(b.low, a.low) AS BIGINT) AS substring
     FROM pairs p JOIN mention a ON a.doc_id = p.doc_id AND a.ce_id = p.i
     JOIN mention b ON b.doc_id = p.doc_id AND b.ce_id = p.j""",
-    "scored": "SELECT doc_id, i, j, round(" + " + ".join(
+    "scored": "SELECT doc_id, i, j, floor((" + " + ".join(
         f"CAST({w} AS DOUBLE)" + ("" if f == "bias" else f" * CAST({f} AS DOUBLE)")
-        for f, w in WEIGHTS.items()) + ", 6) AS weight FROM feats",
+        for f, w in WEIGHTS.items()) + ") * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS weight FROM feats",
     "links": """
-    SELECT DISTINCT s.doc_id, a.text AS left_entity, b.text AS right_entity, round(s.weight, 4) AS weight
+    SELECT DISTINCT s.doc_id, a.text AS left_entity, b.text AS right_entity, 
+           floor(s.weight * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE AS weight
     FROM scored s JOIN nps a ON a.doc_id = s.doc_id AND a.ce_id = s.i
     JOIN nps b ON b.doc_id = s.doc_id AND b.ce_id = s.j""",
     "strong": f"SELECT doc_id, i, j FROM scored WHERE weight >= {LINK_THRESHOLD}",

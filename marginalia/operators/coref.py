@@ -33,6 +33,12 @@ FEATURES = tuple(name for name in WEIGHTS if name != "bias")
 DISTANCE_STEPS = (0, 1, 2, 3)
 
 
+def _rounded(value: Column, digits: int) -> Column:
+    """Half up in plain double arithmetic, which every engine does alike."""
+    scale = F.lit(float(10 ** digits))
+    return F.floor(value * scale + 0.5).cast("double") / scale
+
+
 def _mention(nps: DataFrame) -> Column:
     low = F.lower("text")
     return F.struct(
@@ -81,7 +87,7 @@ def _feature_columns() -> dict[str, Column]:
     return {
         "exact": flag(a["low"] == b["low"]),
         "head_match": flag(a["head"] == b["head"]),
-        "jaccard": F.round(common.cast("double") / either, 6),
+        "jaccard": _rounded(common.cast("double") / either, 6),
         "sent_dist": b["sent_no"] - a["sent_no"],
         "both_pronoun": flag(a["pronoun"] & b["pronoun"]),
         "either_pronoun": flag(a["pronoun"] | b["pronoun"]),
@@ -133,7 +139,7 @@ def pair_scores(features: DataFrame, weights: dict[str, float] = WEIGHTS) -> Dat
     for name, weight in weights.items():
         term = F.lit(weight) if name == "bias" else F.lit(weight) * F.col(name).cast("double")
         total = term if total is None else total + term
-    return features.select("doc_id", "i", "j", F.round(total, 6).alias("weight"))
+    return features.select("doc_id", "i", "j", _rounded(total, 6).alias("weight"))
 
 
 def coref_links(scored: DataFrame, nps: DataFrame) -> DataFrame:
@@ -141,7 +147,7 @@ def coref_links(scored: DataFrame, nps: DataFrame) -> DataFrame:
     left = nps.select("doc_id", F.col("ce_id").alias("i"), F.col("text").alias("left_entity"))
     right = nps.select("doc_id", F.col("ce_id").alias("j"), F.col("text").alias("right_entity"))
     return (scored.join(left, ["doc_id", "i"]).join(right, ["doc_id", "j"])
-            .select("doc_id", "left_entity", "right_entity", F.round("weight", 4).alias("weight"))
+            .select("doc_id", "left_entity", "right_entity", _rounded(F.col("weight"), 4).alias("weight"))
             .distinct())
 
 
