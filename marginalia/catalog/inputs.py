@@ -21,7 +21,11 @@ CHECK_GAZETTEER = [
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(scan_documents(spark, folder))
+    """Documents within the text limit of the base jobs.
+
+    The limit bounds what windows and lists over one document can hold.
+    """
+    return spread(plan.guarded(scan_documents(spark, folder)))
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:

@@ -100,14 +100,15 @@ _ALL = _layers("pars", "sents", "pos")
 _KINDS = sorted(ENTITY_TYPES)
 
 _PATTERN_PARTS = {
-    f"ent_{name}": _cut(f"(SELECT doc_id, text FROM documents WHERE regexp_matches(text, '{p}'))",
+    f"ent_{name}": _cut(f"(SELECT doc_id, text FROM docs WHERE regexp_matches(text, '{p}'))",
                         "doc_id", "text", p + r"|[^0-9$€£]+|[\s\S]")
     for name, p in CHECK_PATTERNS.items()}
 
 _WORDS = "list_distinct(string_split_regex(trim(lower({0}.text)), ' +'))"
 
 PARTS: dict[str, str] = {
-    "par_cut": _cut("documents", "doc_id", "text", r"[^\n]+|\n+"),
+    "docs": "SELECT * FROM documents WHERE length(text) BETWEEN 1 AND 1048576",
+    "par_cut": _cut("docs", "doc_id", "text", r"[^\n]+|\n+"),
     "pars": r"""
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS par_no,
            start, "end", seg AS text FROM par_cut WHERE NOT starts_with(seg, chr(10))""",
@@ -168,9 +169,8 @@ PARTS: dict[str, str] = {
     "ann_np": """SELECT doc_id, 'NP' AS "set", ce_id AS ann_id, start, "end", 'np' AS type,
         '{"CE_ID":"' || ce_id || '"}' AS attrs FROM nps_ne""",
     # A store with gaps.
-    "cover": 'SELECT doc_id, 0 AS start, length(text) - 1 AS "end" FROM documents',
     "st_pars": """SELECT d.doc_id, CAST(0 AS BIGINT) AS par_no, CAST(0 AS BIGINT) AS start,
-        length(d.text) - 1 AS "end" FROM documents d SEMI JOIN labels l USING (doc_id)""",
+        length(d.text) - 1 AS "end" FROM docs d SEMI JOIN labels l USING (doc_id)""",
     "st_sents": "SELECT s.* FROM sents s SEMI JOIN (SELECT * FROM labels WHERE quality = 1) l USING (doc_id)",
     "st_toks": "SELECT s.* FROM pos s SEMI JOIN (SELECT * FROM labels WHERE toxic = 0) l USING (doc_id)",
     "st_pos": """SELECT s.* FROM pos s SEMI JOIN
@@ -184,7 +184,7 @@ PARTS: dict[str, str] = {
     "fill_src": """
     SELECT doc_id, par_no, start, "end", text FROM fill_pars
     UNION ALL SELECT p.doc_id, p.par_no, p.start, p."end", substring(d.text, p.start + 1, p."end" - p.start)
-    FROM st_pars p JOIN documents d USING (doc_id)""",
+    FROM st_pars p JOIN docs d USING (doc_id)""",
     "fill_open": """SELECT p.* FROM fill_src p ANTI JOIN (SELECT * FROM held WHERE "set" = 'SENT') h USING (doc_id)""",
     "fill_cut": _cut_sentences("(SELECT *, start AS start0 FROM fill_open)"),
     "fill_sents": _sentences("fill_open", "fill_cut"),
@@ -207,7 +207,7 @@ PARTS: dict[str, str] = {
                 WHEN length(t.text) = 13 THEN t.start
                 WHEN length(t.text) >= 14 THEN length(d.text) ELSE t."end" END AS "end",
            'token' AS type, '{}' AS attrs, length(d.text) AS n
-    FROM toks t JOIN documents d USING (doc_id)""",
+    FROM toks t JOIN docs d USING (doc_id)""",
     # Labels.
     "labelled": "SELECT *, CASE " + " ".join(
         f"WHEN tag = '{t}' THEN '{l}'" for t, l in LABELS.items()) + " ELSE 'O' END AS label FROM pos",
@@ -280,8 +280,9 @@ PARTS: dict[str, str] = {
     FROM nps n SEMI JOIN few USING (doc_id)""",
     "pairs": f"""
     SELECT a.doc_id, a.ce_id AS i, b.ce_id AS j FROM mention a JOIN mention b
-    ON a.doc_id = b.doc_id AND a.ce_id < b.ce_id
-    WHERE b.sent_no - a.sent_no <= {MAX_SENTENCE_GAP} OR a.low = b.low""",
+    ON a.doc_id = b.doc_id AND a.ce_id < b.ce_id WHERE b.sent_no - a.sent_no <= {MAX_SENTENCE_GAP}
+    UNION SELECT a.doc_id, max(a.ce_id), b.ce_id FROM mention a JOIN mention b
+    ON a.doc_id = b.doc_id AND a.low = b.low AND a.ce_id < b.ce_id GROUP BY a.doc_id, b.ce_id""",
     "feats": """
     SELECT p.doc_id, p.i, p.j, CAST(a.low = b.low AS BIGINT) AS exact,
            CAST(a.head = b.head AS BIGINT) AS head_match,
@@ -385,7 +386,7 @@ _GROUPED = "CASE " + " ".join(f"WHEN type IN {_in(kinds)} THEN '{name}'"
                               for name, kinds in RELATION_GROUPS.items()) + " ELSE type END"
 _GOV = "coalesce(gov, '') AS gov, coalesce(gov_id, -1) AS gov_id"
 _ROWSIZE = f"""SELECT doc_id, sum(bytes) AS bytes FROM (
-    SELECT doc_id, strlen(text) AS bytes FROM documents
+    SELECT doc_id, strlen(text) AS bytes FROM docs
     UNION ALL SELECT doc_id, strlen(data) AS bytes FROM ({_ROW})) GROUP BY doc_id"""
 
 SQL: dict[str, str] = {name: _sql(body) for name, body in {
@@ -417,9 +418,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         GROUP BY doc_id HAVING count(*) = 2""",
     "skip_done": """SELECT doc_id FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM held WHERE "set" = 'POS')""",
-    "skip_long_sentences": """SELECT doc_id FROM documents WHERE doc_id NOT IN (
+    "skip_long_sentences": """SELECT doc_id FROM docs WHERE doc_id NOT IN (
         SELECT doc_id FROM toks GROUP BY doc_id, sent_no HAVING count(*) > 100)""",
-    "skip_many_nps": """SELECT doc_id FROM documents WHERE doc_id NOT IN (
+    "skip_many_nps": """SELECT doc_id FROM docs WHERE doc_id NOT IN (
         SELECT doc_id FROM nps GROUP BY doc_id HAVING count(*) >= 1000)""",
     "cap_sentences": 'SELECT doc_id, sent_no, start, "end" FROM sents WHERE sent_no < 200',
     "cap_pairs": """SELECT doc_id, i, j FROM pairs
@@ -430,7 +431,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
             WHEN NOT list_contains(sets, 'TOKEN') THEN 'no TOKEN'
             WHEN list_contains(sets, 'POS') THEN 'has POS' ELSE 'ok' END AS reason, count(*) AS docs
         FROM (SELECT d.text, coalesce(list(h."set") FILTER (WHERE h."set" IS NOT NULL), []) AS sets
-              FROM documents d LEFT JOIN held h USING (doc_id) GROUP BY d.doc_id, d.text) GROUP BY reason""",
+              FROM docs d LEFT JOIN held h USING (doc_id) GROUP BY d.doc_id, d.text) GROUP BY reason""",
     "drop_empty_spans": """SELECT doc_id, "set", ann_id, start, least("end", n) AS "end", type, attrs
         FROM damaged WHERE start < least("end", n)""",
     "paragraphs": 'SELECT doc_id, par_no, start, "end" FROM pars',
@@ -473,7 +474,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "document_number": """SELECT doc_id, CAST(0 AS BIGINT) AS start, length(text) AS "end",
         (row_number() OVER (ORDER BY doc_id) - 1) % 32767 + 1 AS doc_no FROM documents""",
     "default_paragraph": """SELECT p.doc_id, p.par_no, p.start, p."end" FROM pars p SEMI JOIN labels l USING (doc_id)
-        UNION ALL SELECT d.doc_id, 0, 0, length(d.text) - 1 FROM documents d ANTI JOIN labels l USING (doc_id)""",
+        UNION ALL SELECT d.doc_id, 0, 0, length(d.text) - 1 FROM docs d ANTI JOIN labels l USING (doc_id)""",
     "overlap_join": """SELECT t.doc_id, t.start AS a_start, t."end" AS a_end, s.start AS b_start, s."end" AS b_end,
             s.sent_no AS b_sent_no
         FROM toks t JOIN sents s ON s.doc_id = t.doc_id AND t.start < s."end" AND t."end" > s.start""",
@@ -481,7 +482,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
             s.ce_id AS b_ce_id
         FROM toks t JOIN nps s ON s.doc_id = t.doc_id AND t.start >= s.start AND t."end" <= s."end" """,
     "covered_text": """SELECT s.doc_id, s.start, s."end", substring(d.text, s.start + 1, s."end" - s.start) AS text
-        FROM sents s JOIN documents d USING (doc_id)""",
+        FROM sents s JOIN docs d USING (doc_id)""",
     "crossing_spans": """SELECT a.doc_id, a.start AS a_start, y."end" AS a_end, y.start AS b_start, z."end" AS b_end
         FROM toks a JOIN toks y ON y.doc_id = a.doc_id AND y.sent_no = a.sent_no AND y.tok_no = a.tok_no + 1
         JOIN toks z ON z.doc_id = a.doc_id AND z.sent_no = a.sent_no AND z.tok_no = a.tok_no + 2""",
@@ -503,22 +504,22 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "np_log10_histogram": """SELECT CASE WHEN n >= 1000 THEN 3 WHEN n >= 100 THEN 2 WHEN n >= 10 THEN 1 ELSE 0 END::BIGINT
         AS bucket, count(*) AS docs FROM (SELECT count(*) AS n FROM nps GROUP BY doc_id) GROUP BY bucket""",
     "tag_counts": 'SELECT "set", type, count(*) AS n FROM ann GROUP BY "set", type',
-    "job_counters": """SELECT 'base annotation' AS "group", 'rows' AS name, count(*) AS count FROM documents
+    "job_counters": """SELECT 'base annotation' AS "group", 'rows' AS name, count(*) AS count FROM docs
         UNION ALL SELECT 'base annotation', 'has ' || "set", count(*) FROM held GROUP BY "set"
-        UNION ALL SELECT 'base annotation', 'add ' || s, count(*) FROM documents d
+        UNION ALL SELECT 'base annotation', 'add ' || s, count(*) FROM docs d
         CROSS JOIN (VALUES ('PAR'), ('SENT'), ('TOKEN'), ('POS')) AS t(s)
         WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.doc_id = d.doc_id AND h."set" = s) GROUP BY s""",
     "error_counts": """SELECT error, count(*) AS docs FROM (SELECT doc_id, min(CASE WHEN start > n THEN 'start behind text'
             WHEN "end" > n THEN 'end behind text' WHEN start >= "end" THEN 'nothing covered' END) AS error
         FROM damaged GROUP BY doc_id) WHERE error IS NOT NULL GROUP BY error""",
     "found_layers": 'SELECT "set", count(*) AS docs FROM held GROUP BY "set"',
-    "term_list": f"SELECT doc_id, array_to_string({_TERMS}, ' ') AS terms FROM documents",
+    "term_list": f"SELECT doc_id, array_to_string({_TERMS}, ' ') AS terms FROM docs",
     "term_counts": f"""SELECT doc_id, term, count(*) AS n FROM (
-        SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY doc_id, term""",
+        SELECT doc_id, unnest({_TERMS}) AS term FROM docs) GROUP BY doc_id, term""",
     "term_counts_conversations": f"""SELECT conv_id, turn, term, count(*) AS n FROM (
         SELECT conv_id, turn, unnest({_TERMS}) AS term FROM conversations) GROUP BY conv_id, turn, term""",
     "token_list": """SELECT d.doc_id, coalesce(string_agg(t.text, ' ' ORDER BY t.start), '') AS terms
-        FROM documents d LEFT JOIN toks t USING (doc_id) GROUP BY d.doc_id""",
+        FROM docs d LEFT JOIN toks t USING (doc_id) GROUP BY d.doc_id""",
     "token_counts": "SELECT doc_id, text AS term, count(*) AS n FROM toks GROUP BY doc_id, text",
     "tree_spans": 'SELECT doc_id, node_id, coalesce(parent_id, -1) AS parent_id, label, start, "end" FROM inner_nodes',
     "tree_spans_with_leaves": f"""SELECT doc_id, label, {_SUMS} FROM (SELECT doc_id, label, start, "end" FROM inner_nodes

@@ -30,23 +30,24 @@ def let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def is_blank(text: str) -> str:
-    """True where the first character is a blank (segments are never mixed)."""
-    return f"ascii({text}) IN (9, 10, 11, 12, 13, 32)"
+def without_blanks_behind(text: str) -> str:
+    return f"trim(TRAILING ' \\t\\n\\u000B\\u000C\\r' FROM {text})"
 
 
 def _all(text: str, pattern: str) -> str:
     return f"regexp_extract_all({text}, {quoted(pattern)}, 0)"
 
 
-def segments(text: str, pattern: str, drop: str | None = None, base: str = "0L") -> str:
+def segments(text: str, pattern: str, drop: str | None = None, base: str = "0L",
+             keep: str = "piece") -> str:
     """Array of ``{start,end,text}`` for the pieces ``pattern`` cuts ``text`` into.
 
     The alternatives of ``pattern`` must cover every character.  ``drop`` is a
-    predicate on ``piece``; dropped pieces still count for the offsets.
+    predicate on ``piece``; dropped pieces still count for the offsets.  ``keep``
+    is the front part of ``piece`` that makes the span.
     """
-    grown = ("array_append(acc.spans, struct(acc.at AS `start`, acc.at + length(piece) AS `end`,"
-             " piece AS `text`))")
+    grown = (f"array_append(acc.spans, struct(acc.at AS `start`, acc.at + length({keep}) AS `end`,"
+             f" {keep} AS `text`))")
     if drop is not None:
         grown = f"IF({drop}, acc.spans, {grown})"
     in_block = (f"aggregate({_all('block', pattern)}, struct(parts.at AS at, {_NO_SPANS} AS spans),"

@@ -1,11 +1,12 @@
 """Coreference: candidate pairs, features, scores, links and clusters.
 
-Candidates meet on (document, sentence) or (document, text), never on the
-document alone, and carry the columns the features need, so pairs are not
-joined back to their phrases.
+Candidates meet on (document, sentence) or follow one another in (document,
+text), never on the document alone, and carry the columns the features need, so
+pairs are not joined back to their phrases.
 """
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
@@ -51,25 +52,26 @@ def _mention(nps: DataFrame) -> Column:
 def _candidates(nps: DataFrame, max_sent_gap: int) -> DataFrame:
     """``doc_id, a, b``: earlier and later mention with their feature columns."""
     mentions = nps.select("doc_id", _mention(nps).alias("m"))
-    a = mentions.select("doc_id", F.col("m").alias("a"))
-    b = mentions.select("doc_id", F.col("m").alias("b"))
-    earlier = F.col("a.ce_id") < F.col("b.ce_id")
     # A later mention looks at its own sentence and the ones just before it.
-    near_a = a.withColumn("sent", F.col("a.sent_no"))
-    near_b = b.withColumn("sent", F.explode(F.sequence(
-        F.col("b.sent_no") - max_sent_gap, F.col("b.sent_no"))))
-    near = near_a.join(near_b, ["doc_id", "sent"]).where(earlier).drop("sent")
-    # Equal texts further apart: disjoint from the pairs above, so no distinct.
-    far = (a.withColumn("low", F.col("a.low")).join(b.withColumn("low", F.col("b.low")),
-                                                    ["doc_id", "low"])
-           .where(F.col("b.sent_no") - F.col("a.sent_no") > max_sent_gap)
-           .where(earlier).drop("low"))
+    near_a = mentions.select("doc_id", F.col("m").alias("a"), F.col("m.sent_no").alias("sent"))
+    near_b = mentions.select("doc_id", F.col("m").alias("b"), F.explode(F.sequence(
+        F.col("m.sent_no") - max_sent_gap, F.col("m.sent_no"))).alias("sent"))
+    near = near_a.join(near_b, ["doc_id", "sent"]).where(
+        F.col("a.ce_id") < F.col("b.ce_id")).select("doc_id", "a", "b")
+    # Of equal texts only neighbours are paired, so a frequent text adds a chain,
+    # not a square.  What is near is in the pairs above already.
+    same = W.partitionBy("doc_id", "m.low").orderBy("m.ce_id")
+    far = mentions.select("doc_id", F.lag("m").over(same).alias("a"), F.col("m").alias("b")).where(
+        F.col("b.sent_no") - F.col("a.sent_no") > max_sent_gap)
     return near.unionByName(far)
 
 
 def mention_pairs(nps: DataFrame, max_sent_gap: int = MAX_SENTENCE_GAP,
                   max_nps: int = MAX_NPS) -> DataFrame:
-    """``doc_id, i, j`` with ``i`` before ``j``: near to each other or of equal text.
+    """``doc_id, i, j`` with ``i`` before ``j``.
+
+    A mention is paired with all earlier ones up to ``max_sent_gap`` sentences
+    back, and with the last earlier one of the same text wherever it stands.
 
     Documents with ``max_nps`` or more phrases are skipped, as the coreference
     job does; that bounds the pairs of a document.

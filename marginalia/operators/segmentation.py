@@ -13,14 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
-from marginalia.functions.segments import BLANK, is_blank, segments
+from marginalia.functions.segments import BLANK, segments, without_blanks_behind
 from marginalia.operators.spans import covered_text
 from marginalia.schema import MAX_DOCUMENT_NUMBER, MAX_SENTENCE_TOKENS
 
 # The segment patterns; their alternatives cover every character.
 PARAGRAPH_PATTERN = r"[^\n]+|\n+"
 SENTENCE_PATTERN = rf"[^.!?]*[.!?]+{BLANK}*|[^.!?]+"
-TOKEN_PATTERN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_ \t\n\x0B\f\r]|{BLANK}+"
+# A token takes the blanks behind it along, which halves the number of pieces.
+TOKEN_PATTERN = rf"(?:[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_ \t\n\x0B\f\r]){BLANK}*|{BLANK}+"
 
 # Tokens to cut a long sentence at, best first.
 BREAKS = (";", ":", ",", ".")
@@ -38,7 +39,9 @@ def sentence_spans(text: str, base: str = "0L") -> str:
 
 
 def token_spans(text: str, base: str = "0L") -> str:
-    return segments(text, TOKEN_PATTERN, drop=is_blank("piece"), base=base)
+    blank = "ascii(piece) IN (9, 10, 11, 12, 13, 32)"
+    return segments(text, TOKEN_PATTERN, drop=blank, base=base,
+                    keep=without_blanks_behind("piece"))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ SUFFIXES = [("ing", "VBG"), ("ed", "VBD"), ("ly", "RB"), ("s", "NNS"),
 NP_TAGS = ("DT", "PRP$", "JJ", "CD", "NN", "NNS", "NNP")
 NOUN_TAGS = ("NN", "NNS", "NNP")
 # What makes a token a word, and a word a name.
-SIGN_FREE = r"[\p{L}\p{N}_]"
+WORD_SIGN = r"[\p{L}\p{N}_]"
 CAPITAL = r"^\p{Lu}"
 # The label of a tag; all others are O.
 LABELS = {"NNP": "NAME", "CD": "NUMBER"}
@@ -46,18 +46,29 @@ def _any(words) -> str:
     return "(" + ", ".join(quoted(w) for w in words) + ")"
 
 
-_BUILT_IN = [f"WHEN {{low}} IN {_any(words)} THEN {quoted(tag)}" for tag, words in LEXICON.items()]
+def _built_in(low: str) -> str:
+    words = [word for listed in LEXICON.values() for word in listed]
+    tags = " ".join(f"WHEN {low} IN {_any(listed)} THEN {quoted(tag)}"
+                    for tag, listed in LEXICON.items())
+    # One look into a hash set settles it for all words that are not listed.
+    return f"IF({low} IN {_any(words)}, CASE {tags} END, NULL)"
 
 
-def tag_of(text: str, low: str, tok_no: str, suffixes=SUFFIXES, words=_BUILT_IN) -> str:
-    """The tag of a token, as SQL; ``low`` is its lower case, ``words`` the lexicon rules."""
-    listed = " ".join(words).format(low=low)
-    endings = " ".join(f"WHEN length({text}) > 4 AND endswith({low}, {quoted(end)}) THEN {quoted(tag)}"
+def tag_of(text: str, low: str, tok_no: str, suffixes=SUFFIXES, listed: str | None = None) -> str:
+    """The tag of a token, as SQL; ``low`` is its lower case, ``listed`` its lexicon tag.
+
+    Cheap tests on length and first character stand before each regex.
+    """
+    listed = _built_in(low) if listed is None else listed
+    endings = " ".join(f"WHEN endswith({low}, {quoted(end)}) THEN {quoted(tag)}"
                        for end, tag in suffixes)
-    return (f"CASE WHEN {text} IN ('.', '!', '?') THEN '.' WHEN {text} IN (',', ':', ';') THEN {text}"
-            f" WHEN NOT {text} RLIKE {quoted(SIGN_FREE)} THEN 'SYM'"
-            f" WHEN {text} RLIKE '^[0-9]+$' THEN 'CD' {listed} {endings}"
-            f" WHEN {tok_no} > 1 AND {text} RLIKE {quoted(CAPITAL)} THEN 'NNP' ELSE 'NN' END")
+    return (f"coalesce(IF(length({text}) = 1, CASE WHEN {text} IN ('.', '!', '?') THEN '.'"
+            f" WHEN {text} IN (',', ':', ';') THEN {text}"
+            f" WHEN NOT {text} RLIKE {quoted(WORD_SIGN)} THEN 'SYM' END, NULL),"
+            f" IF(ascii({text}) BETWEEN 48 AND 57 AND {text} RLIKE '^[0-9]+$', 'CD', NULL),"
+            f" {listed}, IF(length({text}) > 4, CASE {endings} END, NULL),"
+            f" IF({tok_no} > 1 AND NOT ascii({text}) BETWEEN 97 AND 122"
+            f" AND {text} RLIKE {quoted(CAPITAL)}, 'NNP', 'NN'))")
 
 
 def pos_tags(toks: DataFrame, lexicon: DataFrame | None = None, suffixes=SUFFIXES) -> DataFrame:
@@ -71,10 +82,10 @@ def pos_tags(toks: DataFrame, lexicon: DataFrame | None = None, suffixes=SUFFIXE
     words = lexicon.groupBy("word").agg(F.min("tag").alias("tag"))
     exact = words.select(F.col("word").alias("text"), F.col("tag").alias("_exact"))
     lower = words.select(F.col("word").alias("_lower"), F.col("tag").alias("_folded"))
-    rules = [f"WHEN {c} IS NOT NULL THEN {c}" for c in ("_exact", "_folded")]
     return (toks.join(exact, "text", "left")
             .withColumn("_lower", F.lower("text")).join(lower, "_lower", "left")
-            .withColumn("tag", F.expr(tag_of("`text`", "_lower", "tok_no", suffixes, rules)))
+            .withColumn("tag", F.expr(tag_of("`text`", "_lower", "tok_no", suffixes,
+                                                "coalesce(_exact, _folded)")))
             .select(*toks.columns, "tag"))
 
 
