@@ -1,6 +1,7 @@
 """One query per operator, each over the whole table it reads."""
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from marginalia.operators import (
     trees,
 )
 from marginalia.plans import annotate as plan
+from marginalia.session import prepare
 from marginalia.sources import codecs, documents, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +31,12 @@ SPAN = ["doc_id", "start", "end"]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(prepare(spark), folder)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _flat(ann: DataFrame) -> DataFrame:

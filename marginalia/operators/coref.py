@@ -40,18 +40,18 @@ def _rounded(value: Column, digits: int) -> Column:
     return F.floor(value * scale + 0.5).cast("double") / scale
 
 
-def _mention(nps: DataFrame) -> Column:
-    low = F.lower("text")
+def _mention() -> Column:
+    """What the features of a pair need to know of each side."""
     return F.struct(
-        "ce_id", "sent_no", low.alias("low"), F.lower("head").alias("head"),
-        F.array_distinct(F.split(F.trim(low), " +")).alias("words"),
-        low.isin(*LEXICON["PRP"]).alias("pronoun"),
+        "ce_id", "sent_no", "text", F.lower("head").alias("head"),
+        F.array_distinct(F.split(F.trim(F.lower("text")), " +")).alias("words"),
+        F.lower("text").isin(*LEXICON["PRP"]).alias("pronoun"),
         F.lower("head").endswith("s").alias("plural"))
 
 
 def _candidates(nps: DataFrame, max_sent_gap: int) -> DataFrame:
     """``doc_id, a, b``: earlier and later mention with their feature columns."""
-    mentions = nps.select("doc_id", _mention(nps).alias("m"))
+    mentions = nps.select("doc_id", _mention().alias("m"))
     # A later mention looks at its own sentence and the ones just before it.
     near_a = mentions.select("doc_id", F.col("m").alias("a"), F.col("m.sent_no").alias("sent"))
     near_b = mentions.select("doc_id", F.col("m").alias("b"), F.explode(F.sequence(
@@ -60,7 +60,7 @@ def _candidates(nps: DataFrame, max_sent_gap: int) -> DataFrame:
         F.col("a.ce_id") < F.col("b.ce_id")).select("doc_id", "a", "b")
     # Of equal texts only neighbours are paired, so a frequent text adds a chain,
     # not a square.  What is near is in the pairs above already.
-    same = W.partitionBy("doc_id", "m.low").orderBy("m.ce_id")
+    same = W.partitionBy("doc_id", F.lower("m.text")).orderBy("m.ce_id")
     far = mentions.select("doc_id", F.lag("m").over(same).alias("a"), F.col("m").alias("b")).where(
         F.col("b.sent_no") - F.col("a.sent_no") > max_sent_gap)
     return near.unionByName(far)
@@ -83,30 +83,31 @@ def mention_pairs(nps: DataFrame, max_sent_gap: int = MAX_SENTENCE_GAP,
 
 def _feature_columns() -> dict[str, Column]:
     a, b = F.col("a"), F.col("b")
+    low_a, low_b = F.lower(a["text"]), F.lower(b["text"])
     common = F.size(F.array_intersect(a["words"], b["words"]))
     either = F.size(F.array_union(a["words"], b["words"]))
     flag = lambda test: test.cast("bigint")
     return {
-        "exact": flag(a["low"] == b["low"]),
+        "exact": flag(low_a == low_b),
         "head_match": flag(a["head"] == b["head"]),
         "jaccard": _rounded(common.cast("double") / either, 6),
         "sent_dist": b["sent_no"] - a["sent_no"],
         "both_pronoun": flag(a["pronoun"] & b["pronoun"]),
         "either_pronoun": flag(a["pronoun"] | b["pronoun"]),
         "number_agree": flag(a["plural"] == b["plural"]),
-        "substring": flag(F.contains(a["low"], b["low"]) | F.contains(b["low"], a["low"])),
+        "substring": flag(F.contains(low_a, low_b) | F.contains(low_b, low_a)),
     }
 
 
-def _with_features(candidates: DataFrame) -> DataFrame:
+def _with_features(candidates: DataFrame, *others: Column) -> DataFrame:
     features = [column.alias(name) for name, column in _feature_columns().items()]
     return candidates.select("doc_id", F.col("a.ce_id").alias("i"), F.col("b.ce_id").alias("j"),
-                             *features)
+                             *others, *features)
 
 
 def pair_features(pairs: DataFrame, nps: DataFrame) -> DataFrame:
     """``doc_id, i, j`` and the features of given pairs."""
-    mentions = nps.select("doc_id", F.col("ce_id"), _mention(nps).alias("m"))
+    mentions = nps.select("doc_id", "ce_id", _mention().alias("m"))
     a = mentions.select("doc_id", F.col("ce_id").alias("i"), F.col("m").alias("a"))
     b = mentions.select("doc_id", F.col("ce_id").alias("j"), F.col("m").alias("b"))
     return _with_features(pairs.select("doc_id", "i", "j").join(a, ["doc_id", "i"])
@@ -137,11 +138,15 @@ def binarized_features(features: DataFrame) -> DataFrame:
 
 def pair_scores(features: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """``doc_id, i, j, weight``: the sum of weighted features, added in a fixed order."""
+    return features.select("doc_id", "i", "j", _score(weights).alias("weight"))
+
+
+def _score(weights: dict[str, float]) -> Column:
     total = None
     for name, weight in weights.items():
         term = F.lit(weight) if name == "bias" else F.lit(weight) * F.col(name).cast("double")
         total = term if total is None else total + term
-    return features.select("doc_id", "i", "j", _rounded(total, 6).alias("weight"))
+    return _rounded(total, 6)
 
 
 def coref_links(scored: DataFrame, nps: DataFrame) -> DataFrame:
@@ -153,6 +158,15 @@ def coref_links(scored: DataFrame, nps: DataFrame) -> DataFrame:
             .distinct())
 
 
+def candidate_links(nps: DataFrame, weights: dict[str, float] = WEIGHTS,
+                    max_sent_gap: int = MAX_SENTENCE_GAP, max_nps: int = MAX_NPS) -> DataFrame:
+    """The links of all candidates; pairs carry their texts, so no phrase is looked up again."""
+    texts = [F.col("a.text").alias("left_entity"), F.col("b.text").alias("right_entity")]
+    features = _with_features(_candidates(skip_many_nps(nps, nps, max_nps), max_sent_gap), *texts)
+    return features.select("doc_id", "left_entity", "right_entity",
+                           _rounded(_score(weights), 4).alias("weight")).distinct()
+
+
 def coref_clusters(scored: DataFrame, nps: DataFrame,
                    threshold: float = LINK_THRESHOLD) -> DataFrame:
     """``doc_id, ce_id, cluster_id``: mentions joined by pairs at or above ``threshold``.

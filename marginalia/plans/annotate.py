@@ -7,7 +7,7 @@ from pyspark.sql.utils import AnalysisException
 from marginalia import schema as S
 from marginalia.functions.durable import durable
 from marginalia.operators import coref, entities, guards, tagging
-from marginalia.operators.segmentation import paragraphs, sentences
+from marginalia.operators.segmentation import paragraphs, sentences, tokens
 from marginalia.operators.spans import covered_text, require_no_crossing
 from marginalia.sources.store import read_sets, replace_sets, write_annotations
 
@@ -186,22 +186,17 @@ def annotate(docs: DataFrame, patterns: dict[str, str] = entities.PATTERNS,
     """
     docs = guarded(docs)
     tagged = _tagged(sentences(docs), max_sentences)
-    toks = tagged.select("doc_id", F.explode("toks").alias("t")).select(
-        "doc_id", "t.start", "t.end", "t.text")
-    ents = durable(entities.named_entities(docs, toks, patterns, gazetteer), "entities")
+    sents = sentences(docs)
+    if max_sentences is not None:
+        sents = sents.where(F.col("sent_no") < max_sentences)
+    ents = durable(entities.named_entities(docs, tokens(docs, sents), patterns, gazetteer), "entities")
     found = durable(tagging.sentence_noun_phrases(tagged), "phrases")
     nps = durable(tagging.number_phrases(tagging.add_entities(found, ents, docs)), "phrases")
     if check_crossing:
         require_no_crossing(nps)
     layers = (paragraph_layer(paragraphs(docs)).unionByName(text_layers(tagged))
               .unionByName(entity_layer(ents)).unionByName(phrase_layer(nps)))
-    return layers, coref_pairs(nps, weights)
-
-
-def coref_pairs(nps: DataFrame, weights: dict[str, float] = coref.WEIGHTS) -> DataFrame:
-    """Links of all candidate pairs of written phrases."""
-    scored = coref.pair_scores(coref.candidate_features(nps), weights)
-    return coref.coref_links(scored, nps)
+    return layers, coref.candidate_links(nps, weights)
 
 
 def stored_layers(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ def scan_documents(spark: SparkSession, folder: str, columns=("doc_id", "text"))
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet").select(*columns)
 
 
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Share out an input that has fewer splits than the session has cores.
 
     Text work is bound by CPU; a table in a few small files would leave cores
@@ -18,7 +18,7 @@ def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(2 * cores, key)
+    return df.repartition(2 * cores)
 
 
 def scan_from_key(df: DataFrame, start, key: str = "doc_id") -> DataFrame:
