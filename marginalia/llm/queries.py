@@ -1,9 +1,10 @@
 """Queries of the dealt operators, one each over its whole table, and their SQL."""
 
-from marginalia.llm import exact_dedup, packing
+from marginalia.llm import exact_dedup, mixing, packing
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
+    "op6_mixing": mixing.query,
     "op1_best_fit_packing": packing.query,
 }
 
