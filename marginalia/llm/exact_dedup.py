@@ -43,9 +43,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     rows = (rows.withColumn("digest", F.xxhash64("norm")).join(F.broadcast(hot), "digest", "left")
             .select("doc_id", "norm", F.coalesce(salt, F.lit(-1)).alias("salt")))
 
-    text = W.partitionBy("norm", "salt")
+    # Splitters travel to the driver, so they are the leading characters and a digest, not whole
+    # texts; the sort and the window compare whole texts.
+    rows = rows.withColumn("lead", F.substring("norm", 1, 32)).withColumn("digest", F.xxhash64("norm"))
+    text = W.partitionBy("lead", "digest", "norm", "salt")
     ordered = text.orderBy(F.col("doc_id").asc_nulls_last())
-    found = (rows.repartitionByRange("norm", "salt")
+    found = (rows.repartitionByRange("lead", "digest", "salt")
              .select("doc_id", "norm", "salt", F.row_number().over(ordered).alias("place"),
                      F.first("doc_id").over(ordered).alias("head"), F.count("*").over(text).alias("size"))
              .select("doc_id", "place", "head", "size", F.sha2(F.col("norm"), 256).alias("text_sha256"),
