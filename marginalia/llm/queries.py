@@ -1,10 +1,12 @@
 """Queries of the dealt operators, one each over its whole table, and their SQL."""
 
-from marginalia.llm import exact_dedup, mixing, packing
+from marginalia.llm import exact_dedup, mixing, packing, quality, toxicity
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
     "op6_mixing": mixing.query,
+    "op4_quality": quality.query,
+    "op3_toxicity": toxicity.query,
     "op1_best_fit_packing": packing.query,
 }
 
