@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from marginalia.llm import common, labelled
 
-SIZES = (3, 4, 5)
-BITS = 18
+SIZES = (4, 5, 6)
+BITS = 20
 # Documents of each class to fit on, documents that must hold an n-gram, ratio below which it is left out.
 EACH = 2000
-SEEN = 5
-LEAST_RATIO = 0.7
+SEEN = 4
+LEAST_RATIO = 2.0
 ROUNDS = 80
 # Folds, held-out fold and bar of the contract.
 FOLDS, HELD, BAR = 5, 0, 0.5
-_SCALE = 20.0
+_SCALE = 2.0
 
 
 def places(text: str, last: np.ndarray) -> np.ndarray:
