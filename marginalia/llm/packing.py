@@ -5,6 +5,7 @@ that dual-feasible functions give.  Partitions with a gap put the documents of t
 bins up for exchange; exchanged documents meet in fewer partitions and are packed again.
 """
 
+import json
 import re
 from bisect import bisect_left, insort
 
@@ -12,6 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,49 +26,107 @@ CAPACITY = 4096
 PIECES = 20_000
 MEET = 16
 LOOSE = 12
-# Words whose ids a task remembers; the older half goes when it is full.
-REMEMBERED = 400_000
+# Words whose ids a worker remembers; the older half goes when it is full.
+REMEMBERED = 600_000
 
 # ``str.split`` also splits at these, which are no blanks of the tokenizer.
-_ODD = {0x1C, 0x1D, 0x1E, 0x1F}
+_ODD = "\x1c\x1d\x1e\x1f"
+# Marks without an apostrophe, which may begin a contraction.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Workers live on from task to task, and so do the words they have seen.
+_KNOWN: dict[str, "_Words"] = {}
 
 
-class _Ids:
-    """Ids of texts as little-endian 32-bit bytes, word by word.
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as: printable ones as they are."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
-    The tokenizer turns blanks into word borders and handles each word by itself, so the ids of a
-    text are those of its words in a row.
-    """
 
-    def __init__(self, path: str):
-        self.tokenizer, self.new, self.old = Tokenizer.from_file(path), {}, {}
+class _Seen(dict):
+    """Ids by word; words that are not there come from the generation before, or are made."""
+
+    def __init__(self, made, before: dict):
+        super().__init__()
+        self.made, self.before = made, before
 
-    def learn(self, missing: list[str]) -> None:
-        if len(self.new) + len(missing) > REMEMBERED // 2:
-            self.old, self.new = self.new, {}
-        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.new[word] = np.array(found.ids, "<u4").tobytes()
+    def __missing__(self, word: str) -> bytes:
+        found = dict.get(self.before, word)
+        if found is None:
+            found = self.made(word)
+        self[word] = found
+        return found
 
-    def of(self, text: str) -> bytes:
-        if any(chr(c) in text for c in _ODD):
-            split = [w for w in re.split("[ \t-\r]+", text) if w]
+
+class _Words:
+    """Ids of texts as little-endian 32-bit bytes, word by word.
+
+    A tokenizer that turns blanks into word borders handles each word by itself, so the ids of a
+    text are those of its words in a row.  Words in Latin-1 go straight to the model; others, and
+    such that may hold a special token, through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, pattern: str):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.split, self.letters = regex.compile(pattern), _byte_letters()
+        self.seen = _Seen(self._made, {})
+
+    def _made(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word.lower())])
+        if "<|" in word or not word.isprintable() or not _latin(word):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        # Most words with marks are letters and then marks, which the pattern parts just so.
+        core = word.rstrip(_MARKS)
+        if core.isalpha() and len(core) < len(word):
+            parts = [core.lower(), word[len(core):]]
+        else:
+            parts = self.split.findall(word.lower())
+        if len(parts) > 1:
+            return b"".join([self.seen[p] for p in parts])
+        if not parts:
+            return b""
+        letters = parts[0] if parts[0].isascii() else parts[0].encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+
+    def __call__(self, text: str) -> bytes:
+        if "<|" not in text and _latin(text):
+            text = text.lower()
+        odd = any(c in text for c in _ODD)
+        split = [w for w in re.split("[ \t-\r]+", text) if w] if odd else text.split()
+        found = b"".join(map(self.seen.__getitem__, split))
+        if len(self.seen) > REMEMBERED // 2:
+            self.seen.before = {}
+            self.seen = _Seen(self._made, self.seen)
+        return found
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _ids(path: str):
+    """A function from a text to its ids as bytes."""
+    if path not in _KNOWN:
+        tokenizer = Tokenizer.from_file(path)
+        made = json.loads(tokenizer.to_str())
+        steps = [s.get("type") for s in (made.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        by_word = (steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+                   and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed"
+                   and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"])
+        if by_word:
+            _KNOWN[path] = _Words(tokenizer, cuts[0]["pattern"]["Regex"])
         else:
-            split = text.split()
-        out, new, old = [], self.new, self.old
-        for at in range(0, len(split), REMEMBERED // 8):
-            part = split[at:at + REMEMBERED // 8]
-            missing = []
-            for word in set(part):
-                if word not in new:
-                    if word in old:
-                        new[word] = old[word]
-                    else:
-                        missing.append(word)
-            if missing:
-                self.learn(missing)
-                new, old = self.new, self.old
-            out += [new[w] if w in new else old[w] for w in part]
-        return b"".join(out)
+            _KNOWN[path] = lambda text: np.array(
+                tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    return _KNOWN[path]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -77,13 +137,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     cut.  Repeated rows give repeated pieces; ids may be null.  Other columns are not read.
     """
     def cut(batches):
-        ids = _Ids(path)
+        ids = _ids(path)
         step = 4 * capacity
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             rows, held = [], 0
             for key, text in zip(keys, texts):
-                content = ids.of(text.as_py() or "") + END.to_bytes(4, "little")
+                content = ids(text.as_py() or "") + END.to_bytes(4, "little")
                 for i, at in enumerate(range(0, len(content), step)):
                     part = content[at:at + step]
                     rows.append((key, i, at // 4, len(part) // 4, part))
