@@ -40,6 +40,8 @@ def ready(spark: SparkSession) -> SparkSession:
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(bundle))
         _SHIPPED.add(context.applicationId)
+    # Batches of long texts stay small beside the worker's own arrays.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * SLICE_BYTES))
     return prepare(spark)
 
 
