@@ -5,6 +5,8 @@ documents, one from all documents.  A document's score is the mean difference of
 over its tokens; it is low where the target model predicts the text better.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +103,7 @@ def counters(docs: DataFrame, vocab: np.ndarray) -> DataFrame:
                         [pa.array(np.full(len(at), model, np.int32)), pa.array(at.astype(np.int32)),
                          pa.array([parts[i].astype("<i8").tobytes() for i in at], pa.binary())], ["model", "part", "counts"])
 
-    def add(key, batches):
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One part is a fixed number of counters, however many tasks counted in it.
         sums = np.zeros(_CHUNK, np.int64)
         for batch in batches:
