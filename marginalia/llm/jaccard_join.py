@@ -342,7 +342,8 @@ def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5
                     ["head", "component", "sets", "members"])
 
     wanted = inside.withColumnRenamed("head", "_id").select("_id", "component", "sets", "sig", "sig2")
-    members = (docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id"))
+    # Texts meet the chosen ids by a shuffle at every size, so that the plan does not turn with it.
+    members = (docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("_id"))
                .select("doc_id", "text", "component", "sets", "sig", "sig2")
                .mapInArrow(shingled, "head bigint, component bigint, sets bigint, members binary")
                # Another text may have the same id.
