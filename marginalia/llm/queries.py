@@ -1,12 +1,13 @@
 """Queries of the dealt operators, one each over its whole table, and their SQL."""
 
-from marginalia.llm import exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, toxicity
+from marginalia.llm import exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
     "op7_jaccard_join": jaccard_join.query,
     "op8_near_vectors": near_vectors.query,
     "op10_lm_score": lm_score.query,
+    "op2_secret_scan": secret_scan.query,
     "op6_mixing": mixing.query,
     "op4_quality": quality.query,
     "op3_toxicity": toxicity.query,
@@ -15,4 +16,5 @@ QUERIES = {
 
 SQL = {
     "op9_exact_dedup": exact_dedup.SQL,
+    "op2_secret_scan": secret_scan.SQL,
 }
