@@ -163,6 +163,17 @@ def runs_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(run)
 
 
+class Ranges:
+    """Hashes of any ranges of entries, each from two sums."""
+
+    def __init__(self, hashes: np.ndarray):
+        power, self.back = _powers(len(hashes) + 1)
+        self.total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * power[:len(hashes)], dtype=np.uint64)])
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.total[end] - self.total[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
+
+
 def owners(first: np.ndarray) -> np.ndarray:
     """The row of each word."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))

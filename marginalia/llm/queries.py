@@ -1,6 +1,6 @@
 """Queries of the dealt operators, one each over its whole table, and their SQL."""
 
-from marginalia.llm import exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, secret_scan, toxicity
+from marginalia.llm import exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, repeated_passages, secret_scan, toxicity
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op8_near_vectors": near_vectors.query,
     "op10_lm_score": lm_score.query,
     "op2_secret_scan": secret_scan.query,
+    "op5_repeated_passages": repeated_passages.query,
     "op6_mixing": mixing.query,
     "op4_quality": quality.query,
     "op3_toxicity": toxicity.query,
