@@ -65,11 +65,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` less its exact copies, with all columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_own_sha", F.sha2(normalised(F.col("text")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
+    own, key, sha = common.unused(docs, "own_sha", "kept_id", "kept_sha")
+    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha))
+    marked = docs.withColumn(own, F.sha2(normalised(F.col("text")), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(sha))
     # Rows with the same id and text are one.
-    return (marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own_sha"]).drop("_own_sha"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

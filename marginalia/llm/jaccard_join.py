@@ -397,8 +397,8 @@ def without_near_copies(docs: DataFrame, n: int = 5, threshold: Fraction = Fract
     Rows with a null id stay: they stand for nothing and nothing stands for them.
     """
     found = near_groups(docs, n, threshold).where("doc_id IS NOT NULL AND component_id <> doc_id")
-    return docs.join(found.select(F.col("doc_id").alias("_gone")).distinct(),
-                     F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone, = common.unused(docs, "gone_id")
+    return docs.join(found.select(F.col("doc_id").alias(gone)).distinct(), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

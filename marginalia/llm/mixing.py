@@ -238,11 +238,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
                 out.append(data[a:b].tobytes().decode())
         return pa.array(out, pa.string())
 
-    own = docs.withColumn("_key", row_key()).dropDuplicates(["_key", "doc_id"])
-    wanted = pieces.select(F.col("key").alias("_wanted"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"),
-                           F.col("start_word").alias("_start_word"), F.col("n_words").alias("_n_words"))
-    both = own.join(wanted, (F.col("_key") == F.col("_wanted")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    part = F.when(F.col("_n_words") < F.col("_size"), cut("text", "_start_word", "_n_words")).otherwise(F.col("text"))
+    mine, key, number, size, start, count = common.unused(
+        docs, "own_key", "piece_key", "piece_id", "piece_size", "piece_start", "piece_words")
+    own = docs.withColumn(mine, row_key()).dropDuplicates([mine, "doc_id"])
+    wanted = pieces.select(F.col("key").alias(key), F.col("doc_id").alias(number), F.col("size").alias(size),
+                           F.col("start_word").alias(start), F.col("n_words").alias(count))
+    both = own.join(wanted, (F.col(mine) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(number)))
+    part = F.when(F.col(count) < F.col(size), cut("text", start, count)).otherwise(F.col("text"))
     both = both.withColumn("text", part)
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.length("text").cast("bigint"))
