@@ -20,12 +20,13 @@ CHECK_GAZETTEER = [
 ]
 
 
-def docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents within the text limit of the base jobs.
+# Node ids of a tree: a sentence has room for so many tags, leaves and runs.
+LEAF_IDS, RUN_IDS = 1 << 30, 1 << 31
 
-    The limit bounds what windows and lists over one document can hold.
-    """
-    return spread(plan.guarded(scan_documents(spark, folder)))
+
+def docs(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, whatever their length."""
+    return spread(scan_documents(spark, folder))
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,17 +117,17 @@ def tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     root = F.array(F.struct(F.col("s").alias("node_id"), F.lit(None).cast("bigint").alias("parent_id"),
                             F.lit("S").alias("label")))
     middle = F.transform("runs", lambda r: F.struct(
-        (F.col("s") + 500000 + r["start"] + 1).alias("node_id"), F.col("s").alias("parent_id"),
+        (F.col("s") + RUN_IDS + r["start"] + 1).alias("node_id"), F.col("s").alias("parent_id"),
         name(r).alias("label")))
     low = F.flatten(F.transform("runs", lambda r: F.transform(
         F.sequence(r["start"], r["end"] - 1), lambda i: F.struct(
             (F.col("s") + i + 1).alias("node_id"),
-            (F.col("s") + 500000 + r["start"] + 1).alias("parent_id"),
+            (F.col("s") + RUN_IDS + r["start"] + 1).alias("parent_id"),
             F.col("toks")[i.cast("int")]["tag"].alias("label")))))
     edges = rows.select("doc_id", F.explode(F.concat(root, middle, low)).alias("e")).select(
         "doc_id", "e.node_id", "e.parent_id", "e.label")
     leaves = rows.select("doc_id", "s", F.posexplode("toks").alias("no", "t")).select(
-        "doc_id", (F.col("s") + 250001 + F.col("no")).alias("node_id"),
+        "doc_id", (F.col("s") + LEAF_IDS + 1 + F.col("no")).alias("node_id"),
         (F.col("s") + 1 + F.col("no")).alias("parent_id"), F.col("t.text").alias("label"),
         "t.start", "t.end")
     return edges, leaves

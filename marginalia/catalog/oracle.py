@@ -8,7 +8,7 @@ drift apart; the ways to the result are written anew.
 import re
 
 from marginalia.catalog.inputs import CHECK_GAZETTEER, CHECK_PATTERNS
-from marginalia.operators.coref import DISTANCE_STEPS, LINK_THRESHOLD, MAX_SENTENCE_GAP, WEIGHTS
+from marginalia.operators.coref import DISTANCE_STEPS, LINK_THRESHOLD, WEIGHTS
 from marginalia.operators.entities import ENTITY_TYPES
 from marginalia.operators.tagging import LABELS, LEXICON, NOUN_TAGS, NP_TAGS, SUFFIXES
 from marginalia.operators.trees import RELATION_GROUPS
@@ -36,12 +36,12 @@ def _cut(source: str, keys: str, text: str, pattern: str, base: str = "0") -> st
                 FROM (SELECT *, regexp_extract_all({text}, '{pattern}') AS l FROM {source})))"""
 
 
-def _sentences(pars: str, cut: str) -> str:
+def _sentences(pars: str, cut: str, rule: str = "true") -> str:
     return f"""
     SELECT c.doc_id, c.par_no,
            row_number() OVER (PARTITION BY c.doc_id ORDER BY c.par_no, c.pos) - 1 AS sent_no,
            c.start, c."end", c.seg AS text
-    FROM {cut} c WHERE c.pos = 1 OR length(c.seg) > 1 OR regexp_matches(c.seg, '[.!?]')"""
+    FROM {cut} c WHERE {rule}"""
 
 
 def _cut_sentences(pars: str) -> str:
@@ -88,14 +88,13 @@ def _layers(pars: str, sents: str, pos: str) -> dict[str, str]:
         "SENT": f"""SELECT doc_id, 'SENT' AS "set", sent_no AS ann_id, start, "end",
                     'sentence_split' AS type, '{{"sent_no":"' || sent_no || '"}}' AS attrs
                     FROM {sents}""",
-        "TOKEN": f"""SELECT doc_id, 'TOKEN' AS "set", sent_no * 1000000 + tok_no AS ann_id, start,
+        "TOKEN": f"""SELECT doc_id, 'TOKEN' AS "set", sent_no * 4294967296 + tok_no AS ann_id, start,
                      "end", 'token' AS type, {no} AS attrs FROM {pos}""",
-        "POS": f"""SELECT doc_id, 'POS' AS "set", sent_no * 1000000 + tok_no AS ann_id, start,
+        "POS": f"""SELECT doc_id, 'POS' AS "set", sent_no * 4294967296 + tok_no AS ann_id, start,
                    "end", tag AS type, {no} AS attrs FROM {pos}""",
     }
 
 
-_BASE = _layers("pars", "sents", "(SELECT * FROM pos WHERE sent_no < 1000)")
 _ALL = _layers("pars", "sents", "pos")
 _KINDS = sorted(ENTITY_TYPES)
 
@@ -107,13 +106,14 @@ _PATTERN_PARTS = {
 _WORDS = "list_distinct(string_split_regex(trim(lower({0}.text)), ' +'))"
 
 PARTS: dict[str, str] = {
-    "docs": "SELECT * FROM documents WHERE length(text) BETWEEN 1 AND 1048576",
+    "docs": "SELECT * FROM documents",
     "par_cut": _cut("docs", "doc_id", "text", r"[^\n]+|\n+"),
     "pars": r"""
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS par_no,
            start, "end", seg AS text FROM par_cut WHERE NOT starts_with(seg, chr(10))""",
     "sent_cut": _cut_sentences("(SELECT *, start AS start0 FROM pars)"),
     "sents": _sentences("pars", "sent_cut"),
+    "short_sents": _sentences("pars", "sent_cut", "c.pos = 1 OR length(c.seg) > 1 OR regexp_matches(c.seg, '[.!?]')"),
     "tok_cut": _cut_tokens("sents"),
     "toks": _tokens("tok_cut"),
     "pos": _tags("toks"),
@@ -162,7 +162,7 @@ PARTS: dict[str, str] = {
            sent_no, start, "end", text, head, head_no
     FROM (SELECT * FROM np_text UNION ALL BY NAME SELECT * FROM np_ents)""",
     # Layers as annotations.
-    "ann": " UNION ALL ".join(_BASE.values()),
+    "ann": " UNION ALL ".join(_ALL.values()),
     "ann_ne": f"""SELECT doc_id, 'NE' AS "set", start * {len(_KINDS) + 1} + coalesce(list_position(
         [{', '.join(f"'{k}'" for k in _KINDS)}], type), 0) AS ann_id, start, "end", type,
         '{{}}' AS attrs FROM ents""",
@@ -170,7 +170,7 @@ PARTS: dict[str, str] = {
         '{"CE_ID":"' || ce_id || '"}' AS attrs FROM nps_ne""",
     # A store with gaps.
     "st_pars": """SELECT d.doc_id, CAST(0 AS BIGINT) AS par_no, CAST(0 AS BIGINT) AS start,
-        length(d.text) - 1 AS "end" FROM docs d SEMI JOIN labels l USING (doc_id)""",
+        length(d.text) AS "end" FROM docs d SEMI JOIN labels l USING (doc_id)""",
     "st_sents": "SELECT s.* FROM sents s SEMI JOIN (SELECT * FROM labels WHERE quality = 1) l USING (doc_id)",
     "st_toks": "SELECT s.* FROM pos s SEMI JOIN (SELECT * FROM labels WHERE toxic = 0) l USING (doc_id)",
     "st_pos": """SELECT s.* FROM pos s SEMI JOIN
@@ -193,14 +193,14 @@ PARTS: dict[str, str] = {
     UNION ALL SELECT doc_id, sent_no, start, "end", text FROM st_sents""",
     "fill_want": """
     SELECT s.* FROM fill_all s ANTI JOIN (SELECT doc_id FROM held WHERE "set" IN ('TOKEN', 'POS')
-        GROUP BY doc_id HAVING count(*) = 2) h USING (doc_id) WHERE s.sent_no < 1000""",
+        GROUP BY doc_id HAVING count(*) = 2) h USING (doc_id)""",
     "fill_tcut": _cut_tokens("fill_want"),
     "fill_toks": _tokens("fill_tcut"),
     "fill_pos": _tags("fill_toks"),
     "fill": " UNION ALL ".join(_layers("fill_pars", "fill_sents", "fill_pos").values()),
     # Damaged tokens.
     "damaged": """
-    SELECT t.doc_id, 'TOKEN' AS "set", t.sent_no * 1000000 + t.tok_no AS ann_id,
+    SELECT t.doc_id, 'TOKEN' AS "set", t.sent_no * 4294967296 + t.tok_no AS ann_id,
            CASE WHEN length(t.text) = 12 THEN t.start + length(d.text)
                 WHEN length(t.text) >= 14 THEN 0 ELSE t.start END AS start,
            CASE WHEN length(t.text) IN (11, 12) THEN t."end" + length(d.text)
@@ -208,6 +208,10 @@ PARTS: dict[str, str] = {
                 WHEN length(t.text) >= 14 THEN length(d.text) ELSE t."end" END AS "end",
            'token' AS type, '{}' AS attrs, length(d.text) AS n
     FROM toks t JOIN docs d USING (doc_id)""",
+    # Two neighbouring tokens.
+    "bigrams": """
+    SELECT * FROM (SELECT doc_id, start, lead("end") OVER (PARTITION BY doc_id, sent_no ORDER BY tok_no) AS "end"
+                   FROM toks) WHERE "end" IS NOT NULL""",
     # Labels.
     "labelled": "SELECT *, CASE " + " ".join(
         f"WHEN tag = '{t}' THEN '{l}'" for t, l in LABELS.items()) + " ELSE 'O' END AS label FROM pos",
@@ -223,7 +227,7 @@ PARTS: dict[str, str] = {
     FROM lab_run WHERE label <> 'O' GROUP BY doc_id, sent_no, run""",
     # Trees.
     "tree_class": f"""
-    SELECT *, sent_no * 1000000 AS s, CASE WHEN tag IN {_in(NP_TAGS)} THEN 'NP'
+    SELECT *, sent_no * 4294967296 AS s, CASE WHEN tag IN {_in(NP_TAGS)} THEN 'NP'
         WHEN starts_with(tag, 'VB') THEN 'VP' ELSE 'X' END AS c FROM pos""",
     "tree_new": """
     SELECT *, CASE WHEN c = lag(c) OVER w THEN 0 ELSE 1 END AS new FROM tree_class
@@ -233,10 +237,10 @@ PARTS: dict[str, str] = {
         PARTITION BY doc_id, sent_no ORDER BY tok_no) AS first_no FROM tree_new""",
     "edges": """
     SELECT DISTINCT doc_id, s AS node_id, CAST(NULL AS BIGINT) AS parent_id, 'S' AS label FROM tree_run
-    UNION ALL SELECT doc_id, s + 500000 + tok_no, s, c FROM tree_run WHERE new = 1
-    UNION ALL SELECT doc_id, s + tok_no, s + 500000 + first_no, tag FROM tree_run""",
+    UNION ALL SELECT doc_id, s + 2147483648 + tok_no, s, c FROM tree_run WHERE new = 1
+    UNION ALL SELECT doc_id, s + tok_no, s + 2147483648 + first_no, tag FROM tree_run""",
     "leaves": """
-    SELECT doc_id, s + 250000 + tok_no AS node_id, s + tok_no AS parent_id, text AS label, start, "end"
+    SELECT doc_id, s + 1073741824 + tok_no AS node_id, s + tok_no AS parent_id, text AS label, start, "end"
     FROM tree_run""",
     "climb": """
     SELECT doc_id, parent_id AS node_id, start, "end" FROM leaves
@@ -272,17 +276,18 @@ PARTS: dict[str, str] = {
     FROM chain c JOIN deps d ON d.doc_id = c.doc_id AND d.sent_no = c.sent_no AND d.tok_no = c.gov_id
     WHERE c.type = 'conj'""",
     # Coreference.
-    "few": "SELECT doc_id FROM nps GROUP BY doc_id HAVING count(*) < 1000",
     "mention": f"""
     SELECT n.doc_id, n.ce_id, n.sent_no, n.text, lower(n.text) AS low, lower(n.head) AS head,
            {_WORDS.format('n')} AS words, lower(n.text) IN {_in(LEXICON['PRP'])} AS pronoun,
            ends_with(lower(n.head), 's') AS plural
-    FROM nps n SEMI JOIN few USING (doc_id)""",
-    "pairs": f"""
-    SELECT a.doc_id, a.ce_id AS i, b.ce_id AS j FROM mention a JOIN mention b
-    ON a.doc_id = b.doc_id AND a.ce_id < b.ce_id WHERE b.sent_no - a.sent_no <= {MAX_SENTENCE_GAP}
-    UNION SELECT a.doc_id, max(a.ce_id), b.ce_id FROM mention a JOIN mention b
-    ON a.doc_id = b.doc_id AND a.low = b.low AND a.ce_id < b.ce_id GROUP BY a.doc_id, b.ce_id""",
+    FROM nps n""",
+    "pairs": """
+    SELECT doc_id, i, j FROM (SELECT doc_id, lag(ce_id) OVER (PARTITION BY doc_id, low ORDER BY ce_id) AS i,
+                                     ce_id AS j FROM mention) WHERE i IS NOT NULL
+    UNION SELECT doc_id, i, j FROM (SELECT doc_id, lag(ce_id) OVER (PARTITION BY doc_id, head ORDER BY ce_id) AS i,
+                                           ce_id AS j FROM mention WHERE head IS NOT NULL) WHERE i IS NOT NULL
+    UNION SELECT doc_id, i, j FROM (SELECT doc_id, lag(ce_id) OVER (PARTITION BY doc_id ORDER BY ce_id) AS i,
+                                           ce_id AS j FROM mention) WHERE i IS NOT NULL""",
     "feats": """
     SELECT p.doc_id, p.i, p.j, CAST(a.low = b.low AS BIGINT) AS exact,
            CAST(a.head = b.head AS BIGINT) AS head_match,
@@ -306,8 +311,8 @@ PARTS: dict[str, str] = {
     JOIN nps b ON b.doc_id = s.doc_id AND b.ce_id = s.j""",
     "strong": f"SELECT doc_id, i, j FROM scored WHERE weight >= {LINK_THRESHOLD}",
     "arcs": """
-    SELECT DISTINCT s.doc_id, (b.sent_no + 1) * 1000000 + b.head_no AS src,
-           (a.sent_no + 1) * 1000000 + a.head_no AS dst
+    SELECT DISTINCT s.doc_id, (b.sent_no + 1) * 4294967296 + b.head_no AS src,
+           (a.sent_no + 1) * 4294967296 + a.head_no AS dst
     FROM strong s JOIN nps a ON a.doc_id = s.doc_id AND a.ce_id = s.i
     JOIN nps b ON b.doc_id = s.doc_id AND b.ce_id = s.j""",
     "edge2": "SELECT doc_id, i AS u, j AS v FROM strong UNION ALL SELECT doc_id, j, i FROM strong",
@@ -318,7 +323,7 @@ PARTS: dict[str, str] = {
     ON e.doc_id = s.doc_id AND e.u = s.node WHERE s.name < e.v""",
 }
 # The whole job links entities as well: the same steps from the wider phrases.
-_STEPS = ("nps", "few", "mention", "pairs", "feats", "scored", "links")
+_STEPS = ("nps", "mention", "pairs", "feats", "scored", "links")
 for _step in _STEPS[1:]:
     PARTS[f"{_step}_ne"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_STEPS)})\b", r"\1 \2_ne", PARTS[_step])
 _RECURSIVE = {"climb", "chain", "spread", "parts"}
@@ -423,8 +428,6 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "skip_many_nps": """SELECT doc_id FROM docs WHERE doc_id NOT IN (
         SELECT doc_id FROM nps GROUP BY doc_id HAVING count(*) >= 1000)""",
     "cap_sentences": 'SELECT doc_id, sent_no, start, "end" FROM sents WHERE sent_no < 200',
-    "cap_pairs": """SELECT doc_id, i, j FROM pairs
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY j, i DESC) <= 1000""",
     "guard_report": """SELECT CASE WHEN text IS NULL OR text = '' THEN 'no text'
             WHEN length(text) > 5000 THEN 'text too long'
             WHEN NOT list_contains(sets, 'PAR') THEN 'no PAR' WHEN NOT list_contains(sets, 'SENT') THEN 'no SENT'
@@ -436,6 +439,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         FROM damaged WHERE start < least("end", n)""",
     "paragraphs": 'SELECT doc_id, par_no, start, "end" FROM pars',
     "sentences": 'SELECT doc_id, par_no, sent_no, start, "end" FROM sents',
+    "sentences_without_tails": 'SELECT doc_id, par_no, sent_no, start, "end" FROM short_sents',
     "sentences_of_stored_paragraphs": 'SELECT doc_id, par_no, sent_no, start, "end" FROM sents',
     "sentence_numbers": 'SELECT doc_id, start, "end", sent_no FROM sents',
     "fill_sentence_numbers": """SELECT doc_id, start, "end", CASE WHEN par_no = 0 THEN sent_no + 1
@@ -452,7 +456,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "rebase_spans": 'SELECT doc_id, sent_no, tok_no, start, "end" FROM toks',
     "multi_layer_annotate": " UNION ALL ".join(
         f"SELECT {_ANN} FROM ({_ALL[s]})" for s in ("SENT", "TOKEN", "POS")) + """
-        UNION ALL SELECT doc_id, 'NE', sent_no * 1000000 + row_number() OVER (
+        UNION ALL SELECT doc_id, 'NE', sent_no * 4294967296 + row_number() OVER (
             PARTITION BY doc_id, sent_no ORDER BY first_no), start, "end", type, '{}' FROM lab_ne""",
     "base_noun_phrases": 'SELECT doc_id, ce_id, sent_no, start, "end", text, head, head_no FROM nps',
     "base_noun_phrases_with_entities": """SELECT doc_id, ce_id, sent_no, start, "end", text, head,
@@ -473,8 +477,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         FROM toks t JOIN sents s USING (doc_id, sent_no)""",
     "document_number": """SELECT doc_id, CAST(0 AS BIGINT) AS start, length(text) AS "end",
         (row_number() OVER (ORDER BY doc_id) - 1) % 32767 + 1 AS doc_no FROM documents""",
-    "default_paragraph": """SELECT p.doc_id, p.par_no, p.start, p."end" FROM pars p SEMI JOIN labels l USING (doc_id)
-        UNION ALL SELECT d.doc_id, 0, 0, length(d.text) - 1 FROM docs d ANTI JOIN labels l USING (doc_id)""",
+    **{name: f"""SELECT p.doc_id, p.par_no, p.start, p."end" FROM pars p SEMI JOIN labels l USING (doc_id)
+        UNION ALL SELECT d.doc_id, 0, 0, length(d.text){less} FROM docs d ANTI JOIN labels l USING (doc_id)"""
+       for name, less in (("default_paragraph", ""), ("default_paragraph_less_one", " - 1"))},
     "overlap_join": """SELECT t.doc_id, t.start AS a_start, t."end" AS a_end, s.start AS b_start, s."end" AS b_end,
             s.sent_no AS b_sent_no
         FROM toks t JOIN sents s ON s.doc_id = t.doc_id AND t.start < s."end" AND t."end" > s.start""",
@@ -483,9 +488,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         FROM toks t JOIN nps s ON s.doc_id = t.doc_id AND t.start >= s.start AND t."end" <= s."end" """,
     "covered_text": """SELECT s.doc_id, s.start, s."end", substring(d.text, s.start + 1, s."end" - s.start) AS text
         FROM sents s JOIN docs d USING (doc_id)""",
-    "crossing_spans": """SELECT a.doc_id, a.start AS a_start, y."end" AS a_end, y.start AS b_start, z."end" AS b_end
-        FROM toks a JOIN toks y ON y.doc_id = a.doc_id AND y.sent_no = a.sent_no AND y.tok_no = a.tok_no + 1
-        JOIN toks z ON z.doc_id = a.doc_id AND z.sent_no = a.sent_no AND z.tok_no = a.tok_no + 2""",
+    "crossing_spans": """SELECT a.doc_id, a.start AS a_start, a."end" AS a_end, b.start AS b_start, b."end" AS b_end
+        FROM bigrams a JOIN bigrams b
+        ON b.doc_id = a.doc_id AND a.start < b.start AND b.start < a."end" AND a."end" < b."end" """,
     "ordered_spans": """SELECT doc_id, start, "end",
             row_number() OVER (PARTITION BY doc_id ORDER BY start, "end") - 1 AS idx,
             count(*) OVER (PARTITION BY doc_id) AS n, count(*) OVER (PARTITION BY doc_id) // 2 AS mid FROM sents""",
@@ -494,6 +499,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         f"""SELECT "set", '{flag}' AS flag, count(*) AS n FROM damaged d WHERE {test} GROUP BY "set" """
         for flag, test in ((f, t.replace(" n", " d.n")) for f, t in _FLAGS.items())),
     "strip_bad_annotations": f"SELECT {_ANN} FROM damaged WHERE NOT ({_BAD})",
+    "repair_store": f"SELECT {_ANN} FROM damaged WHERE NOT ({_BAD})",
     "strip_report": f"""SELECT "set", count(*) AS removed, CAST(sum({" + ".join(
         f"CAST({t} AS BIGINT)" for t in _FAULTS.values())} - 1) AS BIGINT) AS failed_removals,
         count(DISTINCT doc_id) AS changed_docs FROM damaged WHERE {_BAD} GROUP BY "set" """,

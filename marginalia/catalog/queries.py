@@ -21,7 +21,7 @@ from marginalia.operators import (
     trees,
 )
 from marginalia.plans import annotate as plan
-from marginalia.session import prepare
+from marginalia.session import measured
 from marginalia.sources import codecs, documents, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ SPAN = ["doc_id", "start", "end"]
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(prepare(spark), folder)
+        return fn(measured(spark), folder)
 
     QUERIES[fn.__name__] = run
     return run
@@ -161,13 +161,13 @@ def skip_done(spark, folder):
 @query
 def skip_long_sentences(spark, folder):
     d = inputs.docs(spark, folder)
-    return guards.skip_long_sentences(d.select("doc_id"), segmentation.tokens(d))
+    return guards.skip_long_sentences(d.select("doc_id"), segmentation.tokens(d), 100)
 
 
 @query
 def skip_many_nps(spark, folder):
     d = inputs.docs(spark, folder)
-    return guards.skip_many_nps(d.select("doc_id"), tagging.base_noun_phrases(d))
+    return guards.skip_many_nps(d.select("doc_id"), tagging.base_noun_phrases(d), 1000)
 
 
 @query
@@ -176,14 +176,9 @@ def cap_sentences(spark, folder):
     return guards.cap_sentences(sents.select("doc_id", "sent_no", "start", "end"), 200)
 
 
-@query
-def cap_pairs(spark, folder):
-    return guards.cap_pairs(coref.mention_pairs(inputs.phrases(spark, folder)))
-
-
 @query
 def guard_report(spark, folder):
-    return guards.guard_report(inputs.docs(spark, folder), inputs.stored(spark, folder),
+    return guards.guard_report(documents.scan_documents(spark, folder), inputs.stored(spark, folder),
                                [S.PAR, S.SENT, S.TOKEN], 5000, S.POS)
 
 
@@ -205,6 +200,11 @@ def sentences(spark, folder):
     return segmentation.sentences(inputs.docs(spark, folder)).drop("text")
 
 
+@query
+def sentences_without_tails(spark, folder):
+    return segmentation.sentences(inputs.docs(spark, folder), drop_tails=True).drop("text")
+
+
 @query
 def sentences_of_stored_paragraphs(spark, folder):
     d = inputs.docs(spark, folder)
@@ -327,6 +327,13 @@ def default_paragraph(spark, folder):
     return segmentation.default_paragraph(d, segmentation.paragraphs(held))
 
 
+@query
+def default_paragraph_less_one(spark, folder):
+    d = inputs.docs(spark, folder)
+    held = documents.scan_key_list(d, inputs.labels(spark, folder))
+    return segmentation.default_paragraph(d, segmentation.paragraphs(held), less_one=True)
+
+
 # Spans
 
 @query
@@ -394,6 +401,15 @@ def strip_report(spark, folder):
     return audit.strip_report(inputs.damaged(spark, folder), documents.scan_documents(spark, folder))
 
 
+@query
+def repair_store(spark, folder):
+    d = documents.scan_documents(spark, folder)
+    path = new_folder(spark, "store")
+    store.append_annotations(inputs.damaged(spark, folder), path)
+    plan.repair_store(d, path)
+    return _flat(store.read_sets(spark, path))
+
+
 # Rollups
 
 @query

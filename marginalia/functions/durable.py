@@ -16,7 +16,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _FALLBACK.setdefault(context.applicationId, tempfile.mkdtemp(prefix="marginalia-"))
+    if context.applicationId not in _FALLBACK:
+        _FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="marginalia-")
+    return _FALLBACK[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

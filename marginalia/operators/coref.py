@@ -1,8 +1,8 @@
 """Coreference: candidate pairs, features, scores, links and clusters.
 
-Candidates meet on (document, sentence) or follow one another in (document,
-text), never on the document alone, and carry the columns the features need, so
-pairs are not joined back to their phrases.
+Candidates are found by key, as the last mention with the same text or head or the
+one just before, so pairs grow with the mentions.  They carry the columns the
+features need and are not joined back to their phrases.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -10,11 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
-from marginalia.operators.guards import skip_many_nps
 from marginalia.operators.tagging import LEXICON
-from marginalia.schema import MAX_NPS, SENTENCE_ID_STEP
-
-MAX_SENTENCE_GAP = 3
+from marginalia.schema import SENTENCE_ID_STEP
 
 # Weight of each feature, in the order they are added up.
 WEIGHTS = {
@@ -49,35 +46,31 @@ def _mention() -> Column:
         F.lower("head").endswith("s").alias("plural"))
 
 
-def _candidates(nps: DataFrame, max_sent_gap: int) -> DataFrame:
+def _candidates(nps: DataFrame) -> DataFrame:
     """``doc_id, a, b``: earlier and later mention with their feature columns."""
     mentions = nps.select("doc_id", _mention().alias("m"))
-    # A later mention looks at its own sentence and the ones just before it.
-    near_a = mentions.select("doc_id", F.col("m").alias("a"), F.col("m.sent_no").alias("sent"))
-    near_b = mentions.select("doc_id", F.col("m").alias("b"), F.explode(F.sequence(
-        F.col("m.sent_no") - max_sent_gap, F.col("m.sent_no"))).alias("sent"))
-    near = near_a.join(near_b, ["doc_id", "sent"]).where(
-        F.col("a.ce_id") < F.col("b.ce_id")).select("doc_id", "a", "b")
-    # Of equal texts only neighbours are paired, so a frequent text adds a chain,
-    # not a square.  What is near is in the pairs above already.
-    same = W.partitionBy("doc_id", F.lower("m.text")).orderBy("m.ce_id")
-    far = mentions.select("doc_id", F.lag("m").over(same).alias("a"), F.col("m").alias("b")).where(
-        F.col("b.sent_no") - F.col("a.sent_no") > max_sent_gap)
-    return near.unionByName(far)
-
-
-def mention_pairs(nps: DataFrame, max_sent_gap: int = MAX_SENTENCE_GAP,
-                  max_nps: int = MAX_NPS) -> DataFrame:
+    last = lambda key: F.lag("m").over(W.partitionBy("doc_id", key).orderBy("m.ce_id"))
+    head = F.when(F.col("m.head").isNotNull(), last(F.col("m.head")))
+    found = mentions.withColumn("same_text", last(F.lower("m.text"))).withColumn("same_head", head)
+    # Mentions are numbered without gaps, so the one before is found by its number.
+    before = mentions.select("doc_id", (F.col("m.ce_id") + 1).alias("next_id"), F.col("m").alias("before"))
+    found = found.withColumn("next_id", F.col("m.ce_id")).join(before, ["doc_id", "next_id"], "left")
+    # At most three rows a mention; of one number only one stays.
+    number = lambda name: F.coalesce(F.col(f"{name}.ce_id"), F.lit(-1).cast("bigint"))
+    fresh_head = F.when(number("same_head") != number("same_text"), F.col("same_head"))
+    fresh_before = F.when((number("before") != number("same_text")) & (number("before") != number("same_head")),
+                          F.col("before"))
+    several = F.array_compact(F.array("same_text", fresh_head, fresh_before))
+    return found.select("doc_id", F.explode(several).alias("a"), F.col("m").alias("b"))
+
+
+def mention_pairs(nps: DataFrame) -> DataFrame:
     """``doc_id, i, j`` with ``i`` before ``j``.
 
-    A mention is paired with all earlier ones up to ``max_sent_gap`` sentences
-    back, and with the last earlier one of the same text wherever it stands.
-
-    Documents with ``max_nps`` or more phrases are skipped, as the coreference
-    job does; that bounds the pairs of a document.
+    A mention is paired with the last earlier one of the same text, the last earlier one of the
+    same head, and the one just before it, wherever they stand: three pairs a mention at most.
     """
-    kept = skip_many_nps(nps, nps, max_nps)
-    return _candidates(kept, max_sent_gap).select(
+    return _candidates(nps).select(
         "doc_id", F.col("a.ce_id").alias("i"), F.col("b.ce_id").alias("j"))
 
 
@@ -114,10 +107,9 @@ def pair_features(pairs: DataFrame, nps: DataFrame) -> DataFrame:
                           .join(b, ["doc_id", "j"]))
 
 
-def candidate_features(nps: DataFrame, max_sent_gap: int = MAX_SENTENCE_GAP,
-                       max_nps: int = MAX_NPS) -> DataFrame:
-    """:func:`mention_pairs` and :func:`pair_features` in one join."""
-    return _with_features(_candidates(skip_many_nps(nps, nps, max_nps), max_sent_gap))
+def candidate_features(nps: DataFrame) -> DataFrame:
+    """:func:`mention_pairs` and :func:`pair_features` at once; pairs carry what features need."""
+    return _with_features(_candidates(nps))
 
 
 def binarized_features(features: DataFrame) -> DataFrame:
@@ -158,13 +150,11 @@ def coref_links(scored: DataFrame, nps: DataFrame) -> DataFrame:
             .distinct())
 
 
-def candidate_links(nps: DataFrame, weights: dict[str, float] = WEIGHTS,
-                    max_sent_gap: int = MAX_SENTENCE_GAP, max_nps: int = MAX_NPS) -> DataFrame:
+def candidate_links(nps: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """The links of all candidates; pairs carry their texts, so no phrase is looked up again."""
     texts = [F.col("a.text").alias("left_entity"), F.col("b.text").alias("right_entity")]
-    features = _with_features(_candidates(skip_many_nps(nps, nps, max_nps), max_sent_gap), *texts)
-    return features.select("doc_id", "left_entity", "right_entity",
-                           _rounded(_score(weights), 4).alias("weight")).distinct()
+    return _with_features(_candidates(nps), *texts).select(
+        "doc_id", "left_entity", "right_entity", _rounded(_score(weights), 4).alias("weight")).distinct()
 
 
 def coref_clusters(scored: DataFrame, nps: DataFrame,

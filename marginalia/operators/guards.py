@@ -1,4 +1,7 @@
-"""Filters that decide which documents, sentences and pairs go on."""
+"""Filters that decide which documents and sentences go on.
+
+Each is a step of its own with a limit that the caller names; no job applies one unasked.
+"""
 
 from collections.abc import Iterable
 
@@ -6,14 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marginalia.schema import (
-    MAX_NPS,
-    MAX_PAIRS,
-    MAX_ROW_BYTES,
-    MAX_SENTENCE_TOKENS,
-    MAX_SENTENCES,
-    MAX_TEXT_CHARS,
-)
 from marginalia.sources.codecs import item_json
 
 
@@ -31,7 +26,7 @@ def guard_no_text(docs: DataFrame, mode: str = "empty") -> DataFrame:
     return docs.where(F.col("text").isNotNull() & has_text(mode))
 
 
-def guard_text_too_long(docs: DataFrame, limit: int = MAX_TEXT_CHARS) -> DataFrame:
+def guard_text_too_long(docs: DataFrame, limit: int) -> DataFrame:
     """Drop documents with more than ``limit`` characters."""
     return docs.where(F.length("text") <= limit)
 
@@ -53,7 +48,7 @@ def cell_sizes(ann: DataFrame) -> DataFrame:
     return ann.groupBy("doc_id", "set").agg((F.sum(item) + 1).alias("bytes"))
 
 
-def guard_row_too_large(docs: DataFrame, ann: DataFrame, limit: int = MAX_ROW_BYTES) -> DataFrame:
+def guard_row_too_large(docs: DataFrame, ann: DataFrame, limit: int) -> DataFrame:
     """Drop documents whose text and layers together exceed ``limit`` bytes."""
     large = row_sizes(docs, ann).where(F.col("bytes") > limit)
     return docs.join(large.select("doc_id"), "doc_id", "left_anti")
@@ -80,8 +75,7 @@ def skip_done(docs: DataFrame, ann: DataFrame, target: str) -> DataFrame:
     return docs.join(done, "doc_id", "left_anti")
 
 
-def skip_long_sentences(docs: DataFrame, toks: DataFrame,
-                        limit: int = MAX_SENTENCE_TOKENS) -> DataFrame:
+def skip_long_sentences(docs: DataFrame, toks: DataFrame, limit: int) -> DataFrame:
     """Drop a document when one of its sentences has more than ``limit`` tokens.
 
     Tokens carry the number of the sentence they lie in, so counting needs no
@@ -92,14 +86,14 @@ def skip_long_sentences(docs: DataFrame, toks: DataFrame,
     return docs.join(long, "doc_id", "left_anti")
 
 
-def skip_many_nps(docs: DataFrame, nps: DataFrame, limit: int = MAX_NPS) -> DataFrame:
+def skip_many_nps(docs: DataFrame, nps: DataFrame, limit: int) -> DataFrame:
     """Drop documents with ``limit`` or more noun phrases."""
     many = (nps.groupBy("doc_id").agg(F.count("*").alias("n"))
             .where(F.col("n") >= limit).select("doc_id"))
     return docs.join(many, "doc_id", "left_anti")
 
 
-def cap_sentences(sents: DataFrame, n: int = MAX_SENTENCES) -> DataFrame:
+def cap_sentences(sents: DataFrame, n: int) -> DataFrame:
     """The first ``n`` sentences of each document.
 
     Spark cuts each task's rows down to ``n`` per document before the shuffle.
@@ -108,14 +102,8 @@ def cap_sentences(sents: DataFrame, n: int = MAX_SENTENCES) -> DataFrame:
     return sents.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def cap_pairs(pairs: DataFrame, n: int = MAX_PAIRS) -> DataFrame:
-    """The first ``n`` mention pairs of each document, by mention, nearest first."""
-    rank = F.row_number().over(W.partitionBy("doc_id").orderBy("j", F.desc("i")))
-    return pairs.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-
-
 def guard_report(docs: DataFrame, ann: DataFrame, sets: Iterable[str],
-                 limit: int = MAX_TEXT_CHARS, done: str | None = None) -> DataFrame:
+                 limit: int, done: str | None = None) -> DataFrame:
     """Documents per reason to skip them; the first failing guard counts."""
     sets = list(sets)
     wanted = [*sets, done] if done else sets

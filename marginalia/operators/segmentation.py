@@ -31,9 +31,14 @@ def paragraph_spans(text: str) -> str:
     return segments(text, PARAGRAPH_PATTERN, drop="ascii(piece) = 10")
 
 
-def sentence_spans(text: str, base: str = "0L") -> str:
-    """Sentences of one paragraph: a one-character tail without a stop is dropped."""
+def sentence_spans(text: str, base: str = "0L", drop_tails: bool = False) -> str:
+    """Sentences of one paragraph; they cover all of it.
+
+    With ``drop_tails`` a last character without a stop is left out, as some annotators do.
+    """
     found = segments(text, SENTENCE_PATTERN, base=base)
+    if not drop_tails:
+        return found
     return (f"filter({found}, s -> s.`start` = {base} OR length(s.`text`) > 1"
             f" OR s.`text` RLIKE '[.!?]')")
 
@@ -50,23 +55,27 @@ def paragraphs(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("no").cast("bigint").alias("par_no"), "p.start", "p.end", "p.text")
 
 
-def default_paragraph(docs: DataFrame, pars: DataFrame) -> DataFrame:
-    """Add a paragraph ``(0, length - 1)`` to each document that has none."""
+def default_paragraph(docs: DataFrame, pars: DataFrame, less_one: bool = False) -> DataFrame:
+    """Add a paragraph over the whole text to each document that has none.
+
+    With ``less_one`` it ends one character early, as some annotators have it.
+    """
     bare = docs.join(pars.select("doc_id").distinct(), "doc_id", "left_anti")
+    end = F.coalesce(F.length("text").cast("bigint"), F.lit(0).cast("bigint"))
     covering = bare.select("doc_id", F.lit(0).cast("bigint").alias("par_no"),
                            F.lit(0).cast("bigint").alias("start"),
-                           (F.length("text").cast("bigint") - 1).alias("end"))
+                           (end - 1 if less_one else end).alias("end"))
     return pars.select("doc_id", "par_no", "start", "end").unionByName(covering)
 
 
-def sentences(docs: DataFrame, pars: DataFrame | None = None) -> DataFrame:
+def sentences(docs: DataFrame, pars: DataFrame | None = None, drop_tails: bool = False) -> DataFrame:
     """``doc_id, par_no, sent_no, start, end, text``: abutting spans per paragraph."""
     if pars is None:
-        return _sentences_of_documents(docs)
+        return _sentences_of_documents(docs, drop_tails)
     if "text" not in pars.columns:
         pars = covered_text(pars.select("doc_id", "par_no", "start", "end"), docs)
     cut = pars.select("doc_id", "par_no", F.col("start").alias("par_start"),
-                      F.expr(sentence_spans("`text`", "`start`")).alias("found"))
+                      F.expr(sentence_spans("`text`", "`start`", drop_tails)).alias("found"))
     # One row per paragraph: the window sorts paragraphs, not sentences.
     before = F.sum(F.size("found")).over(
         W.partitionBy("doc_id").orderBy("par_start", "par_no")) - F.size("found")
@@ -76,9 +85,9 @@ def sentences(docs: DataFrame, pars: DataFrame | None = None) -> DataFrame:
                     "s.start", "s.end", "s.text"))
 
 
-def _sentences_of_documents(docs: DataFrame) -> DataFrame:
+def _sentences_of_documents(docs: DataFrame, drop_tails: bool) -> DataFrame:
     found = (f"flatten(transform({paragraph_spans('`text`')}, (p, no) -> transform("
-             f"{sentence_spans('p.`text`', 'p.`start`')}, s -> struct(CAST(no AS BIGINT) AS par_no,"
+             f"{sentence_spans('p.`text`', 'p.`start`', drop_tails)}, s -> struct(CAST(no AS BIGINT) AS par_no,"
              f" s.`start` AS `start`, s.`end` AS `end`, s.`text` AS `text`))))")
     return docs.select("doc_id", F.posexplode(F.expr(found)).alias("no", "s")).select(
         "doc_id", "s.par_no", F.col("no").cast("bigint").alias("sent_no"),

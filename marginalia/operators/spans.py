@@ -37,12 +37,22 @@ def overlap_join(a: DataFrame, b: DataFrame, bits: int = CELL_BITS) -> DataFrame
 
 
 def contained_join(a: DataFrame, b: DataFrame, bits: int = CELL_BITS) -> DataFrame:
-    """Pairs with ``a`` inside ``b``, as ``doc_id, a_*, b_*``; ``a`` must not be inverted."""
-    left = _renamed(a.where(F.col("start") <= F.col("end")), "a_").withColumn(
-        "_cell", _cell("a_start", bits))
+    """Pairs with ``a.start >= b.start AND a.end <= b.end``, as ``doc_id, a_*, b_*``.
+
+    An inverted ``a`` is held by whatever meets the stretch between its ends, so it is spread
+    over that; any other ``a`` meets ``b`` in the cell of its start.
+    """
+    low = F.least("a_start", F.col("a_end"))
+    left = _renamed(a, "a_")
+    inverted = F.col("a_end") < F.col("a_start")
+    left = left.withColumn("_cell", F.explode(F.sequence(
+        F.when(inverted, _cell(F.col("a_end"), bits)).otherwise(_cell("a_start", bits)), _cell("a_start", bits))))
     right = _renamed(b, "b_").withColumn("_cell", _cells("b_start", F.col("b_end"), bits))
+    # They meet in the first common cell only.
+    begin = F.when(inverted, low).otherwise(F.col("a_start"))
+    first = F.col("_cell") == _cell(F.greatest(begin, "b_start"), bits)
     inside = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))
-    return left.join(right, ["doc_id", "_cell"]).where(inside).drop("_cell")
+    return left.join(right, ["doc_id", "_cell"]).where(first & inside).drop("_cell")
 
 
 def crossing_spans(spans: DataFrame, bits: int = CELL_BITS) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql.utils import AnalysisException
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
-from marginalia.operators import coref, entities, guards, tagging
+from marginalia.operators import audit, coref, entities, tagging
 from marginalia.operators.segmentation import paragraphs, sentences, tokens
 from marginalia.operators.spans import covered_text, require_no_crossing
-from marginalia.sources.store import read_sets, replace_sets, write_annotations
+from marginalia.session import measured
+from marginalia.sources.store import append_annotations, read_sets, replace_sets
 
 def _attrs(**values: Column) -> Column:
     if not values:
@@ -79,58 +80,37 @@ def multi_layer_annotate(docs: DataFrame) -> DataFrame:
         _token_items(S.POS, F.col("toks"), lambda t: t["tag"]), named))
 
 
-def guarded(docs: DataFrame, max_chars: int = S.MAX_TEXT_CHARS) -> DataFrame:
-    """Documents the base jobs take: with text, and not too much of it."""
-    return guards.guard_text_too_long(guards.guard_no_text(docs), max_chars)
-
-
-def with_state(docs: DataFrame, held: DataFrame, max_bytes: int = S.MAX_ROW_BYTES) -> DataFrame:
+def with_state(docs: DataFrame, held: DataFrame) -> DataFrame:
     """``doc_id, text`` and a flag for each base set the document holds.
 
     The store is reduced to one row per document first, so all later choices of
     documents are filters on flags: the text is shuffled once, by this join.
     """
     flags = [F.max(F.col("set") == name).alias(f"has_{name}") for name in S.BASE_SETS]
-    state = guards.cell_sizes(held).groupBy("doc_id").agg(F.sum("bytes").alias("_bytes"), *flags)
-    joined = guarded(docs).select("doc_id", "text").join(state, "doc_id", "left")
-    size = F.octet_length("text") + F.coalesce("_bytes", F.lit(0))
-    return joined.where(size <= max_bytes).select("doc_id", "text", *[
+    state = held.where(F.col("set").isin(*S.BASE_SETS)).groupBy("doc_id").agg(*flags)
+    return docs.select("doc_id", "text").join(state, "doc_id", "left").select("doc_id", "text", *[
         F.coalesce(f"has_{name}", F.lit(False)).alias(f"has_{name}") for name in S.BASE_SETS])
 
 
-def _tagged(sents: DataFrame, max_sentences: int | None) -> DataFrame:
-    """Sentence rows with tagged tokens; those behind the cap hold none.
-
-    Sentence numbers count from 0 without gaps, so the cap needs no window.
-    """
-    tagged = tagging.tagged_tokens(sents)
-    if max_sentences is None:
-        return tagged
-    return tagged.withColumn("toks", F.when(F.col("sent_no") < max_sentences, F.col("toks")).otherwise(
-        F.array().cast(tagged.schema["toks"].dataType)))
-
-
-def base_layers(docs: DataFrame, existing: DataFrame | None = None,
-                max_sentences: int | None = S.MAX_SENTENCES) -> DataFrame:
-    """PAR, SENT, TOKEN and POS of ``docs``; stored layers are kept, missing ones made.
+def base_layers(docs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """PAR, SENT, TOKEN and POS of ``docs``; every stored row is kept, missing layers are made.
 
-    A missing layer is made from the stored layer below it where there is one.
-    TOKEN and POS are made anew together when either is missing.
+    A missing layer is made from the stored layer below it where there is one.  TOKEN and POS
+    are made anew together when either is missing; only then do stored rows give way, and only
+    those of the document that is made anew.
     """
     if existing is None:
-        docs = guarded(docs)
         return paragraph_layer(paragraphs(docs)).unionByName(
-            text_layers(_tagged(sentences(docs), max_sentences)))
+            text_layers(tagging.tagged_tokens(sentences(docs))))
     state = with_state(docs, existing)
-    whole = (F.col("has_TOKEN") & F.col("has_POS")).alias("_whole")
-    kept = (existing.join(state.select("doc_id", whole), "doc_id")
-            .where(F.col("_whole") | ~F.col("set").isin(S.TOKEN, S.POS)))
-    return kept.select(*S.ANNOTATION_COLUMNS).unionByName(
-        new_base_layers(state, existing, max_sentences))
+    redone = state.where((F.length("text") > 0) & (F.col("has_TOKEN") != F.col("has_POS"))).select(
+        "doc_id", F.lit(True).alias("_redone"))
+    kept = (existing.join(redone, "doc_id", "left")
+            .where(F.col("_redone").isNull() | ~F.col("set").isin(S.TOKEN, S.POS)))
+    return kept.select(*S.ANNOTATION_COLUMNS).unionByName(new_base_layers(state, existing))
 
 
-def new_base_layers(state: DataFrame, held: DataFrame,
-                    max_sentences: int | None = S.MAX_SENTENCES) -> DataFrame:
+def new_base_layers(state: DataFrame, held: DataFrame) -> DataFrame:
     """What :func:`base_layers` adds to the stored layers ``held``.
 
     Layers made from the text alone need no join.  Only documents that hold a
@@ -153,10 +133,10 @@ def new_base_layers(state: DataFrame, held: DataFrame,
     no_sents = state.where(~has[S.SENT])
     on_sents = state.where(has[S.SENT] & wants_tokens)
     return (paragraph_layer(paragraphs(state.where(~has[S.PAR])))
-            .unionByName(text_layers(_tagged(new_sentences(no_sents.where(wants_tokens)), max_sentences)))
+            .unionByName(text_layers(tagging.tagged_tokens(new_sentences(no_sents.where(wants_tokens)))))
             .unionByName(sentence_layer(new_sentences(no_sents.where(~wants_tokens))))
-            .unionByName(token_layers(_tagged(
-                covered_text(of(stored_sents, on_sents), on_sents), max_sentences))))
+            .unionByName(token_layers(tagging.tagged_tokens(
+                covered_text(of(stored_sents, on_sents), on_sents)))))
 
 
 def entity_layer(ents: DataFrame) -> DataFrame:
@@ -176,21 +156,15 @@ def phrase_layer(nps: DataFrame) -> DataFrame:
 
 def annotate(docs: DataFrame, patterns: dict[str, str] = entities.PATTERNS,
              gazetteer: DataFrame | None = None, weights: dict[str, float] = coref.WEIGHTS,
-             max_sentences: int | None = S.MAX_SENTENCES,
              check_crossing: bool = False) -> tuple[DataFrame, DataFrame]:
     """All layers of ``docs`` in order, and the coreference links.
 
-    Each step that later ones read is written out, so the text is gone through
-    once for each: phrases, entities, layers.  Entities are few beside phrases;
-    where they are small enough Spark broadcasts them and moves no phrase.
+    Sentences with their tagged tokens are written once; phrases and token layers read them.
     """
-    docs = guarded(docs)
-    tagged = _tagged(sentences(docs), max_sentences)
-    sents = sentences(docs)
-    if max_sentences is not None:
-        sents = sents.where(F.col("sent_no") < max_sentences)
-    ents = durable(entities.named_entities(docs, tokens(docs, sents), patterns, gazetteer), "entities")
-    found = durable(tagging.sentence_noun_phrases(tagged), "phrases")
+    measured(docs.sparkSession)
+    tagged = durable(tagging.tagged_tokens(sentences(docs)), "tagged")
+    ents = durable(entities.named_entities(docs, tokens(docs), patterns, gazetteer), "entities")
+    found = tagging.sentence_noun_phrases(tagged)
     nps = durable(tagging.number_phrases(tagging.add_entities(found, ents, docs)), "phrases")
     if check_crossing:
         require_no_crossing(nps)
@@ -209,27 +183,41 @@ def stored_layers(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], S.ANNOTATIONS)
 
 
-def annotate_incremental(docs: DataFrame, path: str,
-                         max_sentences: int | None = S.MAX_SENTENCES) -> DataFrame:
+def annotate_incremental(docs: DataFrame, path: str) -> DataFrame:
     """Add the missing base layers to the store at ``path``; returns only what was added.
 
     New layers are appended.  Only where a stored set has to give way, the folder
     of that set is rewritten.  Nothing is made for documents that hold every
     layer, so a run that was cut short is simply started again.
     """
-    spark = docs.sparkSession
+    spark = measured(docs.sparkSession)
     held = stored_layers(spark, path)
     whole = F.col("has_PAR") & F.col("has_SENT") & F.col("has_TOKEN") & F.col("has_POS")
     state = durable(with_state(docs, held).where(~whole), "state")
-    new = durable(new_base_layers(state, held, max_sentences), "incremental")
-    stale = state.where(F.col("has_TOKEN") != F.col("has_POS")).select("doc_id")
+    new = durable(new_base_layers(state, held), "incremental")
+    stale = state.where((F.length("text") > 0) & (F.col("has_TOKEN") != F.col("has_POS"))).select("doc_id")
     if not stale.isEmpty():
+        sets = F.explode(F.array(F.lit(S.TOKEN), F.lit(S.POS))).alias("set")
         of_stale = F.col("set").isin(S.TOKEN, S.POS)
         redone = new.where(of_stale).join(stale, "doc_id", "left_semi")
         fresh = new.where(~of_stale).unionByName(
             new.where(of_stale).join(stale, "doc_id", "left_anti"))
-        replace_sets(spark, path, redone)
-        write_annotations(fresh, path)
+        replace_sets(spark, path, redone, stale.select("doc_id", sets))
+        append_annotations(fresh, path)
     elif not new.isEmpty():
-        write_annotations(new, path)
+        append_annotations(new, path)
     return new
+
+
+def repair_store(docs: DataFrame, path: str) -> DataFrame:
+    """Strip bad spans from the store at ``path``; returns the rewritten cells ``doc_id, set``.
+
+    Only changed cells are written back, also those that nothing is left of.
+    """
+    spark = measured(docs.sparkSession)
+    held = stored_layers(spark, path)
+    cells = durable(audit.changed_sets(held, docs), "repair-cells")
+    if not cells.isEmpty():
+        of_cells = held.join(cells, ["doc_id", "set"], "left_semi")
+        replace_sets(spark, path, audit.strip_bad_annotations(of_cells, docs), cells)
+    return cells

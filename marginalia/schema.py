@@ -8,25 +8,19 @@ SENT = "SENT"
 TOKEN = "TOKEN"
 POS = "POS"
 NE = "NE"
-PARSE = "PARSE"
-DEP = "DEP"
 NP = "NP"
-COREF = "COREF"
-RESPONSE_NPS = "RESPONSE_NPS"
-PAIRS = "PAIRS"
 
 BASE_SETS = (PAR, SENT, TOKEN, POS)
 
-# Limits of the annotation jobs.
-MAX_TEXT_CHARS = 1024 * 1024
-MAX_TEXT_CHARS_LARGE = 10 * 1024 * 1024
-MAX_ROW_BYTES = 10 * 1024 * 1024
-MAX_SENTENCES = 1000
+# Tokens of a sentence above which it is split, where document numbers wrap.
 MAX_SENTENCE_TOKENS = 100
-MAX_NPS = 1000
-MAX_PAIRS = 1000
 MAX_DOCUMENT_NUMBER = 32767
-SENTENCE_ID_STEP = 1_000_000
+
+# Characters that one part of an encoded cell covers; longer documents have more parts.
+CELL_CHARS = 1024 * 1024
+
+# Annotation ids hold the sentence above this many bits and the token below.
+SENTENCE_ID_STEP = 1 << 32
 
 ANNOTATIONS = T.StructType([
     T.StructField("doc_id", T.LongType()),

@@ -6,14 +6,21 @@ from pyspark.sql import SparkSession
 # and leave out a shuffle; in 4.1.2 aggregates over such unions come out wrong.
 CORRECTNESS = {"spark.sql.unionOutputPartitioning": "false"}
 
-# Joins carry no broadcast hints: Spark checks the size of a side itself and
-# AQE splits the hot partitions of those it cannot broadcast.
+# Before a query runs, Spark guesses that rows exploded from a text are smaller than the text and
+# would broadcast them.  So no side is broadcast on a guess: joins are planned as shuffles, and AQE
+# broadcasts a side that it has measured to be small.
+MEASURED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    **MEASURED,
     **CORRECTNESS,
 }
 
@@ -29,3 +36,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in CORRECTNESS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def measured(spark: SparkSession) -> SparkSession:
+    """As :func:`prepare`, and broadcast measured sides only."""
+    for key, value in MEASURED.items():
+        spark.conf.set(key, value)
+    return prepare(spark)

@@ -115,13 +115,13 @@ def test_audit(spark, span, flags, failed):
 @pytest.mark.parametrize("n, kept", [(100, 1), (101, 0)])
 def test_skip_long_sentences(spark, n, kept):
     d = docs(spark, "a " * n)
-    assert guards.skip_long_sentences(d, segmentation.tokens(d)).count() == kept
+    assert guards.skip_long_sentences(d, segmentation.tokens(d), 100).count() == kept
 
 
 @pytest.mark.parametrize("n, kept", [(999, 1), (1000, 0)])
 def test_skip_many_nps(spark, n, kept):
     nps = spark.range(n).select(F.lit(0).cast("bigint").alias("doc_id"))
-    assert guards.skip_many_nps(docs(spark, "x"), nps).count() == kept
+    assert guards.skip_many_nps(docs(spark, "x"), nps, 1000).count() == kept
 
 
 def test_np_log10_histogram(spark):

@@ -122,7 +122,7 @@ def test_one_document_with_most_of_the_text(spark, folder):
     text = spans.covered_text(toks.drop("text"), d).groupBy("text").count().collect()
     assert {r["text"]: r["count"] for r in text}["fox"] == 4000
     nps = tagging.base_noun_phrases(d)
-    assert guards.skip_many_nps(d, nps).count() == 2
+    assert guards.skip_many_nps(d, nps, 1000).count() == 2
     assert coref.mention_pairs(nps).where("doc_id = 1").isEmpty()
 
 
