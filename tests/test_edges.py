@@ -34,7 +34,7 @@ def test_term_list(spark, text, expected):
 
 @pytest.mark.parametrize("text, expected", [
     ("Hi there. Bye", [(0, 0, 10), (0, 10, 13)]),
-    ("Hi. x", [(0, 0, 4)]),
+    ("Hi. x", [(0, 0, 4), (0, 4, 5)]),
     ("no stop", [(0, 0, 7)]),
     ("x", [(0, 0, 1)]),
     ("a.\nb.", [(0, 0, 2), (0, 3, 5)]),
@@ -45,6 +45,14 @@ def test_sentences(spark, text, expected):
     assert span_rows(segmentation.sentences(d, segmentation.paragraphs(d).drop("text"))) == expected
 
 
+def test_tails_go_on_demand_only(spark):
+    d = docs(spark, "Hi. x")
+    assert span_rows(segmentation.sentences(d, drop_tails=True)) == [(0, 0, 4)]
+    none = segmentation.paragraphs(d).where("1 = 0")
+    assert span_rows(segmentation.default_paragraph(d, none)) == [(0, 0, 5)]
+    assert span_rows(segmentation.default_paragraph(d, none, less_one=True)) == [(0, 0, 4)]
+
+
 def test_offsets_are_code_points_and_blanks_are_no_tokens(spark):
     d = docs(spark, "\t😀 né\u000b\f ok ,x  ")
     found = span_rows(segmentation.tokens(d), "text")
