@@ -176,6 +176,11 @@ def cap_sentences(spark, folder):
     return guards.cap_sentences(sents.select("doc_id", "sent_no", "start", "end"), 200)
 
 
+@query
+def cap_pairs(spark, folder):
+    return guards.first_pairs(coref.mention_pairs(inputs.phrases(spark, folder)), 1000)
+
+
 @query
 def guard_report(spark, folder):
     return guards.guard_report(documents.scan_documents(spark, folder), inputs.stored(spark, folder),

@@ -102,6 +102,12 @@ def cap_sentences(sents: DataFrame, n: int) -> DataFrame:
     return sents.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def first_pairs(pairs: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` mention pairs of each document, by mention, nearest first: a report, no step of a job."""
+    rank = F.row_number().over(W.partitionBy("doc_id").orderBy("j", F.desc("i")))
+    return pairs.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
 def guard_report(docs: DataFrame, ann: DataFrame, sets: Iterable[str],
                  limit: int, done: str | None = None) -> DataFrame:
     """Documents per reason to skip them; the first failing guard counts."""
