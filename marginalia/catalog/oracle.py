@@ -562,5 +562,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "annotate": f"""SELECT "set", type, {_SUMS} FROM (SELECT {_ANN} FROM ann
         UNION ALL SELECT {_ANN} FROM ann_ne UNION ALL SELECT {_ANN} FROM ann_np) GROUP BY "set", type""",
     "annotate_links": "SELECT doc_id, left_entity, right_entity, weight FROM links_ne",
-    "annotate_incremental": f"""SELECT CAST(1 AS BIGINT) AS run, doc_id, "set", {_SUMS} FROM fill GROUP BY doc_id, "set" """,
+    "annotate_incremental": f"""SELECT CAST(1 AS BIGINT) AS run, doc_id, "set", {_SUMS} FROM (
+        SELECT {_ANN} FROM fill UNION ALL SELECT {_ANN} FROM ann_ne UNION ALL SELECT {_ANN} FROM ann_np)
+        GROUP BY doc_id, "set" """,
 }.items()}

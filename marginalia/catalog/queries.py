@@ -608,8 +608,9 @@ def annotate_links(spark, folder):
 def annotate_incremental(spark, folder):
     path = new_folder(spark, "store")
     store.write_annotations(inputs.stored(spark, folder), path)
-    first = plan.annotate_incremental(inputs.docs(spark, folder), path)
-    again = plan.annotate_incremental(inputs.docs(spark, folder), path)
+    rules = inputs.CHECK_PATTERNS, inputs.gazetteer(spark)
+    first = plan.annotate_incremental(inputs.docs(spark, folder), path, *rules)
+    again = plan.annotate_incremental(inputs.docs(spark, folder), path, *rules)
     runs = first.withColumn("run", F.lit(1).cast("bigint")).unionByName(
         again.withColumn("run", F.lit(2).cast("bigint")))
     return _sums(runs, "run", "doc_id", "set")

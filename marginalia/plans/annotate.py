@@ -6,7 +6,7 @@ from pyspark.sql.utils import AnalysisException
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
-from marginalia.operators import audit, coref, entities, tagging
+from marginalia.operators import audit, coref, entities, guards, tagging
 from marginalia.operators.segmentation import paragraphs, sentences, tokens
 from marginalia.operators.spans import covered_text, require_no_crossing
 from marginalia.session import measured
@@ -183,18 +183,26 @@ def stored_layers(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], S.ANNOTATIONS)
 
 
-def annotate_incremental(docs: DataFrame, path: str) -> DataFrame:
-    """Add the missing base layers to the store at ``path``; returns only what was added.
+def annotate_incremental(docs: DataFrame, path: str, patterns: dict[str, str] = entities.PATTERNS,
+                         gazetteer: DataFrame | None = None) -> DataFrame:
+    """Add the missing layers to the store at ``path``; returns only what was added.
 
     New layers are appended.  Only where a stored set has to give way, the folder
     of that set is rewritten.  Nothing is made for documents that hold every
-    layer, so a run that was cut short is simply started again.
+    layer, so a run that was cut short is simply started again.  Entities and
+    phrases are made for documents that hold no set of theirs.
     """
     spark = measured(docs.sparkSession)
     held = stored_layers(spark, path)
     whole = F.col("has_PAR") & F.col("has_SENT") & F.col("has_TOKEN") & F.col("has_POS")
     state = durable(with_state(docs, held).where(~whole), "state")
-    new = durable(new_base_layers(state, held), "incremental")
+    open_docs = durable(guards.skip_done(docs.select("doc_id", "text"), held, S.NP), "no-phrases")
+    ents = durable(entities.named_entities(open_docs, tokens(open_docs), patterns, gazetteer), "entities")
+    nps = tagging.base_noun_phrases(open_docs, ents=ents)
+    # Phrases come last, so documents without them are the only ones that can lack entities.
+    named = guards.skip_done(ents, held, S.NE)
+    new = durable(new_base_layers(state, held).unionByName(entity_layer(named)).unionByName(phrase_layer(nps)),
+                  "incremental")
     stale = state.where((F.length("text") > 0) & (F.col("has_TOKEN") != F.col("has_POS"))).select("doc_id")
     if not stale.isEmpty():
         sets = F.explode(F.array(F.lit(S.TOKEN), F.lit(S.POS))).alias("set")
