@@ -440,15 +440,7 @@ def tag_counts(spark, folder):
 
 @query
 def job_counters(spark, folder):
-    d = inputs.docs(spark, folder)
-    held = inputs.stored(spark, folder)
-    group = "base annotation"
-    parts = [rollups.counter(d, group, "rows")]
-    for name in S.BASE_SETS:
-        parts.append(rollups.counter(guards.skip_done(d, held, name), group, f"add {name}"))
-        parts.append(rollups.counter(held.where(F.col("set") == name).select("doc_id").distinct(),
-                                     group, f"has {name}"))
-    return rollups.job_counters(parts)
+    return plan.layer_counters(inputs.docs(spark, folder), inputs.stored(spark, folder))
 
 
 @query

@@ -92,6 +92,21 @@ def with_state(docs: DataFrame, held: DataFrame) -> DataFrame:
         F.coalesce(f"has_{name}", F.lit(False)).alias(f"has_{name}") for name in S.BASE_SETS])
 
 
+def layer_counters(docs: DataFrame, held: DataFrame, group: str = "base annotation") -> DataFrame:
+    """``group, name, count``: documents seen, and those that hold or lack each base set.
+
+    Counted from one row of flags a document, as the jobs see it.
+    """
+    counts = {"rows": F.count("*")}
+    for name in S.BASE_SETS:
+        counts[f"add {name}"] = F.count_if(~F.col(f"has_{name}"))
+        counts[f"has {name}"] = F.count_if(F.col(f"has_{name}"))
+    wide = with_state(docs, held).agg(*[count.alias(name) for name, count in counts.items()])
+    listed = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("count")) for name in counts]))
+    return (wide.select(F.lit(group).alias("group"), listed.alias("c")).select("group", "c.name", "c.count")
+            .where((F.col("count") > 0) | (F.col("name") == "rows")).orderBy("group", "name"))
+
+
 def base_layers(docs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """PAR, SENT, TOKEN and POS of ``docs``; every stored row is kept, missing layers are made.
 
