@@ -464,7 +464,7 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "base_noun_phrases_with_entities": """SELECT doc_id, ce_id, sent_no, start, "end", text, head,
         coalesce(head_no, 0) AS head_no FROM nps_ne""",
     "noun_phrases_of_tokens": 'SELECT doc_id, sent_no, start, "end", head, head_no FROM np_span',
-    "split_long_sentences": """
+    **{name: """
         SELECT p.doc_id, p.sent_no, row_number() OVER (PARTITION BY p.doc_id, p.sent_no ORDER BY p.low) - 1 AS part_no,
                CASE WHEN p.low = 0 THEN s.start ELSE a.start END AS start,
                CASE WHEN p.high = z.n THEN s."end" ELSE z."end" END AS "end"
@@ -472,7 +472,8 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         JOIN long_toks a ON a.doc_id = p.doc_id AND a.sent_no = p.sent_no AND a.tok_no = p.low + 1
         JOIN long_toks z ON z.doc_id = p.doc_id AND z.sent_no = p.sent_no AND z.tok_no = p.high
         UNION ALL SELECT s.doc_id, s.sent_no, 0, s.start, s."end"
-        FROM sents s ANTI JOIN part_ends p USING (doc_id, sent_no)""",
+        FROM sents s ANTI JOIN part_ends p USING (doc_id, sent_no)"""
+       for name in ("split_long_sentences", "split_long_sentences_of_stored_tokens")},
     "all_caps_lower": rf"""SELECT t.doc_id, t.sent_no, t.tok_no, t.start, t."end", t.text,
             CASE WHEN regexp_full_match(s.text, '[^a-z]+{BLANKS}[^a-z]+') THEN lower(t.text)
                  ELSE t.text END AS text_norm

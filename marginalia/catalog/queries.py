@@ -310,6 +310,12 @@ def noun_phrases_of_tokens(spark, folder):
 
 @query
 def split_long_sentences(spark, folder):
+    d = inputs.docs(spark, folder)
+    return segmentation.split_long_sentences(segmentation.sentences(d))
+
+
+@query
+def split_long_sentences_of_stored_tokens(spark, folder):
     d = inputs.docs(spark, folder)
     return segmentation.split_long_sentences(segmentation.sentences(d), segmentation.tokens(d))
 

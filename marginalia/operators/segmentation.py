@@ -157,39 +157,61 @@ def cut_points(n: int, places: list[int], ranks: list[int], limit: int) -> list[
     return sorted(cuts)
 
 
-def split_long_sentences(sents: DataFrame, toks: DataFrame,
+def split_long_sentences(sents: DataFrame, toks: DataFrame | None = None,
                          limit: int = MAX_SENTENCE_TOKENS) -> DataFrame:
     """``doc_id, sent_no, part_no, start, end`` with at most ``limit`` tokens a part.
 
-    A stretch without any break stays whole.  Only sentences above the limit go
-    to Python, as the positions of their break tokens.
+    A stretch without any break stays whole.  Sentences with ``text`` are cut up inside their
+    rows, without a shuffle; given stored tokens, those are brought together by sentence.  Only
+    the positions of break tokens in sentences above the limit go to Python.
     """
     @F.pandas_udf("array<int>")
     def cuts_of(n: pd.Series, places: pd.Series, ranks: pd.Series) -> pd.Series:
         rows = zip(n, places, ranks)
         return pd.Series([cut_points(size, list(p), list(r), limit) for size, p, r in rows])
 
-    sentence = W.partitionBy("doc_id", "sent_no")
-    rank = F.array_position(F.array(*[F.lit(b) for b in BREAKS]), F.col("text")).cast("int") - 1
-    breaks = (toks.withColumn("n", F.count("*").over(sentence))
-              .withColumn("next", F.lead("start").over(sentence.orderBy("tok_no")))
-              .where((F.col("n") > limit) & F.col("text").isin(*BREAKS))
-              .groupBy("doc_id", "sent_no").agg(
-                  F.max("n").alias("n"),
-                  F.array_sort(F.collect_list(F.struct(
-                      (F.col("tok_no") - 1).cast("int").alias("place"), rank.alias("rank"),
-                      F.col("end").alias("end"), F.col("next").alias("next")))).alias("breaks")))
-    cut = breaks.select("doc_id", "sent_no", F.transform(
-        cuts_of("n", F.col("breaks")["place"], F.col("breaks")["rank"]),
-        lambda k: F.col("breaks")[k]).alias("cuts"))
-    starts = F.concat(F.array("start"), F.coalesce(F.col("cuts")["next"], F.array().cast("array<bigint>")))
-    ends = F.concat(F.coalesce(F.col("cuts")["end"], F.array().cast("array<bigint>")), F.array("end"))
-    parts = F.posexplode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("no", "part")
-    return (sents.select("doc_id", "sent_no", "start", "end")
-            .join(cut, ["doc_id", "sent_no"], "left")
-            .select("doc_id", "sent_no", parts)
+    breaks = _breaks_of_rows(sents, limit) if toks is None else _breaks_of_tokens(sents, toks, limit)
+    cuts = F.transform(cuts_of("n", F.col("breaks")["place"], F.col("breaks")["rank"]), lambda k: F.col("breaks")[k])
+    none = F.array().cast("array<bigint>")
+    cut = breaks.where("n IS NOT NULL").withColumn("cuts", cuts).select(
+        "doc_id", "sent_no", F.concat(F.array("start"), F.coalesce(F.col("cuts")["next"], none)).alias("starts"),
+        F.concat(F.coalesce(F.col("cuts")["end"], none), F.array("end")).alias("ends"))
+    whole = breaks.where("n IS NULL").select("doc_id", "sent_no", F.array("start").alias("starts"),
+                                             F.array("end").alias("ends"))
+    parts = F.posexplode(F.arrays_zip("starts", "ends")).alias("no", "part")
+    return (cut.unionByName(whole).select("doc_id", "sent_no", parts)
             .select("doc_id", "sent_no", F.col("no").cast("bigint").alias("part_no"),
-                    "part.start", "part.end"))
+                    F.col("part.starts").alias("start"), F.col("part.ends").alias("end")))
+
+
+def _breaks_of_rows(sents: DataFrame, limit: int) -> DataFrame:
+    """``doc_id, sent_no, start, end, n, breaks``; ``n`` is null where nothing is to be cut."""
+    rows = sents.select("doc_id", "sent_no", "start", "end", F.expr(token_spans("`text`", "`start`")).alias("toks"))
+    ranks = F.array(*[F.lit(b) for b in BREAKS])
+    listed = F.filter(
+        F.transform("toks", lambda t, i: F.struct(
+            i.alias("place"), (F.array_position(ranks, t["text"]).cast("int") - 1).alias("rank"), t["end"].alias("end"),
+            F.get(F.col("toks"), i + 1)["start"].alias("next"))),
+        lambda b: b["rank"] >= 0)
+    long = F.size("toks") > limit
+    return rows.select("doc_id", "sent_no", "start", "end", F.when(long, F.size("toks")).alias("n"),
+                       F.when(long, listed).alias("breaks"))
+
+
+def _breaks_of_tokens(sents: DataFrame, toks: DataFrame, limit: int) -> DataFrame:
+    """The same from stored tokens; only those of long sentences are sorted."""
+    sentence = ["doc_id", "sent_no"]
+    sizes = toks.groupBy(*sentence).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    rank = F.array_position(F.array(*[F.lit(b) for b in BREAKS]), F.col("text")).cast("int") - 1
+    found = (toks.join(sizes, sentence)
+             .withColumn("next", F.lead("start").over(W.partitionBy(*sentence).orderBy("tok_no")))
+             .where(F.col("text").isin(*BREAKS))
+             .groupBy(*sentence).agg(
+                 F.max("n").cast("int").alias("n"),
+                 F.array_sort(F.collect_list(F.struct(
+                     (F.col("tok_no") - 1).cast("int").alias("place"), rank.alias("rank"),
+                     F.col("end").alias("end"), F.col("next").alias("next")))).alias("breaks")))
+    return sents.select(*sentence, "start", "end").join(found, sentence, "left")
 
 
 def document_number(docs: DataFrame, numbered: DataFrame | None = None,
