@@ -213,7 +213,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     spans = lined.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / block), last)))
     begin = F.greatest("at", F.col("block") * block)
     end = F.least(F.col("at") + F.col("size"), F.col("block") * block + F.col("words"))
-    pieces = (spans.join(draws(docs.sparkSession, sources, block), ["source_no", "block"])
+    # Spark takes the draws for as small as the shard numbers that they come from; they grow with the mix.
+    drawn = draws(docs.sparkSession, sources, block).hint("merge")
+    pieces = (spans.join(drawn, ["source_no", "block"])
               .where(end > begin)
               .select("shard", "position", "doc_id", "key", "source_no", "at", "size",
                       (begin - F.col("at")).alias("start_word"), (end - begin).alias("n_words")))
