@@ -3,8 +3,10 @@
 The shingles of a text are 64-bit hashes in ascending order, the global order of all sets.  Two
 sets whose Jaccard similarity reaches the threshold differ in a bounded number of shingles.  Hash
 space is cut into more parts than that, so that the pair agrees in all of some part: a key is
-made of each part, and sets that share a key are tied together.  Whatever links lies in one block
-of tied sets.  In a block the sets are stored in a trie; each set walks it level by level, carries
+made of each part, and sets that share a key are tied together.  There are spare parts, so that a
+linking pair agrees in several; parts that hold frequent shingles only, or none, say little and are
+left out of a set that has no more of them than are spare.  Whatever links lies in one block of tied
+sets.  In a block the sets are stored in a trie; each set walks it level by level, carries
 the overlap that paths share, and leaves a subtree once the remaining lengths cannot reach the
 overlap that a link needs.
 """
@@ -23,9 +25,9 @@ from marginalia.llm import common
 TRIE = 512
 # Ratio of the largest to the smallest set size of a level.
 LEVEL = Fraction(7, 5)
-# Parts beyond the differences of a pair: a set with no more empty parts than this needs no key for them.
-SPARE = 2
-_SIGN = np.uint64(1 << 63)
+# Shingles that count as frequent, at most, and documents of one task that must hold them.
+FREQUENT = 1 << 20
+TOGETHER = 4
 
 
 # --- sets ------------------------------------------------------------------------------------
@@ -88,30 +90,72 @@ class _Levels:
         both = small + int(small / self.t)
         return int((1 - self.t) / (1 + self.t) * both)
 
-    def keys(self, members: np.ndarray) -> list[np.ndarray]:
-        """Keys of a set: for its own level, and for a level below in which it may have partners."""
+    def keys(self, members: np.ndarray, frequent: np.ndarray) -> list[np.ndarray]:
+        """Keys of a set: for its own level, and for a level below in which it may have partners.
+
+        A linking pair agrees in one part more than are spare.  Whether a part is weak follows from
+        its content, so where a set leaves out no more weak parts than are spare, the pair still
+        agrees in a part that both make a key of.  Any choice of ``frequent`` is right.
+        """
         size, out = len(members), []
         own = self.of(size)
         # A partner's size is at least t times this one's.
         lowest = self.of(max(1, -(-size * self.t.numerator // self.t.denominator)))
+        value = common.mixed(members + np.uint64(0xA0761D6478BD642F))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
+        rare = np.concatenate([[0], np.cumsum(~_among(members, frequent))])
         for level in range(lowest, own + 1):
             differ = self.differences(level)
             if not differ:
                 continue  # such pairs are equal sets
-            parts = differ + 1 + SPARE
+            spare = differ // 4 + 4
+            parts = differ + 1 + spare
             part = ((members >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            value = common.mixed(members + np.uint64(0xA0761D6478BD642F))
             edge = np.searchsorted(part, np.arange(parts + 1))
-            total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
             content = total[edge[1:]] - total[edge[:-1]]
-            filled = edge[1:] > edge[:-1]
-            if parts - int(filled.sum()) > SPARE:
-                filled[:] = True
-            number = np.flatnonzero(filled).astype(np.uint64)
-            out.append(common.mixed(content[filled] ^ common.mixed(number + np.uint64(level + 1) * np.uint64(1 << 32))))
+            strong = rare[edge[1:]] > rare[edge[:-1]]
+            if parts - int(strong.sum()) > spare:
+                strong[:] = True
+            number = np.flatnonzero(strong).astype(np.uint64)
+            out.append(common.mixed(content[strong] ^ common.mixed(number + np.uint64(level + 1) * np.uint64(1 << 32))))
         return out
 
 
+def _among(members: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    if not len(listed):
+        return np.zeros(len(members), bool)
+    return listed[np.minimum(np.searchsorted(listed, members), len(listed) - 1)] == members
+
+
+def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
+    """Shingles of passages that many documents share, ascending; ``FREQUENT`` of them at most.
+
+    All documents count.  A task hands on what ``TOGETHER`` of its documents hold.
+    """
+    def count(batches):
+        held, size = [], 0
+        for batch in batches:
+            for _, offsets, data in common.slices(batch.column(0)):
+                held += shingle_sets(offsets, data, n)
+            size = sum(map(len, held))
+            if size > 3_000_000:
+                yield _often(held)
+                held = []
+        if held:
+            yield _often(held)
+
+    found = (docs.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle")
+             .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toArrow())
+    return np.sort(found["shingle"].to_numpy().view(np.uint64))
+
+
+def _often(sets: list[np.ndarray]) -> pa.RecordBatch:
+    shingle, n = np.unique(np.concatenate(sets), return_counts=True)
+    often = n >= TOGETHER
+    return pa.RecordBatch.from_arrays([pa.array(shingle[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
+                                      ["shingle", "n"])
+
+
 def _runs(batches):
     """Ties of sorted ``(key, sig)`` rows: each row to the first one with its key."""
     last_key, last_sig = None, None
@@ -141,12 +185,15 @@ def ties(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     A task ties the sets that it reads to the first one of each key itself and hands on that one
     only, so that a key reaches the shuffle once per task however many sets have it.
     """
+    spark = docs.sparkSession
+    listed = spark.sparkContext.broadcast(frequent_shingles(docs, n))
+
     def make(batches):
         levels, keys, sigs, held = _Levels(threshold), [], [], 0
         for batch in batches:
             for _, offsets, data in common.slices(batch.column(1)):
                 for members in shingle_sets(offsets, data, n):
-                    found = levels.keys(members) if len(members) else []
+                    found = levels.keys(members, listed.value) if len(members) else []
                     if found:
                         sig = _signature(members)[0]
                         keys += found
