@@ -140,7 +140,8 @@ def lm_scores(docs: DataFrame, targets: DataFrame, size: int = VOCABULARY) -> Da
     vocab = vocabulary(docs, size)
     n = len(vocab)
     ids = targets.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    flagged = (docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left")
+    # Texts meet the target ids by a shuffle at every size, so that the plan does not turn with it.
+    flagged = (docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
                .select("text", F.col("_id").isNotNull().alias("target")))
     found = steps.keep(counters(flagged, vocab), "counters")
     # As many rows as there are parts, whatever the corpus holds.
