@@ -7,10 +7,10 @@ from pyspark.sql import SparkSession
 CORRECTNESS = {"spark.sql.unionOutputPartitioning": "false"}
 
 # Before a query runs, Spark guesses that rows exploded from a text are smaller than the text and
-# would broadcast them.  So no side is broadcast on a guess: joins are planned as shuffles, and AQE
-# broadcasts a side that it has measured to be small.
+# would broadcast them.  So only what is tiny, such as a word list, is broadcast on a guess; other
+# joins are planned as shuffles, and AQE broadcasts a side that it has measured to be small.
 MEASURED = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "16KB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
