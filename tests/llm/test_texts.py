@@ -421,6 +421,30 @@ def test_lm_scores_against_plain_counts(spark):
         assert row["score"] == pytest.approx(row["target_loss"] - row["background_loss"])
 
 
+def test_lm_counts_every_word_and_bigram(spark):
+    # More words than 65,536, more bigrams than 2^21, several chunks and buckets.
+    rng = np.random.default_rng(4)
+    texts = [[f"w{n:x}" for n in rng.integers(0, 90_000, 2300)] for _ in range(1000)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = lm_score.lm_scores(docs, spark.range(0, 1000, 7).toDF("doc_id")).toPandas().set_index("doc_id").sort_index()
+    size = len({w for t in texts for w in t})
+    assert size > 1 << 16 and len({p for t in texts for p in zip(t, t[1:])}) > 1 << 21
+    for column, known in (("background_loss", texts), ("target_loss", texts[::7])):
+        single = Counter(w for t in known for w in t)
+        both = Counter(p for t in known for p in zip(["^"] + t, t))
+        ahead = Counter(w for t in known for w in ["^"] + t[:-1])
+        total = sum(single.values())
+        want = [np.mean([-np.log((both[p, w] + 50 * (single[w] + 1) / (total + size + 1)) / (ahead[p] + 50))
+                         for p, w in zip(["^"] + t, t)]) for t in texts[::50]]
+        assert got[column].to_numpy()[::50] == pytest.approx(np.array(want))
+
+
+def test_lm_tells_bigrams_with_one_key_apart():
+    key, check = np.array([5, 5, 5, 9], np.uint64), np.array([1, 2, 1, 1], np.uint16)
+    sums, different = lm_score.summed(key, check, np.array([[1, 2, 3, 4]]))
+    assert sums.tolist() == [[4, 2, 4, 4]] and different == 3
+
+
 def test_lm_scores_of_odd_rows(odd, nothing, labels):
     got = lm_score.lm_scores(odd, labels).toPandas()
     assert len(got) == odd.count() and np.isfinite(got["score"]).all()
