@@ -2,7 +2,8 @@
 
 Every partition packs its pieces best-fit decreasing and compares its bins with the lower bound
 that dual-feasible functions give.  Partitions with a gap put the documents of their loosest
-bins up for exchange; exchanged documents meet in fewer partitions and are packed again.
+bins up for exchange; exchanged documents meet in partitions of bounded size and are packed again,
+as long as that saves bins.
 """
 
 import json
@@ -22,10 +23,12 @@ from marginalia.llm import common
 
 END = 1
 CAPACITY = 4096
-# Pieces that one partition packs, exchanged partitions that meet, bins given up for each gap.
+# Pieces that one partition packs, times as many that meet in an exchange, bins given up for each gap.
 PIECES = 20_000
 MEET = 16
 LOOSE = 12
+# Exchanges at most; the number of the round stands above 56 bits of a sequence's number.
+ROUNDS = 100
 # Words whose ids a worker remembers; the older half goes when it is full.
 REMEMBERED = 600_000
 
@@ -243,31 +246,39 @@ def placed(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Places ``(doc_id, piece, length, copy)`` rows: adds ``sequence_id`` and ``offset``.
 
     ``copy`` tells repeated rows apart.  Round 0 deals pieces evenly to partitions of about
-    ``PIECES``; in each further round the pieces of the loosest bins of ``MEET`` partitions meet.
-    A partition whose bins reach its bound has closed all but its last bins; ``gap`` is what it
-    could still save.  The last round is one partition of loose bins only: it holds a number of
-    bins for each partition of the round before, never the input.
+    ``PIECES``; in each further round the pieces of the loosest bins are dealt anew to partitions
+    of about ``MEET * PIECES``.  A partition whose bins reach its bound has closed all but its last
+    bins; ``gap`` is what it could still save.  Where lengths keep the bound out of reach, most
+    bins stay loose: then rounds end as soon as one saves no bins, and the bins before it stand.
+    So no partition grows with the input, and no exchange makes the packing worse.
     """
     steps = common.Steps(lengths.sparkSession, "packing")
-    groups = max(1, -(-lengths.count() // PIECES))
-    rows = lengths.withColumn("grp", common.spread(F.struct("doc_id", "piece", "copy"), groups).cast("bigint"))
-    done, number = [], 0
+    rows, groups, entered = lengths, max(1, -(-lengths.count() // PIECES)), None
+    done, number, before = [], 0, None
     while True:
-        schema = _PLACED
-        packed = rows.select("doc_id", "piece", "length", "copy", "grp").groupBy("grp").applyInPandas(
-            _packed(capacity, groups == 1), schema)
+        last = groups == 1 or number == ROUNDS
+        # Other pieces meet in each round, also in as many partitions as before.
+        deal = common.spread(F.struct("doc_id", "piece", "copy", F.lit(number)), groups).cast("bigint")
+        packed = rows.select("doc_id", "piece", "length", "copy", deal.alias("grp")).groupBy("grp").applyInPandas(
+            _packed(capacity, last), _PLACED)
         packed = steps.keep(packed, f"round-{number}")
+        counted = packed.groupBy("grp", "bin").agg(F.count("*").alias("n"), F.first("loose").alias("loose"))
+        bins, loose, pieces_left = counted.agg(F.count("*"), F.count_if("loose"),
+                                               F.sum(F.when(F.col("loose"), F.col("n")))).first()
+        if entered is not None and bins >= entered:
+            done.append(before.where("loose"))
+            break
         sequence = F.col("bin") + F.col("grp") * F.lit(1 << 32) + F.lit(number << 56)
-        done.append(packed.where("NOT loose").select("doc_id", "piece", "length", "copy",
-                                                     sequence.alias("sequence_id"), "offset"))
-        if groups == 1:
+        packed = packed.select("doc_id", "piece", "length", "copy", sequence.alias("sequence_id"), "offset", "loose")
+        done.append(packed.where("NOT loose"))
+        if not loose:
             break
-        rows = packed.where("loose").withColumn("grp", F.floor(F.col("grp") / MEET))
-        groups, number = -(-groups // MEET), number + 1
+        before, entered, rows = packed, loose, packed.where("loose")
+        groups, number = -(-pieces_left // (MEET * PIECES)), number + 1
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
-    return out
+    return out.drop("loose")
 
 
 def certificate(result: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -103,6 +103,22 @@ def test_exchange_reaches_the_bound(spark, monkeypatch):
     assert used.max() <= 100
 
 
+def test_no_partition_grows_where_the_bound_is_out_of_reach(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES", 500)
+    monkeypatch.setattr(packing, "MEET", 4)
+    lengths = np.random.default_rng(3).integers(700, 1301, 20_000)
+    rows = [(i, 0, int(n), i) for i, n in enumerate(lengths)]
+    where = packing.placed(spark.createDataFrame(rows, "doc_id bigint, piece int, length bigint, copy bigint")).toPandas()
+    assert sorted(where["copy"]) == list(range(20_000))
+    where = where.sort_values(["sequence_id", "offset"])
+    each = where.groupby("sequence_id")["length"]
+    assert (where["offset"] == each.cumsum() - where["length"]).all() and each.sum().max() <= 4096
+    # Dealt by a hash, partitions of 2,000 pieces differ by some of them.
+    assert where.groupby(where["sequence_id"] // 2**32).size().max() <= 2400
+    alone = sum(len(packing.best_fit(-np.sort(-part), 4096)[2]) for part in np.array_split(lengths, 40))
+    assert each.ngroups <= alone
+
+
 def test_lower_bound_sees_pieces_that_cannot_pair():
     counts = np.zeros(101, int)
     counts[60] = 10
