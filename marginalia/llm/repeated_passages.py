@@ -2,9 +2,10 @@
 
 Suffixes are kept only where a text's minimisers begin: of the shingles that begin in the first
 ``WINDOW`` words of a passage, the one with the smallest hash.  Equal passages keep equal suffixes,
-at the same place.  The kept suffixes are sorted by their first ``RIGHT`` words, neighbours are
-compared, and matches are extended to the left and right: to the whole context for which a suffix
-was kept, and at the borders of a match window by window.
+at the same place.  The kept suffixes are sorted by a 64-bit hash of their first
+``least - WINDOW + 1`` words, not by the words, and those whose hash stands alone are dropped.
+Matches are found by hashes: of the whole context for which a suffix was kept, and at the borders
+of a match of each window of ``least`` words.  So results are exact up to hash collisions.
 """
 
 import numpy as np
