@@ -211,10 +211,12 @@ def annotate_incremental(docs: DataFrame, path: str, patterns: dict[str, str] =
     held = stored_layers(spark, path)
     whole = F.col("has_PAR") & F.col("has_SENT") & F.col("has_TOKEN") & F.col("has_POS")
     state = durable(with_state(docs, held).where(~whole), "state")
-    open_docs = durable(guards.skip_done(docs.select("doc_id", "text"), held, S.NP), "no-phrases")
+    # Documents that lack entities or phrases; a store may hold either without the other.
+    both = (held.where(F.col("set").isin(S.NE, S.NP)).groupBy("doc_id")
+            .agg(F.count_distinct("set").alias("n")).where("n = 2").select("doc_id"))
+    open_docs = durable(docs.select("doc_id", "text").join(both, "doc_id", "left_anti"), "no-phrases")
     ents = durable(entities.named_entities(open_docs, tokens(open_docs), patterns, gazetteer), "entities")
-    nps = tagging.base_noun_phrases(open_docs, ents=ents)
-    # Phrases come last, so documents without them are the only ones that can lack entities.
+    nps = tagging.base_noun_phrases(guards.skip_done(open_docs, held, S.NP), ents=guards.skip_done(ents, held, S.NP))
     named = guards.skip_done(ents, held, S.NE)
     new = durable(new_base_layers(state, held).unionByName(entity_layer(named)).unionByName(phrase_layer(nps)),
                   "incremental")

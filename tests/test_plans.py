@@ -93,6 +93,19 @@ def test_store_with_gaps_is_completed(spark, folder, tmp_path):
     assert rows(flat(store.read_sets(spark, path))) == rows(flat(plan.base_layers(d, held)))
 
 
+def test_entities_are_added_where_phrases_are_stored(spark, tmp_path):
+    d = spark.createDataFrame([(1, "Mail bob@example.com on 2021-03-04 or visit http://example.org/a today."),
+                               (2, "The old house stands here.")], "doc_id bigint, text string")
+    path, part = str(tmp_path / "store"), str(tmp_path / "part")
+    plan.annotate_incremental(d, path)
+    whole = store.read_sets(spark, path)
+    assert not whole.where("set = 'NE'").isEmpty()
+    store.write_annotations(whole.where("set <> 'NE'"), part)
+    added = plan.annotate_incremental(d, part)
+    assert {r["set"] for r in added.select("set").distinct().collect()} == {"NE"}
+    assert rows(flat(store.read_sets(spark, part))) == rows(flat(whole))
+
+
 @pytest.mark.parametrize("partitions", ["1", "64"])
 def test_results_do_not_depend_on_partitions(spark, folder, partitions):
     d = inputs.docs(spark, folder)
