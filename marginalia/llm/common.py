@@ -140,16 +140,17 @@ def slices(column: pa.Array):
         row = last
 
 
-def words(offsets: np.ndarray, data: np.ndarray, fold: bool = False):
+def words(offsets: np.ndarray, data: np.ndarray, fold: bool = False, blank: np.ndarray = _BLANK):
     """``(hashes, starts, ends, first)``: a hash and byte range per word, and the number
-    of the first word of each row (with one entry more than there are rows)."""
+    of the first word of each row (with one entry more than there are rows).  ``blank`` has
+    a flag for each byte that parts words."""
     if fold:
         data = _FOLD[data]
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, np.zeros(len(offsets), np.int64)
-    word = ~_BLANK[data]
+    word = ~blank[data]
     edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
     begins, stops = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
