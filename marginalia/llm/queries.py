@@ -1,6 +1,6 @@
 """Queries of the dealt operators, one each over its whole table, and their SQL."""
 
-from marginalia.llm import collocations, exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, repeated_passages, secret_scan, token_records, toxicity
+from marginalia.llm import collocations, exact_dedup, jaccard_join, lm_score, mixing, near_vectors, packing, quality, repeated_passages, secret_scan, token_records, toxicity, vector_codes
 
 QUERIES = {
     "op9_exact_dedup": exact_dedup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op4_quality": quality.query,
     "op3_toxicity": toxicity.query,
     "op1_best_fit_packing": packing.query,
+    "op11_vector_codes": vector_codes.query,
     "op12_token_records": token_records.query,
     "op13_collocations": collocations.query,
 }
@@ -20,5 +21,6 @@ QUERIES = {
 SQL = {
     "op9_exact_dedup": exact_dedup.SQL,
     "op2_secret_scan": secret_scan.SQL,
+    "op11_vector_codes": vector_codes.SQL,
     "op13_collocations": collocations.SQL,
 }
