@@ -2,8 +2,9 @@
 
 A record file is a row of frames.  A frame is the payload's length (unsigned 64 bits), the masked
 CRC-32C of those eight bytes, the payload, and the masked CRC-32C of the payload: the framing that
-record readers of training programs take.  A payload is a header of 16 bytes (the document's id and
-a flag for a null id) and the token ids as unsigned 32-bit numbers; all numbers are little-endian.
+record readers of training programs take.  A payload is a header of 16 bytes (the document's id, a flag
+for a null id, the bytes per token, six zeros) and the token ids as unsigned numbers, of 16 bits where all
+of the record fit and of 32 bits elsewhere; all numbers are little-endian.
 The index beside a file has three unsigned 64-bit numbers per record: where its frame begins, how
 long its payload is, and how many tokens of the file come before it.  So a reader can fetch any
 record by itself, in any order.
@@ -121,10 +122,10 @@ def _place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
-def _framed(keys: list, ids: list[bytes]) -> list[bytes]:
+def _framed(keys: list, widths: list[int], ids: list[bytes]) -> list[bytes]:
     """Frames of documents."""
-    payloads = [(key or 0).to_bytes(8, "little", signed=True) + (key is None).to_bytes(8, "little") + part
-                for key, part in zip(keys, ids)]
+    payloads = [(key or 0).to_bytes(8, "little", signed=True) + bytes((key is None, width, 0, 0, 0, 0, 0, 0)) + part
+                for key, width, part in zip(keys, widths, ids)]
     sizes = [len(p).to_bytes(8, "little") for p in payloads]
     heads, tails = masked_crc(sizes).astype("<u4").tobytes(), masked_crc(payloads).astype("<u4").tobytes()
     return [size + heads[4 * i:4 * i + 4] + payload + tails[4 * i:4 * i + 4]
@@ -143,9 +144,9 @@ def _payloads(frames: list[bytes], where: str) -> list[bytes]:
 
 def _rows(payloads: list[bytes], start: list[int]) -> pa.RecordBatch:
     keys = [None if p[8] else int.from_bytes(p[:8], "little", signed=True) for p in payloads]
+    ids = [np.frombuffer(p, f"<u{p[9]}", offset=HEADER).astype("<u4").tobytes() for p in payloads]
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(start, pa.int64()), pa.array([p[HEADER:] for p in payloads], pa.binary())],
-        ["doc_id", "start", "ids"])
+        [pa.array(keys, pa.int64()), pa.array(start, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
 
 
 def _frames(stream, where: str):
@@ -177,59 +178,59 @@ def _frames(stream, where: str):
 
 # --- writing ---------------------------------------------------------------------------------
 
-def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """``(doc_id, ids)``: the ids of whole texts and the end id, as unsigned 32-bit bytes; null texts are empty."""
-    def encode(batches):
-        ids = token_ids(path)
-        for batch in batches:
-            keys, rows, held = batch.column(0).to_pylist(), [], 0
-            for key, text in zip(keys, batch.column(1)):
-                rows.append((key, ids(text.as_py() or "") + end.to_bytes(4, "little")))
-                held += len(rows[-1][1])
-                if held > BLOCK_BYTES:
-                    yield _encoded_batch(rows)
-                    rows, held = [], 0
-            if rows:
+def _encoded(batches, path: str, end: int):
+    """``(doc_id, width, ids)``: the ids of whole texts and the end id, ``width`` bytes each; null texts are empty."""
+    ids = token_ids(path)
+    for batch in batches:
+        keys, rows, held = batch.column(0).to_pylist(), [], 0
+        for key, text in zip(keys, batch.column(1)):
+            found = np.frombuffer(ids(text.as_py() or "") + end.to_bytes(4, "little"), "<u4")
+            width = 2 if found.max() < 1 << 16 else 4
+            rows.append((key, width, found.astype(f"<u{width}").tobytes()))
+            held += len(rows[-1][2])
+            if held > BLOCK_BYTES:
                 yield _encoded_batch(rows)
-
-    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")
+                rows, held = [], 0
+        if rows:
+            yield _encoded_batch(rows)
 
 
 def _encoded_batch(rows: list[tuple]) -> pa.RecordBatch:
-    keys, ids = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+    kinds = (pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "width", "ids"])
 
 
 def write_records(docs: DataFrame, folder: str, path: str, end: int = END, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the documents' ids to record files in ``folder``, in ascending order of ids; returns the manifest.
 
     Null and empty texts are records of the end id alone.  Null ids come last; rows that share an id
-    follow each other in the order of a hash of their ids, so that one id on many rows is shared out
+    follow each other in the order of a hash of their texts, so that one id on many rows is shared out
     over files.  An empty table gives no files.  Other columns are not read.  The manifest is also
     written, as Parquet: ``shard, file, records, tokens, bytes, first``, where ``first`` is the number of tokens in
-    the files before.
+    the files before.  Texts are put in order first, so that they are encoded once, where they are written.
     """
     spark = docs.sparkSession
     steps = common.Steps(spark, "records")
-    ids = steps.keep(encoded(docs, path, end).withColumn("tie", F.xxhash64("ids")), "encoded")
-    total = ids.agg(F.sum(F.length("ids"))).first()[0] or 0
-    files = max(common.partitions(spark), -(-total // file_bytes))
+    # Ids take about half of the bytes of their text.
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(common.partitions(spark), -(-total // (2 * file_bytes)))
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie")]
 
     def write(batches):
         store, where = _place(folder)
         shard, name = TaskContext.get().partitionId(), None
         records = tokens = at = 0
-        for batch in batches:
+        for batch in _encoded(batches, path, end):
             for low in range(0, batch.num_rows, 1024):
                 part = batch.slice(low, 1024)
-                frames = _framed(part.column(0).to_pylist(), part.column(1).to_pylist())
+                widths = part.column(1).to_pylist()
+                frames = _framed(part.column(0).to_pylist(), widths, part.column(2).to_pylist())
                 if name is None:
                     name = f"part-{shard:06d}-{uuid.uuid4().hex}"
                     store.create_dir(where, recursive=True)
                     out, index = (store.open_output_stream(f"{where}/{name}.{kind}") for kind in ("rec", "idx"))
                 size = np.array([len(f) for f in frames], np.int64)
-                count = (size - _FRAME - HEADER) // 4
+                count = (size - _FRAME - HEADER) // np.array(widths)
                 lines = np.stack([at + np.cumsum(size) - size, size - _FRAME, tokens + np.cumsum(count) - count], axis=1)
                 out.write(b"".join(frames))
                 index.write(lines.astype("<u8").tobytes())
@@ -240,9 +241,9 @@ def write_records(docs: DataFrame, folder: str, path: str, end: int = END, file_
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "file": [name], "records": [records], "tokens": [tokens], "bytes": [at]})
 
-    written = steps.keep(ids.repartitionByRange(files, *order).sortWithinPartitions(*order)
-                         .select("doc_id", "ids").mapInArrow(write, _MANIFEST), "written")
-    steps.drop("encoded")
+    tied = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    written = steps.keep(tied.repartitionByRange(files, *order).sortWithinPartitions(*order)
+                         .select("doc_id", "text").mapInArrow(write, _MANIFEST), "written")
     # One row per file goes through this window.
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     manifest = written.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -270,7 +271,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 with store.open_input_stream(name) as stream:
                     for frames in _frames(stream, name):
                         payloads = _payloads(frames, name)
-                        count = np.array([len(p) - HEADER for p in payloads], np.int64) // 4
+                        count = np.array([(len(p) - HEADER) // p[9] for p in payloads], np.int64)
                         yield _rows(payloads, (start + np.cumsum(count) - count).tolist())
                         start, seen = start + int(count.sum()), seen + len(frames)
                 if seen != row["records"]:
