@@ -326,6 +326,16 @@ PARTS: dict[str, str] = {
 _STEPS = ("nps", "mention", "pairs", "feats", "scored", "links")
 for _step in _STEPS[1:]:
     PARTS[f"{_step}_ne"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_STEPS)})\b", r"\1 \2_ne", PARTS[_step])
+# Over a store with gaps: the same steps again, from stored layers where there are such and from filled ones elsewhere.
+PARTS["full_pos"] = """
+    SELECT doc_id, sent_no, tok_no, start, "end", text, tag FROM fill_pos
+    UNION ALL SELECT doc_id, sent_no, tok_no, start, "end", text, tag FROM st_pos"""
+_BELOW = {"pos": "full_pos", "toks": "full_pos", "sents": "fill_all"}
+_AGAIN = ("np_class", "np_new", "np_run", "np_span", "np_text", "ents", "ent_free", "ent_first", "np_ents", "nps_ne", "ann_ne",
+          "ann_np", *(f"{_step}_ne" for _step in _STEPS[1:]))
+for _step in _AGAIN:
+    PARTS[f"{_step}_full"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join([*_BELOW, *_AGAIN])})\b",
+                                    lambda m: f"{m[1]} {_BELOW.get(m[2], m[2] + '_full')}", PARTS[_step])
 _RECURSIVE = {"climb", "chain", "spread", "parts"}
 
 # Cuts of long sentences: the best-ranked break left of the middle, again and again.
@@ -564,6 +574,16 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         UNION ALL SELECT {_ANN} FROM ann_ne UNION ALL SELECT {_ANN} FROM ann_np) GROUP BY "set", type""",
     "annotate_links": "SELECT doc_id, left_entity, right_entity, weight FROM links_ne",
     "annotate_incremental": f"""SELECT CAST(1 AS BIGINT) AS run, doc_id, "set", {_SUMS} FROM (
-        SELECT {_ANN} FROM fill UNION ALL SELECT {_ANN} FROM ann_ne UNION ALL SELECT {_ANN} FROM ann_np)
+        SELECT {_ANN} FROM fill UNION ALL SELECT {_ANN} FROM ann_ne_full UNION ALL SELECT {_ANN} FROM ann_np_full)
         GROUP BY doc_id, "set" """,
+    "annotate_existing": f"""SELECT "set", type, {_SUMS} FROM ({_FILLED} UNION ALL SELECT {_ANN} FROM ann_ne_full
+        UNION ALL SELECT {_ANN} FROM ann_np_full) GROUP BY "set", type""",
+    "annotate_existing_links": "SELECT doc_id, left_entity, right_entity, weight FROM links_ne_full",
+    "store_history": f"""SELECT 'first' AS state, "set", {_SUMS} FROM ann GROUP BY "set"
+        UNION ALL SELECT 'now', "set", {_SUMS} FROM (SELECT {_ANN} FROM ann WHERE "set" IN ('TOKEN', 'POS')
+            UNION ALL SELECT {_ANN} FROM ann WHERE "set" = 'SENT' AND doc_id NOT IN (SELECT doc_id FROM labels)
+            UNION ALL SELECT {_ANN} FROM ann WHERE "set" = 'PAR' AND doc_id NOT IN (SELECT doc_id FROM labels)
+            UNION ALL SELECT {_ANN} FROM stored WHERE "set" = 'PAR') GROUP BY "set" """,
+    "finished_cells": """SELECT "set", count(*) AS docs FROM documents,
+        (SELECT unnest(['PAR', 'SENT', 'TOKEN', 'POS', 'NE', 'NP']) AS "set") AS sets GROUP BY "set" """,
 }.items()}

@@ -94,6 +94,23 @@ def write_annotations(spark, folder):
     return _sums(store.read_sets(spark, path), "set")
 
 
+@query
+def store_history(spark, folder):
+    """A store before and after cells are put again and taken out, and brought into one commit."""
+    path = new_folder(spark, "store")
+    d = inputs.docs(spark, folder)
+    store.write_annotations(inputs.annotations(spark, folder), path)
+    labelled = documents.scan_key_list(d, inputs.labels(spark, folder))
+    store.write_annotations(plan.paragraph_layer(segmentation.default_paragraph(
+        labelled, segmentation.paragraphs(d).where(F.lit(False)))), path)
+    gone = labelled.select("doc_id", F.lit(S.SENT).alias("set"))
+    store.replace_sets(spark, path, store.read_sets(spark, path).where(F.lit(False)), gone)
+    first = store.read_sets(spark, path, version=1).withColumn("state", F.lit("first"))
+    store.compact(spark, path)
+    now = store.read_sets(spark, path).withColumn("state", F.lit("now"))
+    return _sums(first.unionByName(now), "state", "set")
+
+
 @query
 def upsert_annotations(spark, folder):
     d = inputs.docs(spark, folder)
@@ -588,27 +605,48 @@ def np_properties(spark, folder):
 
 # Whole jobs
 
+def _rules(spark) -> plan.Rules:
+    return plan.Rules(patterns=inputs.CHECK_PATTERNS, gazetteer=inputs.gazetteer(spark))
+
+
 @query
 def annotate(spark, folder):
-    layers, _ = plan.annotate(inputs.docs(spark, folder), inputs.CHECK_PATTERNS,
-                              inputs.gazetteer(spark))
+    layers, _ = plan.annotate(inputs.docs(spark, folder), config=_rules(spark))
     return _sums(layers, "set", "type")
 
 
 @query
 def annotate_links(spark, folder):
-    _, links = plan.annotate(inputs.docs(spark, folder), inputs.CHECK_PATTERNS,
-                             inputs.gazetteer(spark))
-    return links
+    return plan.annotate(inputs.docs(spark, folder), config=_rules(spark))[1]
+
+
+@query
+def annotate_existing(spark, folder):
+    held = durable(inputs.stored(spark, folder), "stored")
+    return _sums(plan.annotate(inputs.docs(spark, folder), held, _rules(spark))[0], "set", "type")
+
+
+@query
+def annotate_existing_links(spark, folder):
+    held = durable(inputs.stored(spark, folder), "stored")
+    return plan.annotate(inputs.docs(spark, folder), held, _rules(spark))[1]
 
 
 @query
 def annotate_incremental(spark, folder):
     path = new_folder(spark, "store")
     store.write_annotations(inputs.stored(spark, folder), path)
-    rules = inputs.CHECK_PATTERNS, inputs.gazetteer(spark)
-    first = plan.annotate_incremental(inputs.docs(spark, folder), path, *rules)
-    again = plan.annotate_incremental(inputs.docs(spark, folder), path, *rules)
+    first = plan.annotate_incremental(inputs.docs(spark, folder), path, _rules(spark))
+    again = plan.annotate_incremental(inputs.docs(spark, folder), path, _rules(spark))
     runs = first.withColumn("run", F.lit(1).cast("bigint")).unionByName(
         again.withColumn("run", F.lit(2).cast("bigint")))
     return _sums(runs, "run", "doc_id", "set")
+
+
+@query
+def finished_cells(spark, folder):
+    """The cells a store lists after a run: every layer of every document, also of those that came out empty."""
+    path = new_folder(spark, "store")
+    store.write_annotations(inputs.stored(spark, folder), path)
+    plan.annotate_incremental(inputs.docs(spark, folder), path, _rules(spark))
+    return store.read_cells(spark, path).groupBy("set").agg(F.count("*").alias("docs"))

@@ -176,10 +176,12 @@ def number_phrases(nps: DataFrame) -> DataFrame:
         "doc_id", "ce_id", "sent_no", "start", "end", "text", "head", "head_no")
 
 
-def add_entities(nps: DataFrame, ents: DataFrame, docs: DataFrame) -> DataFrame:
+def add_entities(nps: DataFrame, ents: DataFrame, docs: DataFrame | None = None,
+                 sents: DataFrame | None = None) -> DataFrame:
     """Noun phrases and those entities that overlap none of them.
 
-    Only documents with such an entity are cut into sentences again, to place it.
+    An entity stands in the first of ``sents`` that it overlaps.  Where no sentences are given, only documents
+    with such an entity are cut into sentences again, to place it.
     """
     places = ents.select("doc_id", "start", "end", "text").distinct()
     taken = overlap_join(places, nps.select("doc_id", "start", "end")).select(
@@ -190,7 +192,8 @@ def add_entities(nps: DataFrame, ents: DataFrame, docs: DataFrame) -> DataFrame:
                               .rowsBetween(W.unboundedPreceding, -1))
     free = free.withColumn("_reach", reach).where(
         F.col("_reach").isNull() | (F.col("_reach") <= F.col("start"))).drop("_reach")
-    sents = sentences(docs.join(free.select("doc_id"), "doc_id", "left_semi"))
+    if sents is None:
+        sents = sentences(docs.join(free.select("doc_id"), "doc_id", "left_semi"))
     placed = overlap_join(free, sents.select("doc_id", "sent_no", "start", "end")).groupBy(
         "doc_id", "a_start", "a_end", "a_text").agg(F.min("b_sent_no").alias("sent_no"))
     extra = placed.select(

@@ -1,16 +1,18 @@
 """The annotation jobs: which layers are made, from what, and for which documents."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
-from marginalia.operators import audit, coref, entities, guards, tagging
+from marginalia.operators import audit, coref, entities, tagging
 from marginalia.operators.segmentation import paragraphs, sentences, tokens
-from marginalia.operators.spans import covered_text, require_no_crossing
+from marginalia.operators.spans import contained_join, covered_text, overlap_join, require_no_crossing
 from marginalia.session import measured
-from marginalia.sources.store import append_annotations, read_sets, replace_sets
+from marginalia.sources.store import put, read_cells, replace_sets, stored_layers
+
 
 def _attrs(**values: Column) -> Column:
     if not values:
@@ -80,16 +82,19 @@ def multi_layer_annotate(docs: DataFrame) -> DataFrame:
         _token_items(S.POS, F.col("toks"), lambda t: t["tag"]), named))
 
 
-def with_state(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """``doc_id, text`` and a flag for each base set the document holds.
+def with_state(docs: DataFrame, held: DataFrame, sets=S.BASE_SETS, text: bool = True) -> DataFrame:
+    """``doc_id``, ``text`` unless left out, and a flag for each of ``sets`` the document holds.
+
+    ``held`` are stored rows or listed cells.
 
     The store is reduced to one row per document first, so all later choices of
     documents are filters on flags: the text is shuffled once, by this join.
     """
-    flags = [F.max(F.col("set") == name).alias(f"has_{name}") for name in S.BASE_SETS]
-    state = held.where(F.col("set").isin(*S.BASE_SETS)).groupBy("doc_id").agg(*flags)
-    return docs.select("doc_id", "text").join(state, "doc_id", "left").select("doc_id", "text", *[
-        F.coalesce(f"has_{name}", F.lit(False)).alias(f"has_{name}") for name in S.BASE_SETS])
+    flags = [F.max(F.col("set") == name).alias(f"has_{name}") for name in sets]
+    state = held.where(F.col("set").isin(*sets)).groupBy("doc_id").agg(*flags)
+    columns = ["doc_id", "text"] if text else ["doc_id"]
+    return docs.select(*columns).join(state, "doc_id", "left").select(*columns, *[
+        F.coalesce(f"has_{name}", F.lit(False)).alias(f"has_{name}") for name in sets])
 
 
 def layer_counters(docs: DataFrame, held: DataFrame, group: str = "base annotation") -> DataFrame:
@@ -118,40 +123,141 @@ def base_layers(docs: DataFrame, existing: DataFrame | None = None) -> DataFrame
         return paragraph_layer(paragraphs(docs)).unionByName(
             text_layers(tagging.tagged_tokens(sentences(docs))))
     state = with_state(docs, existing)
-    redone = state.where((F.length("text") > 0) & (F.col("has_TOKEN") != F.col("has_POS"))).select(
-        "doc_id", F.lit(True).alias("_redone"))
-    kept = (existing.join(redone, "doc_id", "left")
-            .where(F.col("_redone").isNull() | ~F.col("set").isin(S.TOKEN, S.POS)))
-    return kept.select(*S.ANNOTATION_COLUMNS).unionByName(new_base_layers(state, existing))
+    gaps = Gaps(state, existing)
+    return kept_rows(state, existing).unionByName(gaps.base_layers(gaps.tagged()))
+
+
+def _redone() -> Column:
+    """Documents whose TOKEN and POS are made anew although one of them is stored."""
+    return (F.length("text") > 0) & (F.col(f"has_{S.TOKEN}") != F.col(f"has_{S.POS}"))
+
 
+def kept_rows(state: DataFrame, held: DataFrame) -> DataFrame:
+    """Stored rows without those that give way."""
+    redone = state.where(_redone()).select("doc_id", F.lit(True).alias("_redone"))
+    return (held.join(redone, "doc_id", "left")
+            .where(F.col("_redone").isNull() | ~F.col("set").isin(S.TOKEN, S.POS)).select(*S.ANNOTATION_COLUMNS))
 
-def new_base_layers(state: DataFrame, held: DataFrame) -> DataFrame:
-    """What :func:`base_layers` adds to the stored layers ``held``.
 
-    Layers made from the text alone need no join.  Only documents that hold a
-    layer to build on fetch its text.
+class Gaps:
+    """The layers that documents lack, each made from the nearest stored layer below it.
+
+    ``state`` has ``doc_id, text`` and a flag per set, ``held`` the stored rows.  Layers made from the text alone need no
+    join.  Only documents that hold a layer to build on fetch what it covers.
     """
-    has = {name: F.col(f"has_{name}") for name in S.BASE_SETS}
-    # A token layer that is whole but has no sentences under it is left alone.
-    wants_tokens = ~(has[S.TOKEN] & has[S.POS])
-    stored_pars = held.where(F.col("set") == S.PAR).select(
-        "doc_id", F.col("ann_id").alias("par_no"), "start", "end")
-    stored_sents = held.where(F.col("set") == S.SENT).select(
-        "doc_id", F.col("ann_id").alias("sent_no"), "start", "end")
-    of = lambda spans, docs: spans.join(docs.select("doc_id"), "doc_id", "left_semi")
-
-    def new_sentences(docs: DataFrame) -> DataFrame:
-        on_pars = docs.where(has[S.PAR])
-        return sentences(docs.where(~has[S.PAR])).unionByName(
-            sentences(on_pars, of(stored_pars, on_pars)))
-
-    no_sents = state.where(~has[S.SENT])
-    on_sents = state.where(has[S.SENT] & wants_tokens)
-    return (paragraph_layer(paragraphs(state.where(~has[S.PAR])))
-            .unionByName(text_layers(tagging.tagged_tokens(new_sentences(no_sents.where(wants_tokens)))))
-            .unionByName(sentence_layer(new_sentences(no_sents.where(~wants_tokens))))
-            .unionByName(token_layers(tagging.tagged_tokens(
-                covered_text(of(stored_sents, on_sents), on_sents)))))
+
+    def __init__(self, state: DataFrame, held: DataFrame):
+        self.state, self.held = state, held
+        self.has = {name: F.col(f"has_{name}") for name in S.ALL_SETS}
+        # A token layer that is whole but has no sentences under it is left alone.
+        self.wants_tokens = ~(self.has[S.TOKEN] & self.has[S.POS])
+
+    def lacking(self, name: str) -> DataFrame:
+        return self.state.where(~self.has[name])
+
+    def stored(self, name: str, docs: DataFrame) -> DataFrame:
+        """Stored rows of a set, of some documents."""
+        return self.held.where(F.col("set") == name).join(docs.select("doc_id"), "doc_id", "left_semi")
+
+    def _spans(self, name: str, number: str, docs: DataFrame) -> DataFrame:
+        return self.stored(name, docs).select("doc_id", F.col("ann_id").alias(number), "start", "end")
+
+    def _new_sentences(self, docs: DataFrame) -> DataFrame:
+        on_pars = docs.where(self.has[S.PAR])
+        return sentences(docs.where(~self.has[S.PAR])).unionByName(
+            sentences(on_pars, self._spans(S.PAR, "par_no", on_pars))).select("doc_id", "sent_no", "start", "end", "text")
+
+    def untagged(self) -> DataFrame:
+        """New sentences over token layers that are whole."""
+        return self._new_sentences(self.lacking(S.SENT).where(~self.wants_tokens))
+
+    def tagged(self) -> DataFrame:
+        """Sentences whose tokens are made, with ``toks``; ``stored`` tells whether the sentence itself is."""
+        on_sents = self.state.where(self.has[S.SENT] & self.wants_tokens)
+        new = self._new_sentences(self.lacking(S.SENT).where(self.wants_tokens))
+        old = covered_text(self._spans(S.SENT, "sent_no", on_sents), on_sents)
+        return tagging.tagged_tokens(new.withColumn("stored", F.lit(False)).unionByName(old.withColumn("stored", F.lit(True))))
+
+    def base_layers(self, tagged: DataFrame) -> DataFrame:
+        return (paragraph_layer(paragraphs(self.lacking(S.PAR)))
+                .unionByName(text_layers(tagged.where(~F.col("stored"))))
+                .unionByName(token_layers(tagged.where("stored")))
+                .unionByName(sentence_layer(self.untagged())))
+
+    def entities(self, tagged: DataFrame, rules: "Rules") -> DataFrame:
+        """``doc_id, type, start, end, text`` for documents without entities; words are looked up in stored tokens."""
+        docs = self.lacking(S.NE).select("doc_id", "text")
+        if rules.gazetteer is None:
+            return entities.named_entities(docs, None, rules.patterns)
+        whole = self.lacking(S.NE).where(~self.wants_tokens)
+        toks = token_rows(tagged.join(docs.select("doc_id"), "doc_id", "left_semi")).unionByName(
+            covered_text(self.stored(S.TOKEN, whole).select("doc_id", "start", "end"), whole))
+        return entities.named_entities(docs, toks, rules.patterns, rules.gazetteer)
+
+    def phrases(self, tagged: DataFrame, ents: DataFrame) -> DataFrame:
+        """``doc_id, ce_id, start, end`` for documents without noun phrases, from their tags, entities and sentences."""
+        docs = self.lacking(S.NP)
+        whole = docs.where(~self.wants_tokens)
+        of = lambda df: df.join(docs.select("doc_id"), "doc_id", "left_semi")
+        mine = of(tagged)
+        places = ["doc_id", "sent_no", "start", "end"]
+        found = tagging.sentence_noun_phrases(mine).select(*places).unionByName(
+            tagging.noun_phrases_of_tokens(stored_tags(self.stored(S.POS, whole))).select(*places))
+        stored_ents = self.stored(S.NE, docs.where(self.has[S.NE]))
+        spans = of(ents).select("doc_id", "start", "end").unionByName(stored_ents.select("doc_id", "start", "end"))
+        sents = (mine.select(*places).unionByName(of(self.untagged()).select(*places))
+                 .unionByName(self._spans(S.SENT, "sent_no", whole.where(self.has[S.SENT]))))
+        # Layers hold places only; texts and heads are read where they are wanted.
+        bare = lambda df: df.select(*df.columns, F.lit("").alias("text"))
+        wide = bare(found).select(*places, "text", F.col("text").alias("head"), F.lit(None).cast("bigint").alias("head_no"))
+        return tagging.number_phrases(tagging.add_entities(wide, bare(spans), sents=sents))
+
+
+def token_rows(tagged: DataFrame) -> DataFrame:
+    """``doc_id, start, end, text`` of the tokens of sentence rows."""
+    return tagged.select("doc_id", F.explode("toks").alias("t")).select("doc_id", "t.start", "t.end", "t.text")
+
+
+def stored_tags(pos: DataFrame) -> DataFrame:
+    """Token rows of POS annotations, whose ids hold sentence and token."""
+    return pos.select("doc_id", F.shiftright("ann_id", S.SENTENCE_ID_BITS).alias("sent_no"),
+                      F.col("ann_id").bitwiseAND(F.lit(S.SENTENCE_ID_STEP - 1)).alias("tok_no"), "start", "end",
+                      F.lit("").alias("text"), F.col("type").alias("tag"))
+
+
+def missing_layers(state: DataFrame, held: DataFrame, rules: "Rules") -> DataFrame:
+    """All rows that documents lack; see :class:`Gaps`.  ``state`` has a flag for every set."""
+    gaps = Gaps(state, held)
+    tagged = durable(gaps.tagged(), "tagged")
+    ents = durable(gaps.entities(tagged, rules), "entities")
+    nps = durable(gaps.phrases(tagged, ents), "phrases")
+    if rules.check_crossing:
+        require_no_crossing(nps)
+    return gaps.base_layers(tagged).unionByName(entity_layer(ents)).unionByName(phrase_layer(nps))
+
+
+def phrases_of_layers(layers: DataFrame, docs: DataFrame) -> DataFrame:
+    """Noun phrases as coreference reads them, from stored NP, POS and SENT rows.
+
+    The head is the last noun or pronoun inside a phrase; a phrase without one is its own head and stands in the first
+    sentence it overlaps.
+    """
+    nps = layers.where(F.col("set") == S.NP).select("doc_id", F.col("ann_id").alias("ce_id"), "start", "end")
+    nouns = stored_tags(layers.where((F.col("set") == S.POS) & F.col("type").isin(*tagging.NOUN_TAGS, "PRP"))).drop("text", "tag")
+    inside = contained_join(nouns, nps).groupBy("doc_id", F.col("b_ce_id").alias("ce_id")).agg(
+        F.max(F.struct("a_start", "a_end", "a_sent_no", "a_tok_no")).alias("h"))
+    headed = nps.join(inside, ["doc_id", "ce_id"], "left")
+    sents = layers.where(F.col("set") == S.SENT).select("doc_id", F.col("ann_id").alias("sent_no"), "start", "end")
+    bare = headed.where(F.col("h").isNull()).select("doc_id", "ce_id", "start", "end")
+    placed = overlap_join(bare, sents).groupBy("doc_id", "a_ce_id").agg(F.min("b_sent_no").alias("_sent"))
+    placed = placed.select("doc_id", F.col("a_ce_id").alias("ce_id"), "_sent")
+    whole = headed.join(placed, ["doc_id", "ce_id"], "left").select(
+        "doc_id", "ce_id", F.coalesce("h.a_sent_no", "_sent").alias("sent_no"), "start", "end",
+        F.coalesce("h.a_start", "start").alias("h_start"), F.coalesce("h.a_end", "end").alias("h_end"), F.col("h.a_tok_no").alias("head_no"))
+    spelled = covered_text(whole, docs).withColumnsRenamed({"text": "np_text", "start": "np_start", "end": "np_end"})
+    spelled = covered_text(spelled.withColumnsRenamed({"h_start": "start", "h_end": "end"}), docs)
+    return spelled.select("doc_id", "ce_id", "sent_no", F.col("np_start").alias("start"), F.col("np_end").alias("end"),
+                          F.col("np_text").alias("text"), F.col("text").alias("head"), "head_no")
 
 
 def entity_layer(ents: DataFrame) -> DataFrame:
@@ -169,69 +275,67 @@ def phrase_layer(nps: DataFrame) -> DataFrame:
         _attrs(CE_ID=F.col("ce_id")))))
 
 
-def annotate(docs: DataFrame, patterns: dict[str, str] = entities.PATTERNS,
-             gazetteer: DataFrame | None = None, weights: dict[str, float] = coref.WEIGHTS,
-             check_crossing: bool = False) -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Rules:
+    """What the jobs may be told: entity patterns, word list ``(word, type)``, weights of links, whether crossing
+    phrases are an error."""
+
+    patterns: dict[str, str] = field(default_factory=lambda: dict(entities.PATTERNS))
+    gazetteer: DataFrame | None = None
+    weights: dict[str, float] = field(default_factory=lambda: dict(coref.WEIGHTS))
+    check_crossing: bool = False
+
+
+def annotate(docs: DataFrame, existing: DataFrame | None = None, config: Rules | None = None) -> tuple[DataFrame, DataFrame]:
     """All layers of ``docs`` in order, and the coreference links.
 
-    Sentences with their tagged tokens are written once; phrases and token layers read them.
+    Rows of ``existing`` are kept, and what a document lacks is made from its nearest stored layer.  Without
+    ``existing`` sentences with their tagged tokens are written once; words, phrases and token layers read them.
     """
+    rules = config or Rules()
     measured(docs.sparkSession)
+    if existing is not None:
+        state = durable(with_state(docs, existing, S.ALL_SETS), "state")
+        layers = durable(kept_rows(state, existing).unionByName(missing_layers(state, existing, rules)), "layers")
+        return layers, coref.candidate_links(durable(phrases_of_layers(layers, docs), "phrases"), rules.weights)
     tagged = durable(tagging.tagged_tokens(sentences(docs)), "tagged")
-    ents = durable(entities.named_entities(docs, tokens(docs), patterns, gazetteer), "entities")
-    found = tagging.sentence_noun_phrases(tagged)
-    nps = durable(tagging.number_phrases(tagging.add_entities(found, ents, docs)), "phrases")
-    if check_crossing:
+    ents = durable(entities.named_entities(docs, token_rows(tagged), rules.patterns, rules.gazetteer), "entities")
+    found = tagging.add_entities(tagging.sentence_noun_phrases(tagged), ents,
+                                 sents=tagged.select("doc_id", "sent_no", "start", "end"))
+    nps = durable(tagging.number_phrases(found), "phrases")
+    if rules.check_crossing:
         require_no_crossing(nps)
     layers = (paragraph_layer(paragraphs(docs)).unionByName(text_layers(tagged))
               .unionByName(entity_layer(ents)).unionByName(phrase_layer(nps)))
-    return layers, coref.candidate_links(nps, weights)
+    return layers, coref.candidate_links(nps, rules.weights)
 
 
-def stored_layers(spark: SparkSession, path: str) -> DataFrame:
-    """The store, or no rows where none has been written yet."""
-    try:
-        return read_sets(spark, path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], S.ANNOTATIONS)
-
-
-def annotate_incremental(docs: DataFrame, path: str, patterns: dict[str, str] = entities.PATTERNS,
-                         gazetteer: DataFrame | None = None) -> DataFrame:
+def annotate_incremental(docs: DataFrame, path: str, config: Rules | None = None,
+                         counters: Observation | None = None) -> DataFrame:
     """Add the missing layers to the store at ``path``; returns only what was added.
 
-    New layers are appended.  Only where a stored set has to give way, the folder
-    of that set is rewritten.  Nothing is made for documents that hold every
-    layer, so a run that was cut short is simply started again.  Entities and
-    phrases are made for documents that hold no set of theirs.
+    The store lists the cells it holds, also those that came out empty, so a document is finished when each of its sets is
+    listed.  Texts are read for unfinished documents only, and a run without any ends before it.  All that
+    was made becomes one commit: a run that dies before leaves the store as it was and is simply started again.
+    ``counters`` gets the number of rows of each layer as they are written.
     """
     spark = measured(docs.sparkSession)
-    held = stored_layers(spark, path)
-    whole = F.col("has_PAR") & F.col("has_SENT") & F.col("has_TOKEN") & F.col("has_POS")
-    state = durable(with_state(docs, held).where(~whole), "state")
-    # Documents that lack entities or phrases; a store may hold either without the other.
-    both = (held.where(F.col("set").isin(S.NE, S.NP)).groupBy("doc_id")
-            .agg(F.count_distinct("set").alias("n")).where("n = 2").select("doc_id"))
-    open_docs = durable(docs.select("doc_id", "text").join(both, "doc_id", "left_anti"), "no-phrases")
-    ents = durable(entities.named_entities(open_docs, tokens(open_docs), patterns, gazetteer), "entities")
-    nps = tagging.base_noun_phrases(guards.skip_done(open_docs, held, S.NP), ents=guards.skip_done(ents, held, S.NP))
-    named = guards.skip_done(ents, held, S.NE)
-    new = durable(new_base_layers(state, held).unionByName(entity_layer(named)).unionByName(phrase_layer(nps)),
-                  "incremental")
-    stale = state.where((F.length("text") > 0) & (F.col("has_TOKEN") != F.col("has_POS"))).select("doc_id")
-    if not stale.isEmpty():
-        sets = F.explode(F.array(F.lit(S.TOKEN), F.lit(S.POS))).alias("set")
-        of_stale = F.col("set").isin(S.TOKEN, S.POS)
-        redone = new.where(of_stale).join(stale, "doc_id", "left_semi")
-        fresh = new.where(~of_stale).unionByName(
-            new.where(of_stale).join(stale, "doc_id", "left_anti"))
-        replace_sets(spark, path, redone, stale.select("doc_id", sets))
-        append_annotations(fresh, path)
-    elif not new.isEmpty():
-        append_annotations(new, path)
-    return new
+    cells = read_cells(spark, path, S.ALL_SETS)
+    whole = F.lit(True)
+    for name in S.ALL_SETS:
+        whole = whole & F.col(f"has_{name}")
+    unfinished = durable(with_state(docs, cells, S.ALL_SETS, text=False).where(~whole), "unfinished")
+    if unfinished.isEmpty():
+        return spark.createDataFrame([], S.ANNOTATIONS)
+    state = durable(docs.select("doc_id", "text").join(unfinished, "doc_id"), "state")
+    held = stored_layers(spark, path).join(unfinished.select("doc_id"), "doc_id", "left_semi")
+    new = missing_layers(state, held, config or Rules())
+    gone = _redone()
+    made = F.array(*[F.when(~F.col(f"has_{name}") | (gone if name in (S.TOKEN, S.POS) else F.lit(False)), F.lit(name))
+                     for name in S.ALL_SETS])
+    put_cells = state.select("doc_id", F.explode(F.filter(made, lambda name: name.isNotNull())).alias("set"))
+    again = not state.where(gone).isEmpty()
+    return put(new, path, put_cells, again=again, counters=counters)
 
 
 def repair_store(docs: DataFrame, path: str) -> DataFrame:

@@ -11,6 +11,7 @@ NE = "NE"
 NP = "NP"
 
 BASE_SETS = (PAR, SENT, TOKEN, POS)
+ALL_SETS = (*BASE_SETS, NE, NP)
 
 # Tokens of a sentence above which it is split, where document numbers wrap.
 MAX_SENTENCE_TOKENS = 100
@@ -20,7 +21,8 @@ MAX_DOCUMENT_NUMBER = 32767
 CELL_CHARS = 1024 * 1024
 
 # Annotation ids hold the sentence above this many bits and the token below.
-SENTENCE_ID_STEP = 1 << 32
+SENTENCE_ID_BITS = 32
+SENTENCE_ID_STEP = 1 << SENTENCE_ID_BITS
 
 ANNOTATIONS = T.StructType([
     T.StructField("doc_id", T.LongType()),

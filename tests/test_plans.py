@@ -1,8 +1,10 @@
 """Properties of the jobs, skewed inputs and the shape of plans."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from marginalia import schema as S
 from marginalia.catalog import inputs
 from marginalia.functions import durable
 from marginalia.operators import coref, guards, segmentation, spans, tagging
@@ -78,11 +80,21 @@ def test_cells_of_long_documents_are_cut(spark):
     assert rows(flat(codecs.decode_set(cells))) == rows(flat(ann))
 
 
-def test_second_run_adds_nothing_and_store_equals_one_run(spark, folder, tmp_path):
+def unreadable(docs):
+    """The same documents; whoever reads a text fails."""
+    return docs.withColumn("text", F.raise_error(F.lit("a text was read")).cast("string"))
+
+
+def test_second_run_reads_no_text_and_store_equals_one_run(spark, folder, tmp_path):
     d, path = inputs.docs(spark, folder), str(tmp_path / "store")
-    assert not plan.annotate_incremental(d, path).isEmpty()
-    assert plan.annotate_incremental(d, path).isEmpty()
-    assert rows(flat(store.read_sets(spark, path))) == rows(flat(plan.base_layers(d)))
+    counters = Observation("layers")
+    added = plan.annotate_incremental(d, path, counters=counters)
+    assert counters.get == {name: added.where(F.col("set") == name).count() for name in S.ALL_SETS}
+    assert plan.annotate_incremental(unreadable(d), path).isEmpty()
+    assert rows(flat(store.read_sets(spark, path))) == rows(flat(plan.annotate(d)[0]))
+    one_more = d.unionByName(spark.createDataFrame([(10**9, "A new dog.")], "doc_id bigint, text string"))
+    added = plan.annotate_incremental(one_more, path)
+    assert {r["doc_id"] for r in added.collect()} == {10**9}
 
 
 def test_store_with_gaps_is_completed(spark, folder, tmp_path):
@@ -90,7 +102,44 @@ def test_store_with_gaps_is_completed(spark, folder, tmp_path):
     held = inputs.stored(spark, folder)
     store.write_annotations(held, path)
     plan.annotate_incremental(d, path)
-    assert rows(flat(store.read_sets(spark, path))) == rows(flat(plan.base_layers(d, held)))
+    layers, links = plan.annotate(d, held)
+    assert rows(flat(store.read_sets(spark, path))) == rows(flat(layers))
+    base = layers.where(F.col("set").isin(*S.BASE_SETS))
+    assert rows(flat(base)) == rows(flat(plan.base_layers(d, held)))
+    assert plan.annotate_incremental(unreadable(d), path).isEmpty()
+
+
+def test_links_over_stored_layers_are_those_of_one_run(spark, folder):
+    d = inputs.docs(spark, folder)
+    rules = plan.Rules(patterns=inputs.CHECK_PATTERNS, gazetteer=inputs.gazetteer(spark))
+    layers, links = plan.annotate(d, config=rules)
+    held = durable.durable(layers.where("doc_id % 3 <> 0 OR set NOT IN ('NE', 'NP', 'POS')"), "held")
+    again, links_again = plan.annotate(d, held, rules)
+    assert rows(flat(again)) == rows(flat(layers))
+    assert rows(links_again) == rows(links)
+
+
+def test_phrases_are_made_from_stored_layers(spark, tmp_path):
+    d = spark.createDataFrame([(1, "He saw the old\nhouse today."), (2, ""), (3, None)], "doc_id bigint, text string")
+    path = str(tmp_path / "store")
+    whole = segmentation.default_paragraph(d.where("doc_id = 1"), segmentation.paragraphs(d).where("1 = 0"))
+    store.write_annotations(plan.paragraph_layer(whole), path)
+    plan.annotate_incremental(d, path)
+    got = [(r["set"], r["start"], r["end"]) for r in store.read_sets(spark, path, ["SENT", "NP"]).collect()]
+    assert sorted(got) == [("NP", 0, 2), ("NP", 3, 26), ("SENT", 0, 27)]
+    # Documents without rows are finished too.
+    assert store.read_cells(spark, path).count() == 3 * len(S.ALL_SETS)
+    assert plan.annotate_incremental(unreadable(d), path).isEmpty()
+
+
+def test_stored_entities_are_those_of_the_phrases(spark, tmp_path):
+    d = spark.createDataFrame([(1, "It may of 77.")], "doc_id bigint, text string")
+    path = str(tmp_path / "store")
+    entity = spark.createDataFrame([(1, 3, 9, "x", "may of")], "doc_id bigint, start bigint, `end` bigint, type string, text string")
+    store.write_annotations(plan.entity_layer(entity), path)
+    plan.annotate_incremental(d, path)
+    got = {(r["start"], r["end"]) for r in store.read_sets(spark, path, ["NP"]).collect()}
+    assert got == {(0, 2), (3, 9)}
 
 
 def test_entities_are_added_where_phrases_are_stored(spark, tmp_path):
