@@ -21,8 +21,10 @@ SHARE = 1.5
 MOST = 2
 BLOCK = 1024
 SHARD_BLOCKS = 1024
+# Sources of one tree.
+GROUP = 4096
 SEED = 11
-# Above this numpy has no hypergeometric draw; the expected split is then off by far less than a block in 10,000.
+# numpy draws from fewer than a thousand million items; where a node has more, what is drawn are runs of copies.
 _DRAWABLE = 900_000_000
 
 
@@ -104,21 +106,34 @@ def _permuted(place: np.ndarray, n: int, seed: tuple) -> np.ndarray:
 
 
 def _left_part(quota: np.ndarray, left: int, seed: tuple) -> np.ndarray:
-    total = int(quota.sum())
-    if total < _DRAWABLE:
-        return np.random.default_rng(seed).multivariate_hypergeometric(quota, left, method="marginals")
-    exact = quota * (left / total)
-    out = np.floor(exact).astype(np.int64)
-    short = left - int(out.sum())
-    out[np.argsort(out - exact, kind="stable")[:short]] += 1
-    return out
+    """A multivariate hypergeometric draw of ``left`` of the block copies of ``quota``.
+
+    Copies are drawn in runs of a power of two of them, the smallest with which the runs can be drawn: single copies below
+    ``_DRAWABLE``.  One run is broken up and drawn with what the runs leave over, so that the draw is met to the copy.
+    """
+    total, size = int(quota.sum()), 1
+    while int((quota // size).sum()) >= _DRAWABLE:
+        size *= 2
+    runs, rest = quota // size, quota % size
+    if size == 1:
+        return np.random.default_rng(seed).multivariate_hypergeometric(runs, left, method="marginals")
+    largest = int(runs.argmax())
+    runs[largest] -= 1
+    rest[largest] += size
+    over = int(rest.sum())
+    # Both share the draw as they share the node; single copies make up for what is no whole run.
+    number = (left * int(runs.sum()) + total // 2) // total
+    single = left - number * size
+    number += (single > over) - (single < 0)
+    drawn = size * np.random.default_rng(seed).multivariate_hypergeometric(runs, number, method="marginals")
+    return drawn + _left_part(rest, left - number * size, (*seed, size))
 
 
 class _Quotas:
     """Block copies of every source, and which blocks they are."""
 
-    def __init__(self, sizes: list[int], goals: list[int], block: int):
-        self.block = block
+    def __init__(self, sizes: list[int], goals: list[int], block: int, numbers: np.ndarray):
+        self.block, self.numbers = block, numbers
         size, goal = np.array(sizes, np.int64), np.array(goals, np.int64)
         self.full, self.tail = size // block, size % block
         self.all = self.full + (self.tail > 0)
@@ -134,61 +149,70 @@ class _Quotas:
         for turn in range(int(self.rounds[s]) + 1):
             there = (units >= whole) if turn == self.rounds[s] else (units // max(1, self.all[s]) == turn)
             if turn < self.rounds[s]:
-                block[there] = _permuted(units[there] - turn * self.all[s], int(self.all[s]), (SEED, s, turn))
+                block[there] = _permuted(units[there] - turn * self.all[s], int(self.all[s]), (SEED, int(self.numbers[s]), turn))
                 words[there & (block == self.full[s])] = self.tail[s]
                 continue
             place = units[there] - whole
             chosen = np.full(len(place), self.full[s])
             inside = place < self.full[s]
-            chosen[inside] = _permuted(place[inside], int(self.full[s]), (SEED, s, turn))
+            chosen[inside] = _permuted(place[inside], int(self.full[s]), (SEED, int(self.numbers[s]), turn))
             block[there] = chosen
             words[there] = np.where(place == self.more[s], self.part[s], self.block)
         return block, words
 
 
 def draws(spark: SparkSession, sources: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
-    """``(shard, position, source_no, block, words)``: what each output shard draws, in shuffled order.
+    """``(shard, position, source_no, block, words)``: what each output shard draws; ``position`` shuffles a shard.
 
-    Only the quotas, one pair of numbers per source, go to the tasks.  Every shard walks down
-    from the root on its own; a node's draw follows from its seed, so that all shards agree.
+    Sources are a table: groups of ``GROUP`` of them have a tree each, and a row per group and shard goes to the tasks with the
+    quotas of the group.  Every row walks down from the root on its own; a node's draw follows from its seed, so
+    that all shards agree.
     """
-    rows = sources.select("source_no", "source_size", F.round("target").cast("bigint").alias("goal")).collect()
-    rows.sort()
-    quotas = _Quotas([r[1] for r in rows], [r[2] for r in rows], block)
-    total = int(quotas.units.sum())
+    common.ready(spark)
+    rows = sources.select("source_no", "source_size", F.round("target").cast("bigint").alias("goal"))
+    listed = F.array_sort(F.collect_list(F.struct("source_no", "source_size", "goal"))).alias("quotas")
+    grouped = rows.groupBy(F.floor(F.col("source_no") / GROUP).alias("group")).agg(listed)
+    # No source has more copies than this, and shards are counted by it.
+    copies = F.ceil(F.col("goal") / block) + F.floor(F.col("goal") / F.greatest("source_size", F.lit(1))) + 1
+    total = rows.where("source_size > 0 AND goal > 0").agg(F.sum(copies)).first()[0] or 0
     shards = -(-total // shard_blocks)
 
-    def limit(shard: int) -> int:
-        return total * shard // shards
+    # A row goes to the tasks for each group and some shards in a row.
+    span = max(1, min(256, shards // (4 * common.partitions(spark))))
 
     def draw(batches):
-        known: dict[tuple[int, int], np.ndarray] = {}
+        known: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                low, high, quota, begin = 0, shards, quotas.units, np.zeros(len(rows), np.int64)
-                while high - low > 1:
-                    middle = (low + high) // 2
-                    if (low, high) not in known:
-                        if len(known) > 64:
-                            known.clear()
-                        known[low, high] = _left_part(quota, limit(middle) - limit(low), (SEED, low, high))
-                    left = known[low, high]
-                    if shard < middle:
-                        high, quota = middle, left
-                    else:
-                        low, quota, begin = middle, quota - left, begin + left
-                parts = [(s, *quotas.blocks(s, np.arange(begin[s], begin[s] + quota[s])))
-                         for s in np.flatnonzero(quota).tolist()]
-                number = np.concatenate([np.full(len(b), s, np.int32) for s, b, _ in parts])
-                order = np.random.default_rng((SEED, shards, shard)).permutation(len(number))
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(len(number), shard, np.int64)), "position": pa.array(order),
-                    "source_no": pa.array(number),
-                    "block": pa.array(np.concatenate([b for _, b, _ in parts])),
-                    "words": pa.array(np.concatenate([w for _, _, w in parts]))})
-
-    common.ready(spark)
-    return spark.range(shards).mapInArrow(
+            for first, group, listed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                numbers = np.array([q["source_no"] for q in listed], np.int32)
+                quotas = _Quotas([q["source_size"] for q in listed], [q["goal"] for q in listed], block, numbers)
+                for shard in range(first, min(first + span, shards)):
+                    low, high, quota, begin = 0, shards, quotas.units, np.zeros(len(numbers), np.int64)
+                    while high - low > 1:
+                        middle, seed = (low + high) // 2, (SEED, low, high, group)
+                        if seed not in known:
+                            if len(known) > 64:
+                                known.clear()
+                            known[seed] = _left_part(quota, int(quota.sum()) * (middle - low) // (high - low), seed)
+                        left = known[seed]
+                        if shard < middle:
+                            high, quota = middle, left
+                        else:
+                            low, quota, begin = middle, quota - left, begin + left
+                    parts = [(s, *quotas.blocks(s, np.arange(begin[s], begin[s] + quota[s]))) for s in np.flatnonzero(quota).tolist()]
+                    if not parts:
+                        continue
+                    number = np.concatenate([np.full(len(b), numbers[s], np.int32) for s, b, _ in parts])
+                    place = np.random.default_rng((SEED, shards, shard, group)).integers(0, 1 << 62, len(number))
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array(np.full(len(number), shard, np.int64)), "position": pa.array(place),
+                        "source_no": pa.array(number),
+                        "block": pa.array(np.concatenate([b for _, b, _ in parts])),
+                        "words": pa.array(np.concatenate([w for _, _, w in parts]))})
+
+    first = F.explode(F.sequence(*(F.lit(n).cast("bigint") for n in (0, max(0, shards - 1), span))))
+    slots = grouped.where(F.lit(shards > 0)).select(first.alias("first"), "group", "quotas")
+    return slots.repartition(min(max(1, -(-shards // span)), 4 * common.partitions(spark)), "first", "group").mapInArrow(
         draw, "shard bigint, position bigint, source_no int, block bigint, words bigint")
 
 
@@ -225,8 +249,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: a row per piece with all columns of ``docs``, ``text`` cut to its words.
 
-    A whole document keeps its text as it is.  ``n_chars``, where there is one, follows the text.
+    A whole document keeps its text as it is.  ``n_chars``, where there is one, follows the text.  Rows stand in the order of the mix:
+    output shards follow each other over the partitions, and the pieces of a shard stand in its shuffled order.
     """
+    spark = docs.sparkSession
     lined, pieces = mix(docs)
 
     @F.arrow_udf("string")
@@ -240,17 +266,23 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
                 out.append(data[a:b].tobytes().decode())
         return pa.array(out, pa.string())
 
-    mine, key, number, size, start, count = common.unused(
-        docs, "own_key", "piece_key", "piece_id", "piece_size", "piece_start", "piece_words")
+    mine, key, number, size, start, count, shard, position = common.unused(
+        docs, "own_key", "piece_key", "piece_id", "piece_size", "piece_start", "piece_words", "piece_shard", "piece_position")
+    pieces = common.Steps(spark, "mix").keep(pieces, "pieces")
+    parts = 4 * common.partitions(spark)
+    last = pieces.agg(F.max("shard")).first()[0] or 0
     own = docs.withColumn(mine, row_key()).dropDuplicates([mine, "doc_id"])
     wanted = pieces.select(F.col("key").alias(key), F.col("doc_id").alias(number), F.col("size").alias(size),
-                           F.col("start_word").alias(start), F.col("n_words").alias(count))
+                           F.col("start_word").alias(start), F.col("n_words").alias(count),
+                           F.col("shard").alias(shard), F.col("position").alias(position))
     both = own.join(wanted, (F.col(mine) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(number)))
     part = F.when(F.col(count) < F.col(size), cut("text", start, count)).otherwise(F.col("text"))
     both = both.withColumn("text", part)
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.length("text").cast("bigint"))
-    return both.select(*docs.columns)
+    # Shards are equally large, so that as many of them go to each partition.
+    place = (F.col(shard) * parts / (last + 1)).cast("int")
+    return both.repartitionById(parts, place).sortWithinPartitions(shard, position, key, start).select(*docs.columns)
 
 
 def taken(docs: DataFrame) -> DataFrame:
