@@ -87,6 +87,24 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def runs_of_key(batches, column: str):
+    """Of batches sorted by ``column`` one table after the other for each of its values; one of them is in memory."""
+    held, current = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(column).to_numpy()
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for low, high in zip(edges[:-1], edges[1:]):
+            if held and keys[low] != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = keys[low]
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,7 +14,6 @@ overlap that a link needs.
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,19 +54,19 @@ def _signature(members: np.ndarray) -> tuple[int, int]:
 
 
 def signed(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, n_shingles, sig, sig2)``; sets without shingles have null signatures."""
+    """``(doc_id, place, n_shingles, sig, sig2)``; sets without shingles have null signatures, ``place`` is a hash of the text."""
     def sign(batches):
         for batch in batches:
             for row, offsets, data in common.slices(batch.column(1)):
                 sets = shingle_sets(offsets, data, n)
                 pairs = [_signature(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                    ["doc_id", "n_shingles", "sig", "sig2"])
+                    [batch.column(0).slice(row, len(sets)), batch.column(2).slice(row, len(sets)),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
+                    ["doc_id", "place", "n_shingles", "sig", "sig2"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id bigint, n_shingles bigint, sig bigint, sig2 bigint")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("place")).mapInArrow(
+        sign, "doc_id bigint, place bigint, n_shingles bigint, sig bigint, sig2 bigint")
 
 
 # --- ties ------------------------------------------------------------------------------------
@@ -327,34 +326,37 @@ def linked_sets(sets: list[np.ndarray], threshold: Fraction) -> np.ndarray:
 # --- blocks ----------------------------------------------------------------------------------
 
 def _joined(threshold: Fraction):
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, block in rows.groupby("unit", sort=False):
-            block = block.drop_duplicates("head")
-            sets = [np.frombuffer(m, "<u8") for m in block["members"]]
-            heads = block["head"].to_numpy()
-            label = linked_sets(sets, threshold)
-            far = label != np.arange(len(sets))
-            out.append(pd.DataFrame({"a": heads[far], "b": heads[label[far]]}))
-        return pd.concat(out)
+    def join(batches):
+        for unit in common.runs_of_key(batches, "unit"):
+            node = unit.column("node").to_numpy()
+            node, first = np.unique(node, return_index=True)
+            members = unit.column("members").take(pa.array(first)).to_pylist()
+            label = linked_sets([np.frombuffer(m, "<u8") for m in members], threshold)
+            far = label != np.arange(len(node))
+            if far.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[label[far]])], ["a", "b"])
 
     return join
 
 
 def _links(units: DataFrame, threshold: Fraction, tasks: int) -> DataFrame:
-    """Links ``(a, b)`` that connect what links within each unit; a unit has about two tries of sets at most."""
-    return (units.withColumn("task", common.spread(F.col("unit"), tasks))
-            .groupBy("task").applyInPandas(_joined(threshold), "a bigint, b bigint"))
+    """Links ``(a, b)`` that connect what links within each unit; a task streams its units, of about two tries of sets each."""
+    return (units.repartition(tasks, "unit").sortWithinPartitions("unit")
+            .mapInArrow(_joined(threshold), "a bigint, b bigint"))
 
 
 def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
+    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``; see :func:`grouped`."""
+    return grouped(docs, n, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+    """``(doc_id, n_shingles, sig, sig2, component_id)``, one row per row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that links reach.  Null and empty texts and such
-    of blanks have no shingles and link with nothing.  Equal sets are one node, which the
-    smallest ``doc_id`` stands for; a row with a null id never stands for a set and gets the
-    component of its equals, or null.  Rows that repeat an id are rows of their own.  Other
-    columns are not read, an empty table gives none.
+    of blanks have no shingles and link with nothing.  A set is known by its signature ``sig, sig2``, never by an id: equal
+    sets are one node, and texts that share an id are nodes of their own; ids are looked up at the end.  A row with a null id
+    gets the component of its equals if one of them has an id, else null.  Other columns are not read, an empty table gives none.
 
     Exact: no pair of different sets that links is missed.  Blocks of more than ``TRIE`` sets are
     cut into pieces, and each piece is joined together with the first one.  Where that has
@@ -368,10 +370,11 @@ def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5
     tied = steps.keep(ties(docs, n, threshold), "ties")
     blocks = steps.keep(common.components(tied, steps, "tied"), "blocks")
     heads = (own.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig", "sig2")
-             .agg(F.min("doc_id").alias("head")))
+             .agg(F.min(F.struct("doc_id", "place")).alias("m"))
+             .select("sig", "sig2", F.col("m.doc_id").alias("head"), F.col("m.place").alias("place")))
     heads = steps.keep(heads, "heads")
     # Sets in blocks; a block with a single set that has an id has nothing to join.
-    inside = heads.join(blocks.withColumnRenamed("node", "sig"), "sig").select("sig", "sig2", "head", "component")
+    inside = heads.join(blocks.withColumnRenamed("node", "sig"), "sig").select("sig", "sig2", "head", "place", "component")
     sizes = inside.groupBy("component").agg(F.count("*").alias("sets")).where("sets > 1")
     inside = steps.keep(inside.join(sizes, "component"), "inside")
 
@@ -381,71 +384,105 @@ def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5
                 sets = shingle_sets(offsets, data, n)
                 signs = [_signature(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), batch.column(2).slice(row, len(sets)),
+                    [batch.column(4).slice(row, len(sets)), batch.column(2).slice(row, len(sets)),
                      batch.column(3).slice(row, len(sets)),
                      pa.array([s.astype("<u8").tobytes() if s2 == (a, b) else None for s, s2, a, b in zip(
                          sets, signs, batch.column(4).slice(row, len(sets)).to_pylist(),
                          batch.column(5).slice(row, len(sets)).to_pylist())], pa.binary())],
-                    ["head", "component", "sets", "members"])
+                    ["node", "component", "sets", "members"])
 
-    wanted = inside.withColumnRenamed("head", "_id").select("_id", "component", "sets", "sig", "sig2")
+    wanted = inside.select(F.col("head").alias("_id"), F.col("place").alias("_place"), "component", "sets", "sig", "sig2")
     # Texts meet the chosen ids by a shuffle at every size, so that the plan does not turn with it.
-    members = (docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("_id"))
+    own_place = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_place"))
+    members = (docs.select("doc_id", "text").join(wanted.hint("merge"), own_place)
                .select("doc_id", "text", "component", "sets", "sig", "sig2")
-               .mapInArrow(shingled, "head bigint, component bigint, sets bigint, members binary")
-               # Another text may have the same id.
+               .mapInArrow(shingled, "node bigint, component bigint, sets bigint, members binary")
+               # Another text may have the same id and hash.
                .where("members IS NOT NULL"))
     members = steps.keep(members, "members")
 
     pieces = F.ceil(F.col("sets") / TRIE)
-    piece = F.pmod(F.xxhash64("head"), pieces)
+    piece = F.pmod(F.xxhash64("node"), pieces)
     with_piece = members.withColumn("piece", F.when(F.col("sets") <= TRIE, F.lit(0)).otherwise(piece))
     # The first piece of a large block goes to all of its pieces.
     target = F.when((F.col("sets") > TRIE) & (F.col("piece") == 0), F.sequence(F.lit(0).cast("bigint"), pieces - 1)).otherwise(
         F.array(F.col("piece").cast("bigint")))
-    units = with_piece.select("head", "members", F.explode(target).alias("to"), "component") \
-        .select("head", "members", F.xxhash64("component", "to").alias("unit"))
+    units = with_piece.select("node", "members", F.explode(target).alias("to"), "component") \
+        .select("node", "members", F.xxhash64("component", "to").alias("unit"))
     links = steps.keep(_links(units, threshold, tasks), "links-0")
 
-    large = steps.keep(with_piece.where(F.col("sets") > TRIE).select("head", "component", "piece", "sets"), "large")
+    large = steps.keep(with_piece.where(F.col("sets") > TRIE).select("node", "component", "piece", "sets"), "large")
     if large.limit(1).count():
         # Which component does each set of a large block belong to so far?
-        reached = common.components(links, steps, "reached").withColumnsRenamed({"node": "head", "component": "group"})
-        state = large.join(reached, "head", "left").withColumn("group", F.coalesce("group", "head"))
+        reached = common.components(links, steps, "reached").withColumnRenamed("component", "group")
+        state = large.join(reached, "node", "left").withColumn("group", F.coalesce("group", "node"))
         groups = state.groupBy("component", "group").count()
         most = groups.groupBy("component").agg(F.max(F.struct("count", "group")).alias("m"))
         outside = (state.join(most.select("component", F.col("m.group").alias("main")), "component")
-                   .where("group <> main").select("head", "component", "sets"))
+                   .where("group <> main").select("node", "component", "sets"))
         outside = steps.keep(outside, "outside")
         left = outside.groupBy("component").agg(F.count("*").alias("left"))
         chunks = F.ceil(F.col("left") / TRIE)
         # Every piece of the block meets every chunk of the sets outside.
         big = with_piece.where(F.col("sets") > TRIE).join(left, "component")
-        all_pieces = (big.select("head", "members", "component", F.col("piece").cast("bigint").alias("to"),
+        all_pieces = (big.select("node", "members", "component", F.col("piece").cast("bigint").alias("to"),
                                  F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk")))
-        every = (members.join(outside.select("head"), "head", "left_semi").join(left, "component")
-                 .select("head", "members", "component",
+        every = (members.join(outside.select("node"), "node", "left_semi").join(left, "component")
+                 .select("node", "members", "component",
                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("sets") / TRIE) - 1)).alias("to"),
-                         F.pmod(F.xxhash64("head", F.lit(3)), chunks).alias("chunk")))
-        units = all_pieces.union(every).select("head", "members", F.xxhash64("component", "to", "chunk").alias("unit"))
+                         F.pmod(F.xxhash64("node", F.lit(3)), chunks).alias("chunk")))
+        units = all_pieces.union(every).select("node", "members", F.xxhash64("component", "to", "chunk").alias("unit"))
         links = links.union(steps.keep(_links(units, threshold, tasks), "links-1"))
 
-    found = common.components(links, steps, "linked").withColumnsRenamed({"node": "head"})
-    by_set = heads.join(found, "head", "left").select(
-        F.col("sig").alias("s"), F.col("sig2").alias("s2"), F.coalesce("component", "head").alias("component_id"))
+    found = steps.keep(common.components(links, steps, "linked"), "found")
+    # A component has the smallest id of its sets.
+    named = (heads.join(found, F.col("sig") == F.col("node")).groupBy("component").agg(F.min("head").alias("component_id")))
+    by_set = (found.join(named, "component").select("node", "component_id"))
+    by_set = heads.join(by_set, F.col("sig") == F.col("node"), "left").select(
+        F.col("sig").alias("s"), F.col("sig2").alias("s2"), F.coalesce("component_id", "head").alias("component_id"))
     return (own.join(by_set, (F.col("sig") == F.col("s")) & (F.col("sig2") == F.col("s2")), "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "n_shingles", "sig", "sig2",
                     F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def without_near_copies(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one with the smallest id.
 
-    Rows with a null id stay: they stand for nothing and nothing stands for them.
+    Of texts of a group that share this id, the one with the smallest signature stays, and with it every row that repeats its id and its
+    set.  An id that stands at several texts goes only where the text does.  Rows with a null id stay: they stand for
+    nothing and nothing stands for them.
     """
-    found = near_groups(docs, n, threshold).where("doc_id IS NOT NULL AND component_id <> doc_id")
+    spark = docs.sparkSession
+    steps = common.Steps(spark, "near-copies")
+    found = grouped(docs, n, threshold).where("doc_id IS NOT NULL")
+    found = steps.keep(found.groupBy("doc_id", "sig", "sig2").agg(F.min("component_id").alias("component_id")), "sets")
+    stays = (found.where("doc_id = component_id AND sig IS NOT NULL").groupBy("component_id")
+             .agg(F.min(F.struct("sig", "sig2")).alias("first")).withColumnRenamed("component_id", "doc"))
+    # Only a component's own id can stand at sets that stay beside others that go.
+    judged = found.join(stays, F.col("doc_id") == F.col("doc"), "left")
+    goes = F.col("sig").isNotNull() & ((F.col("doc_id") != F.col("component_id")) | (F.struct("sig", "sig2") != F.col("first")))
+    judged = judged.select("doc_id", "sig", "sig2", goes.alias("goes"))
+    ids = steps.keep(judged.groupBy("doc_id").agg(F.bool_and("goes").alias("all_go"), F.bool_or("goes").alias("some_go"))
+                     .where("some_go"), "ids")
     gone, = common.unused(docs, "gone_id")
-    return docs.join(found.select(F.col("doc_id").alias(gone)).distinct(), F.col("doc_id") == F.col(gone), "left_anti")
+    left = docs.join(ids.where("all_go").select(F.col("doc_id").alias(gone)), F.col("doc_id") == F.col(gone), "left_anti")
+    mixed = ids.where("NOT all_go").select(F.col("doc_id").alias(gone))
+    if mixed.isEmpty():
+        return left
+
+    @F.arrow_udf("struct<sig: bigint, sig2: bigint>")
+    def signature(text: pa.Array) -> pa.Array:
+        sets = [s for _, offsets, data in common.slices(text) for s in shingle_sets(offsets, data, n)]
+        pairs = [_signature(s) if len(s) else (None, None) for s in sets]
+        return pa.StructArray.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["sig", "sig2"])
+
+    # Rows of ids that stay with one text and go with another are told apart by their sets.
+    sig, = common.unused(docs, "gone_sig")
+    part = left.join(mixed, F.col("doc_id") == F.col(gone), "left_semi").withColumn(sig, signature("text"))
+    out = judged.where("goes").select(F.col("doc_id").alias(gone), F.col("sig").alias("_s"), F.col("sig2").alias("_s2"))
+    part = part.alias("own").join(out.alias("out"), (F.col("own.doc_id") == F.col(f"out.{gone}")) & (F.col(f"own.{sig}.sig") == F.col("out._s"))
+                                  & (F.col(f"own.{sig}.sig2") == F.col("out._s2")), "left_anti")
+    return left.join(mixed, F.col("doc_id") == F.col(gone), "left_anti").unionByName(part.select(*docs.columns))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
