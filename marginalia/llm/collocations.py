@@ -6,7 +6,13 @@ Edges are added up once.  All shorter counts follow from the flow: a phrase occu
 edges that begin with it, plus the piece ends that do.  A node with one edge in and one edge out that
 both carry its whole flow lies inside a unary path and is compacted away: it is no phrase by itself.
 
-Words travel as 56-bit hashes in blocks of byte planes, grams combined within a chunk first.  A node
+No phrase holds a pair of words that is rarer than the phrase itself must be.  So pairs are counted first, by a
+40-bit key, and a piece also ends within every pair that is rarer: that takes nothing from any phrase's flow and most edges
+out of the shuffle.  Which pairs are frequent is known from a bitmap of fixed size; pairs that share a bit with a
+frequent one are merely not cut.
+
+Words travel in blocks of byte planes, grams combined within a chunk first: the most usual words of a sample as short codes, all
+others as 55-bit hashes.  A node
 and its edges meet in one bucket; nodes with very many different successors are known from
 a sample and have their edges spread over all buckets, with their flow added up at the end.  The sample
 decides where rows go and nothing else.
@@ -28,14 +34,20 @@ SCALE = 2_000_000
 MOST = 2000
 # Words combined at once in a task, bytes of text per bucket, bytes of text in the sample, successors in one
 # chunk that make a node hot, hot nodes at most (the most split ones are taken).
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BUCKET_BYTES = 8 << 20
 SAMPLE_BYTES = 32 << 20
 HOT = 64
 HOT_NODES = 4096
+# Bits of the map of frequent pairs: eight megabytes, whatever the input.
+MAP_BITS = 26
+_PAIR_BITS = 40
+# Words with a short code, at most.
+CODES = (1 << 16) - 1
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
-_HASH = np.uint64((1 << 56) - 1)
+# Hashes of words have this bit, codes have not.
+_HASHED = np.uint64(1 << 55)
 # What ends a piece, and what else parts words.
 _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?\n\x0b\x0c\r"]] = True
@@ -98,11 +110,32 @@ def _split(offsets: np.ndarray, data: np.ndarray):
         low = high
 
 
+class _Codes:
+    """Numbers of words: a code for usual ones, a hash for all others."""
+
+    def __init__(self, hashes: list[int], texts: list[str]):
+        order = np.argsort(np.array(hashes, np.uint64))
+        self.hashes = np.array(hashes, np.uint64)[order]
+        self.texts = [texts[i] for i in order]
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = (hashes & (_HASHED - np.uint64(1))) | _HASHED
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, out), len(self.hashes) - 1)
+            known = self.hashes[at] == out
+            # Zero stands for no word.
+            out[known] = at[known].astype(np.uint64) + np.uint64(1)
+        return out
+
+    def text(self, number: int) -> str:
+        return self.texts[number - 1]
+
+
 class _Chunk:
-    """Words of texts in a row: hash, bytes, language, and how many words their piece still holds."""
+    """Words of texts in a row: number, bytes, language, and how many words their piece still holds."""
 
-    def __init__(self):
-        self.parts, self.count, self.bytes = [], 0, 0
+    def __init__(self, codes: _Codes):
+        self.codes, self.parts, self.count, self.bytes = codes, [], 0, 0
 
     def add(self, offsets: np.ndarray, data: np.ndarray, langs: np.ndarray) -> None:
         data = common._FOLD[data]
@@ -117,15 +150,28 @@ class _Chunk:
         stop = np.flatnonzero(last)
         left = np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(len(hashes)) + 1
         lang = langs[common.owners(first)]
-        # Zero stands for no word.
-        hashes = np.maximum(hashes & _HASH, np.uint64(1))
-        self.parts.append((hashes, starts + self.bytes, ends - starts, np.minimum(left, LONGEST), lang, data))
+        self.parts.append((self.codes(hashes), starts + self.bytes, ends - starts, np.minimum(left, LONGEST), lang, data))
         self.count, self.bytes = self.count + len(hashes), self.bytes + len(data)
 
-    def languages(self, names: list[str]):
-        """``(name, grams, counts, words)`` per language: distinct longest grams, and for distinct words their
-        hash, count and text."""
+    def pairs(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the distinct pairs of neighbours in a piece, ascending, and their counts."""
+        hashes, _, _, left, lang, _ = (np.concatenate(c) for c in zip(*self.parts))
+        at = np.flatnonzero(left > 1)
+        return np.unique(_pair_keys(_lang_keys(names)[lang[at]], hashes[at], hashes[at + 1]), return_counts=True)
+
+    def languages(self, names: list[str], frequent: np.ndarray):
+        """``(name, grams, counts, words)`` per language: distinct longest grams of two words and more, cut at rare pairs, and
+        for distinct words their hash, count and text."""
         hashes, starts, lengths, left, lang, data = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts = []
+        on = left > 1
+        at = np.flatnonzero(on)
+        on[at] = _in_map(frequent, _pair_keys(_lang_keys(names)[lang[at]], hashes[at], hashes[at + 1]))
+        left = 1 + on.astype(np.int64)
+        for i in range(1, LONGEST - 1):
+            later = np.zeros(len(on), bool)
+            later[:-i] = on[i:]
+            left += later & (left == i + 1)
         grams = [hashes]
         for i in range(1, LONGEST):
             later = np.zeros(len(hashes), np.uint64)
@@ -134,7 +180,7 @@ class _Chunk:
             grams.append(later)
         for number in np.unique(lang).tolist():
             mine = slice(None) if len(names) == 1 else lang == number
-            columns = [g[mine] for g in grams]
+            columns = [g[(left > 1) if len(names) == 1 else mine & (left > 1)] for g in grams]
             # Grams of equal key side by side; should different ones share a key they just stay uncombined.
             order = np.argsort(_key(*columns))
             columns = [c[order] for c in columns]
@@ -146,19 +192,33 @@ class _Chunk:
                    (words, counts, starts[mine][at], lengths[mine][at], data))
 
 
-def _chunks(batches):
-    """Chunks of about ``CHUNK`` words, with the names of their languages."""
-    chunk, names = _Chunk(), {}
+def _lang_keys(names: list[str]) -> np.ndarray:
+    return np.array([_lang_key(name) for name in names], np.uint64)
+
+
+def _pair_keys(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _key(lang, first, second) >> np.uint64(64 - _PAIR_BITS)
+
+
+def _in_map(frequent: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    bits = (8 * len(frequent)).bit_length() - 1
+    bit = (pairs >> np.uint64(_PAIR_BITS - bits)).astype(np.int64)
+    return (frequent[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _chunks(batches, codes: _Codes, size: int):
+    """Chunks of about ``size`` words, with the names of their languages."""
+    chunk, names = _Chunk(codes), {}
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for row, offsets, data in common.slices(batch.column(1)):
             number = [names.setdefault("und" if v is None else v, len(names)) for v in langs[row:row + len(offsets) - 1]]
             for window in _split(offsets, data):
                 chunk.add(*window, np.array(number))
-                if chunk.count >= CHUNK:
+                if chunk.count >= size:
                     yield chunk, list(names)
                     # A long text goes on in the next chunk under the same number.
-                    chunk = _Chunk()
+                    chunk = _Chunk(codes)
             if not chunk.count:
                 names = {}
     if chunk.count:
@@ -179,18 +239,74 @@ def _placed(number: np.ndarray, order_by: np.ndarray, buckets: int):
         yield int(bucket[order[low]]), order[low:high]
 
 
-def _hot_nodes(texts: DataFrame, size: int) -> np.ndarray:
+def _sample(texts: DataFrame, size: int) -> DataFrame:
+    every = max(1, -(-size // SAMPLE_BYTES))
+    return texts.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(every)) == 0).select("lang", "text")
+
+
+def usual_words(texts: DataFrame, size: int) -> _Codes:
+    """Codes for the ``CODES`` most frequent words of a sample of about ``SAMPLE_BYTES``."""
+    def words(batches):
+        none = _Codes([], [])
+        for chunk, _ in _chunks(batches, none, CHUNK):
+            hashes, starts, lengths, _, _, data = (np.concatenate(c) for c in zip(*chunk.parts))
+            found, at, counts = np.unique(hashes, return_index=True, return_counts=True)
+            twice = counts > 1
+            text = [data[a:a + n].tobytes().decode() for a, n in zip(starts[at][twice].tolist(), lengths[at][twice].tolist())]
+            yield pa.RecordBatch.from_pydict({
+                "hash": pa.array(found[twice].view(np.int64)), "n": pa.array(counts[twice]), "word": pa.array(text, pa.string())})
+
+    found = (_sample(texts, size).mapInArrow(words, "hash bigint, n bigint, word string").groupBy("hash")
+             .agg(F.sum("n").alias("n"), F.max("word").alias("word")).orderBy(F.desc("n"), "hash").limit(CODES).collect())
+    return _Codes([r["hash"] for r in found], [r["word"] for r in found])
+
+
+def frequent_pairs(texts: DataFrame, size: int, least: int, codes: _Codes) -> np.ndarray:
+    """A bitmap with the leading bits of the keys of all pairs that occur ``least`` times.
+
+    Buckets are ranges of keys; each gives its stretch of the map, so what reaches the driver is the map.
+    """
+    buckets = max(4 * common.partitions(texts.sparkSession), -(-size // BUCKET_BYTES))
+    span = max(8, -(-(1 << MAP_BITS) // buckets) // 8 * 8)
+
+    def combine(batches):
+        for chunk, names in _chunks(batches, codes, CHUNK):
+            keys, counts = chunk.pairs(names)
+            bucket = (keys >> np.uint64(_PAIR_BITS - MAP_BITS)).astype(np.int64) // span
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            rows = [(int(bucket[low]), _PAIRS, None, _packed([keys[low:high], counts[low:high]]), None)
+                    for low, high in zip(edges, [*edges[1:], len(keys)])]
+            if rows:
+                yield _batch(rows)
+
+    def stretch(table: pa.Table) -> pa.Table:
+        keys, counts = np.concatenate([_unpacked(d.as_py(), 2) for d in table.column(3)], axis=1)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        begin = np.flatnonzero(np.diff(keys, prepend=keys[0] - np.uint64(1)))
+        keys = keys[begin][np.add.reduceat(counts, begin) >= least]
+        bucket = table.column(0)[0].as_py()
+        bits = np.zeros(span, np.uint8)
+        bits[(keys >> np.uint64(_PAIR_BITS - MAP_BITS)).astype(np.int64) - bucket * span] = 1
+        return pa.table({"first": pa.array([bucket * span // 8]), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    out = np.zeros((1 << MAP_BITS) // 8 + span, np.uint8)
+    found = texts.select("lang", "text").mapInArrow(combine, _BLOCK).groupBy("bucket").applyInArrow(stretch, "first bigint, bits binary")
+    for r in found.collect():
+        out[r["first"]:r["first"] + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return out[:(1 << MAP_BITS) // 8]
+
+
+def _hot_nodes(texts: DataFrame, size: int, frequent: np.ndarray, codes: _Codes) -> np.ndarray:
     """Nodes that a sample of about ``SAMPLE_BYTES`` shows with very many successors; at most ``HOT_NODES``."""
     def busy(batches):
-        for chunk, names in _chunks(batches):
-            for lang, grams, _, _ in chunk.languages(names):
+        for chunk, names in _chunks(batches, codes, CHUNK):
+            for lang, grams, _, _ in chunk.languages(names, frequent):
                 node, successors = np.unique(_nodes(lang, grams)[grams[-1] > 0], return_counts=True)
                 hot = successors >= HOT
                 yield pa.RecordBatch.from_pydict({"node": pa.array(node[hot].view(np.int64)), "n": pa.array(successors[hot])})
 
-    every = max(1, -(-size // SAMPLE_BYTES))
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(every)) == 0)
-    found = (sample.select("lang", "text").mapInArrow(busy, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+    found = (_sample(texts, size).mapInArrow(busy, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "node").limit(HOT_NODES).collect())
     return np.array([r["node"] for r in found], np.int64).view(np.uint64)
 
@@ -206,18 +322,22 @@ def flows(docs: DataFrame, least: int = LEAST) -> DataFrame:
     steps = common.Steps(spark, "collocations")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4 * common.partitions(spark), -(-size // BUCKET_BYTES))
-    hot = _hot_nodes(docs, size)
+    codes = usual_words(docs, size)
+    frequent = frequent_pairs(docs, size, least, codes)
+    hot = _hot_nodes(docs, size, frequent, codes)
 
     def combine(batches):
         """Distinct grams and words of each chunk, to the buckets of their nodes."""
-        for chunk, names in _chunks(batches):
-            for lang, grams, counts, (words, times, starts, lengths, data) in chunk.languages(names):
+        for chunk, names in _chunks(batches, codes, CHUNK):
+            for lang, grams, counts, (words, times, starts, lengths, data) in chunk.languages(names, frequent):
                 node = _nodes(lang, grams)
                 spread = np.isin(node, hot)
                 node[spread] = _key(node[spread], grams[-1][spread])
                 rows = [(bucket, _GRAMS, lang, _packed([c[at] for c in (*grams, counts)]), None)
                         for bucket, at in _placed(node, grams[0], buckets)]
                 number = _key(np.full(len(words), _lang_key(lang)), words)
+                # The text of a word with a code is known.
+                lengths[words < _HASHED] = 0
                 rows += [(bucket, _WORDS, lang, _packed([words[at], times[at], lengths[at]]),
                           _gathered(data, starts[at], lengths[at])) for bucket, at in _placed(number, words, buckets)]
                 yield _batch(rows)
@@ -307,7 +427,8 @@ def flows(docs: DataFrame, least: int = LEAST) -> DataFrame:
         for lang, blocks in grouped(table, _WORDS, 3).items():
             for (words, flow, lengths), text in blocks:
                 ends = np.cumsum(lengths).tolist()
-                out.append(flat(lang, [words], flow, [text[e - n:e].decode() for e, n in zip(ends, lengths.tolist())]))
+                spelled = [text[e - n:e].decode() if n else codes.text(w) for w, e, n in zip(words.tolist(), ends, lengths.tolist())]
+                out.append(flat(lang, [words], flow, spelled))
         return pa.Table.from_batches(out)
 
     blocks = docs.select("lang", "text").mapInArrow(combine, _BLOCK).groupBy("bucket").applyInArrow(edges, _BLOCK)
