@@ -64,7 +64,7 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
-def cover_forest(points: np.ndarray, first: np.ndarray, leaf: int = LEAF):
+def cover_forest(points: np.ndarray, first: np.ndarray, leaf: int):
     """Cover trees over the points from each of ``first`` to the next; ``first`` ends with the number of points.
 
     Gives ``(place, nodes, radius)``: the order of the points, ``begin, end, child, children`` of each node in that
@@ -209,7 +209,7 @@ def vector_codes(vectors: DataFrame, entries: int = ENTRIES, rounds: int = ROUND
 
         def chunk():
             points = _quantised(rows, size).reshape(-1, size)
-            place, nodes, radius = cover_forest(points, np.arange(PARTS + 1) * len(rows))
+            place, nodes, radius = cover_forest(points, np.arange(PARTS + 1) * len(rows), LEAF)
             return pa.RecordBatch.from_arrays(
                 [pa.array([len(rows)], pa.int32()), *[pa.array([a.tobytes()], pa.binary()) for a in (
                     points[place].astype("<i4"), place.astype("<i4"), nodes.astype("<i4"), radius.astype("<f8"))],
