@@ -1,13 +1,12 @@
 """Layers of the document table that the registered queries run on."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
 from marginalia.functions.segments import let, segments
-from marginalia.operators import coref, entities, segmentation, tagging
+from marginalia.operators import coref, entities, segmentation, tagging, trees
 from marginalia.plans import annotate as plan
 from marginalia.sources.documents import scan_documents, spread
 
@@ -133,32 +132,19 @@ def tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return edges, leaves
 
 
-def dependency_edges(tokens: DataFrame) -> DataFrame:
-    """``doc_id, sent_no, dep_no, gov_no, relation, seq`` by simple rules on the tags."""
-    sentence = W.partitionBy("doc_id", "sent_no")
-    order = sentence.orderBy("tok_no")
-    verb = F.coalesce(F.min(F.when(F.col("tag").startswith("VB"), F.col("tok_no"))).over(sentence),
-                      F.lit(1).cast("bigint"))
-    separated = (F.lag("text").over(order) == ",") | (F.lag("tag").over(order) == "CC")
-    marked = tokens.withColumn("verb", verb).withColumn("separated", separated)
-    noun = F.col("tag").isin(*tagging.NOUN_TAGS)
-    relation = (F.when(F.col("tag") == "DT", F.lit("det")).when(F.col("tag") == "JJ", F.lit("amod"))
-                .when(F.col("tag") == "IN", F.lit("prep"))
-                .when(noun & (F.col("tok_no") < F.col("verb")), F.lit("nsubj"))
-                .when(noun & (F.col("tok_no") > F.col("verb")), F.lit("dobj")))
-    edge = lambda kind, gov, seq: F.struct(
-        kind.alias("relation"), gov.alias("gov_no"), F.lit(seq).cast("bigint").alias("seq"))
-    plain = F.when(F.col("tok_no") != F.col("verb"), edge(relation, F.col("verb"), 1))
-    conj = F.when(F.col("separated") & (F.col("tok_no") > 2),
-                  edge(F.lit("conj"), F.col("tok_no") - 2, 2))
-    both = F.filter(F.array(plain, conj), lambda e: e["relation"].isNotNull())
-    return marked.select("doc_id", "sent_no", F.col("tok_no").alias("dep_no"),
-                         F.explode(both).alias("e")).select(
-        "doc_id", "sent_no", "dep_no", "e.gov_no", "e.relation", "e.seq")
-
-
-def dependencies(spark: SparkSession, folder: str) -> DataFrame:
-    from marginalia.operators.trees import dependency_spans
-
-    tokens = durable(pos(spark, folder), "pos")
-    return dependency_spans(tokens, dependency_edges(tokens))
+def dependency_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentence rows with ``toks`` and ``edges`` ``dep_no, gov_no, relation, seq``, by simple rules on the tags."""
+    nouns = ", ".join(f"'{tag}'" for tag in tagging.NOUN_TAGS)
+    verb = "coalesce(nullif(array_position(transform(toks, t -> startswith(t.tag, 'VB')), true), 0), 1)"
+    relation = (f"CASE WHEN t.tag = 'DT' THEN 'det' WHEN t.tag = 'JJ' THEN 'amod' WHEN t.tag = 'IN' THEN 'prep'"
+                f" WHEN t.tag IN ({nouns}) AND i + 1 < verb THEN 'nsubj' WHEN t.tag IN ({nouns}) AND i + 1 > verb THEN 'dobj' END")
+    edge = "struct(CAST(i + 1 AS BIGINT) AS dep_no, CAST({} AS BIGINT) AS gov_no, {} AS relation, CAST({} AS BIGINT) AS seq)"
+    plain = f"IF(i + 1 <> verb, {edge.format('verb', relation, 1)}, NULL)"
+    separated = "i + 1 > 2 AND (toks[i - 1].text = ',' OR toks[i - 1].tag = 'CC')"
+    conj = f"IF({separated}, {edge.format('i - 1', repr('conj'), 2)}, NULL)"
+    edges = let("verb", verb, f"flatten(transform(toks, (t, i) -> filter(array({plain}, {conj}), e -> e.relation IS NOT NULL)))")
+    return tagged(spark, folder).withColumn("edges", F.expr(edges))
+
+
+def dependencies(spark: SparkSession, folder: str, resolve: bool = False) -> DataFrame:
+    return trees.sentence_dependencies(dependency_rows(spark, folder), resolve)

@@ -212,6 +212,9 @@ PARTS: dict[str, str] = {
     "bigrams": """
     SELECT * FROM (SELECT doc_id, start, lead("end") OVER (PARTITION BY doc_id, sent_no ORDER BY tok_no) AS "end"
                    FROM toks) WHERE "end" IS NOT NULL""",
+    # Stretches of a hundred characters that a span reaches into, to join by equality.
+    "np_stretch": """SELECT doc_id, ce_id, start, "end", unnest(range(start // 100, "end" // 100 + 1)) AS stretch FROM nps""",
+    "bigram_stretch": """SELECT doc_id, start, "end", unnest(range(start // 100, "end" // 100 + 1)) AS stretch FROM bigrams""",
     # Labels.
     "labelled": "SELECT *, CASE " + " ".join(
         f"WHEN tag = '{t}' THEN '{l}'" for t, l in LABELS.items()) + " ELSE 'O' END AS label FROM pos",
@@ -498,12 +501,13 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         FROM toks t JOIN sents s ON s.doc_id = t.doc_id AND t.start < s."end" AND t."end" > s.start""",
     "contained_join": """SELECT t.doc_id, t.start AS a_start, t."end" AS a_end, s.start AS b_start, s."end" AS b_end,
             s.ce_id AS b_ce_id
-        FROM toks t JOIN nps s ON s.doc_id = t.doc_id AND t.start >= s.start AND t."end" <= s."end" """,
+        FROM toks t JOIN np_stretch s ON s.doc_id = t.doc_id AND s.stretch = t.start // 100
+            AND t.start >= s.start AND t."end" <= s."end" """,
     "covered_text": """SELECT s.doc_id, s.start, s."end", substring(d.text, s.start + 1, s."end" - s.start) AS text
         FROM sents s JOIN docs d USING (doc_id)""",
     "crossing_spans": """SELECT a.doc_id, a.start AS a_start, a."end" AS a_end, b.start AS b_start, b."end" AS b_end
-        FROM bigrams a JOIN bigrams b
-        ON b.doc_id = a.doc_id AND a.start < b.start AND b.start < a."end" AND a."end" < b."end" """,
+        FROM bigram_stretch a JOIN bigrams b
+        ON b.doc_id = a.doc_id AND a.stretch = b.start // 100 AND a.start < b.start AND b.start < a."end" AND a."end" < b."end" """,
     "ordered_spans": """SELECT doc_id, start, "end",
             row_number() OVER (PARTITION BY doc_id ORDER BY start, "end") - 1 AS idx,
             count(*) OVER (PARTITION BY doc_id) AS n, count(*) OVER (PARTITION BY doc_id) // 2 AS mid FROM sents""",
@@ -545,14 +549,16 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         UNION ALL SELECT doc_id, label, start, "end" FROM leaves) GROUP BY doc_id, label""",
     "child_ids": """SELECT doc_id, parent_id AS node_id, string_agg(node_id, ',' ORDER BY node_id) AS child_ids
         FROM edges WHERE parent_id IS NOT NULL GROUP BY doc_id, parent_id""",
-    "dependency_spans": f'SELECT doc_id, sent_no, tok_no, start, "end", type, {_GOV} FROM deps',
+    **{name: f'SELECT doc_id, sent_no, tok_no, start, "end", type, {_GOV} FROM deps'
+       for name in ("dependency_spans", "dependency_spans_of_tables")},
     "relation_groups": f"""SELECT doc_id, sent_no, tok_no, start, "end", {_GROUPED} AS type, {_GOV} FROM deps""",
-    "resolve_conjunctions": """SELECT d.doc_id, d.sent_no, d.tok_no, d.start, d."end",
+    **{name: """SELECT d.doc_id, d.sent_no, d.tok_no, d.start, d."end",
             CASE WHEN c.origin IS NULL THEN d.type ELSE c.type END AS type,
             coalesce(CASE WHEN c.origin IS NULL THEN d.gov ELSE c.gov END, '') AS gov,
             coalesce(CASE WHEN c.origin IS NULL THEN d.gov_id ELSE c.gov_id END, -1) AS gov_id
         FROM deps d LEFT JOIN (SELECT * FROM chain WHERE type <> 'conj') c
-        ON c.doc_id = d.doc_id AND c.sent_no = d.sent_no AND c.origin = d.tok_no""",
+        ON c.doc_id = d.doc_id AND c.sent_no = d.sent_no AND c.origin = d.tok_no"""
+       for name in ("resolve_conjunctions", "resolve_conjunctions_of_tables")},
     "mention_pairs": "SELECT doc_id, i, j FROM pairs",
     "pair_features": "SELECT * FROM feats",
     "binarized_features": f"""SELECT doc_id, i, j, exact, head_match, both_pronoun, either_pronoun, number_agree,

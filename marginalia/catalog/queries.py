@@ -545,7 +545,19 @@ def relation_groups(spark, folder):
 
 @query
 def resolve_conjunctions(spark, folder):
-    deps = durable(inputs.dependencies(spark, folder), "dependencies")
+    return _no_nulls(inputs.dependencies(spark, folder, resolve=True), gov="", gov_id=-1)
+
+
+@query
+def dependency_spans_of_tables(spark, folder):
+    toks, edges = trees.tables_of(durable(inputs.dependency_rows(spark, folder), "sentences"))
+    return _no_nulls(trees.dependency_spans(toks, edges), gov="", gov_id=-1)
+
+
+@query
+def resolve_conjunctions_of_tables(spark, folder):
+    toks, edges = trees.tables_of(durable(inputs.dependency_rows(spark, folder), "sentences"))
+    deps = durable(trees.dependency_spans(toks, edges), "dependencies")
     return _no_nulls(trees.resolve_conjunctions(deps), gov="", gov_id=-1)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
+from marginalia.functions.scans import counted_on, numbered
 from marginalia.functions.segments import BLANK, segments, without_blanks_behind
 from marginalia.operators.spans import covered_text
 from marginalia.schema import MAX_DOCUMENT_NUMBER, MAX_SENTENCE_TOKENS
@@ -96,20 +97,12 @@ def _sentences_of_documents(docs: DataFrame, drop_tails: bool) -> DataFrame:
 
 def sentence_numbers(spans: DataFrame) -> DataFrame:
     """Add ``sent_no``, counted from 0 through the document."""
-    order = W.partitionBy("doc_id").orderBy("start", "end")
-    return spans.withColumn("sent_no", F.row_number().over(order).cast("bigint") - 1)
+    return numbered(spans, "sent_no").withColumn("sent_no", F.col("sent_no") - 1)
 
 
 def fill_sentence_numbers(spans: DataFrame, col: str = "sent_no") -> DataFrame:
     """Add ``filled``: a missing number continues from the last one seen, from 1 on."""
-    order = W.partitionBy("doc_id").orderBy("start", "end")
-    seen = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    group = W.partitionBy("doc_id", "_group").orderBy("start", "end").rowsBetween(
-        W.unboundedPreceding, W.currentRow)
-    last = F.coalesce(F.last(F.col(col), ignorenulls=True).over(seen), F.lit(0)).cast("bigint")
-    gap = F.sum(F.when(F.col(col).isNull(), 1).otherwise(0)).over(group)
-    return (spans.withColumn("_group", F.count(F.col(col)).over(seen))
-            .withColumn("filled", last + gap).drop("_group"))
+    return counted_on(spans, col, "filled")
 
 
 def tokens(docs: DataFrame, sents: DataFrame | None = None) -> DataFrame:

@@ -5,9 +5,10 @@ is shared out over many tasks and a span meets only spans near to it.
 """
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marginalia.functions.scans import numbered
+
 # Cells of 2**8 characters for joins, of 2**12 for pieces of text.
 CELL_BITS = 8
 TEXT_CELL_BITS = 12
@@ -109,10 +110,7 @@ def covered_text(spans: DataFrame, docs: DataFrame, bits: int = TEXT_CELL_BITS)
 
 def ordered_spans(spans: DataFrame) -> DataFrame:
     """Add ``idx`` (from 0), ``n`` and ``mid`` (``n / 2`` rounded down) per document."""
-    document = W.partitionBy("doc_id")
-    return (spans.withColumn("idx", F.row_number().over(
-                document.orderBy("start", "end")).cast("bigint") - 1)
-            .withColumn("n", F.count("*").over(document))
+    return (numbered(spans, "idx", total="n").withColumn("idx", F.col("idx") - 1)
             .withColumn("mid", F.floor(F.col("n") / 2)))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marginalia.functions.scans import numbered, runs
 from marginalia.functions.segments import let, quoted, segments
 from marginalia.operators.segmentation import sentences, token_spans
 from marginalia.operators.spans import overlap_join
@@ -114,13 +115,7 @@ def ne_from_labels(labelled: DataFrame, flush_last: bool = True) -> DataFrame:
 
     ``flush_last=False`` leaves out a run that ends its sentence.
     """
-    sentence = W.partitionBy("doc_id", "sent_no")
-    order = sentence.orderBy("tok_no")
-    changed = ~F.col("label").eqNullSafe(F.lag("label").over(order))
-    islands = (labelled.withColumn("_new", changed.cast("int"))
-               .withColumn("_run", F.sum("_new").over(order))
-               .withColumn("_last", F.max("tok_no").over(sentence)))
-    found = islands.groupBy("doc_id", "sent_no", "_run").agg(
+    found = runs(labelled, "label", ["doc_id", "sent_no"], "tok_no").groupBy("doc_id", "sent_no", "_run").agg(
         F.first("label").alias("type"), F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max("tok_no") == F.max("_last")).alias("_ends"))
     kept = F.col("type") != "O"
@@ -171,8 +166,7 @@ def sentence_noun_phrases(tagged: DataFrame) -> DataFrame:
 
 def number_phrases(nps: DataFrame) -> DataFrame:
     """Add ``ce_id``, counted from 1 through the document."""
-    order = W.partitionBy("doc_id").orderBy("start", "end")
-    return nps.withColumn("ce_id", F.row_number().over(order).cast("bigint")).select(
+    return numbered(nps, "ce_id").select(
         "doc_id", "ce_id", "sent_no", "start", "end", "text", "head", "head_no")
 
 
