@@ -19,6 +19,12 @@ CHECK_GAZETTEER = [
 ]
 
 
+# Entries of one to four tokens that overlap each other.
+CHECK_PHRASES = [
+    ("apache license", "organization"), ("Apache License", "person"), ("license, version", "location"),
+    ("apache license, version", "organization"), ("version", "time"), ("idiot", "person"),
+]
+
 # Node ids of a tree: a sentence has room for so many tags, leaves and runs.
 LEAF_IDS, RUN_IDS = 1 << 30, 1 << 31
 
@@ -52,6 +58,11 @@ def entity_rows(spark: SparkSession, folder: str) -> DataFrame:
     return entities.named_entities(d, segmentation.tokens(d), CHECK_PATTERNS, gazetteer(spark))
 
 
+def phrase_entities(spark: SparkSession, folder: str) -> DataFrame:
+    listed = spark.createDataFrame(CHECK_PHRASES, "word string, type string")
+    return entities.gazetteer_phrases(durable(tagged(spark, folder), "tagged"), listed)
+
+
 def phrases(spark: SparkSession, folder: str) -> DataFrame:
     """Noun phrases, written once since several steps of a query read them."""
     return durable(tagging.base_noun_phrases(docs(spark, folder)), "phrases")

@@ -7,7 +7,7 @@ drift apart; the ways to the result are written anew.
 
 import re
 
-from marginalia.catalog.inputs import CHECK_GAZETTEER, CHECK_PATTERNS
+from marginalia.catalog.inputs import CHECK_GAZETTEER, CHECK_PATTERNS, CHECK_PHRASES
 from marginalia.operators.coref import DISTANCE_STEPS, LINK_THRESHOLD, WEIGHTS
 from marginalia.operators.entities import ENTITY_TYPES
 from marginalia.operators.tagging import LABELS, LEXICON, NOUN_TAGS, NP_TAGS, SUFFIXES
@@ -212,6 +212,21 @@ PARTS: dict[str, str] = {
     "bigrams": """
     SELECT * FROM (SELECT doc_id, start, lead("end") OVER (PARTITION BY doc_id, sent_no ORDER BY tok_no) AS "end"
                    FROM toks) WHERE "end" IS NOT NULL""",
+    # Listed phrases: leftmost, then longest, one after the other.
+    "phrase_list": f"""SELECT DISTINCT array_to_string([w FOR w IN regexp_extract_all(lower(word), '[a-z]+|,')], ' ') AS key, type
+        FROM (VALUES {_values(CHECK_PHRASES)}) AS t(word, type)""",
+    "phrase_grams": """
+    SELECT a.doc_id, a.sent_no, a.tok_no, n, string_agg(lower(b.text), ' ' ORDER BY b.tok_no) AS key,
+           min(b.start) AS start, max(b."end") AS "end", count(*) AS held
+    FROM (SELECT *, unnest([1, 2, 3, 4]) AS n FROM toks WHERE lower(text) IN ('apache', 'license', 'version', 'idiot')) a
+    JOIN toks b ON b.doc_id = a.doc_id AND b.sent_no = a.sent_no AND b.tok_no BETWEEN a.tok_no AND a.tok_no + a.n - 1
+    GROUP BY a.doc_id, a.sent_no, a.tok_no, n""",
+    "phrase_hits": "SELECT g.*, p.type FROM phrase_grams g JOIN phrase_list p USING (key) WHERE g.held = g.n",
+    "phrase_best": "SELECT doc_id, sent_no, tok_no, max(n) AS n FROM phrase_hits GROUP BY doc_id, sent_no, tok_no",
+    "phrase_walk": """
+    SELECT doc_id, sent_no, min(tok_no) AS tok_no, arg_min(n, tok_no) AS n FROM phrase_best GROUP BY doc_id, sent_no
+    UNION ALL SELECT b.doc_id, b.sent_no, min(b.tok_no), arg_min(b.n, b.tok_no) FROM phrase_walk w JOIN phrase_best b
+    ON b.doc_id = w.doc_id AND b.sent_no = w.sent_no AND b.tok_no >= w.tok_no + w.n GROUP BY b.doc_id, b.sent_no, w.tok_no""",
     # Stretches of a hundred characters that a span reaches into, to join by equality.
     "np_stretch": """SELECT doc_id, ce_id, start, "end", unnest(range(start // 100, "end" // 100 + 1)) AS stretch FROM nps""",
     "bigram_stretch": """SELECT doc_id, start, "end", unnest(range(start // 100, "end" // 100 + 1)) AS stretch FROM bigrams""",
@@ -339,7 +354,7 @@ _AGAIN = ("np_class", "np_new", "np_run", "np_span", "np_text", "ents", "ent_fre
 for _step in _AGAIN:
     PARTS[f"{_step}_full"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join([*_BELOW, *_AGAIN])})\b",
                                     lambda m: f"{m[1]} {_BELOW.get(m[2], m[2] + '_full')}", PARTS[_step])
-_RECURSIVE = {"climb", "chain", "spread", "parts"}
+_RECURSIVE = {"climb", "chain", "spread", "parts", "phrase_walk"}
 
 # Cuts of long sentences: the best-ranked break left of the middle, again and again.
 PARTS["long_toks"] = """
@@ -466,6 +481,8 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "pos_tags_by_lexicon": 'SELECT doc_id, sent_no, tok_no, start, "end", text, tag FROM pos',
     "base_layers": _FILLED,
     "named_entities": 'SELECT doc_id, type, start, "end", text FROM ents',
+    "gazetteer_phrases": """SELECT h.doc_id, h.type, h.start, h."end", substring(d.text, h.start + 1, h."end" - h.start) AS text
+        FROM phrase_hits h JOIN phrase_walk w USING (doc_id, sent_no, tok_no, n) JOIN docs d USING (doc_id)""",
     "ne_from_labels": 'SELECT doc_id, type, start, "end" FROM lab_ne',
     "ne_from_labels_unflushed": 'SELECT doc_id, type, start, "end" FROM lab_ne WHERE NOT ends',
     "rebase_spans": 'SELECT doc_id, sent_no, tok_no, start, "end" FROM toks',

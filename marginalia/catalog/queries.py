@@ -284,6 +284,11 @@ def named_entities(spark, folder):
     return inputs.entity_rows(spark, folder)
 
 
+@query
+def gazetteer_phrases(spark, folder):
+    return inputs.phrase_entities(spark, folder)
+
+
 @query
 def ne_from_labels(spark, folder):
     return tagging.ne_from_labels(tagging.token_labels(inputs.pos(spark, folder)))

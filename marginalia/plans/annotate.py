@@ -190,9 +190,10 @@ class Gaps:
         if rules.gazetteer is None:
             return entities.named_entities(docs, None, rules.patterns)
         whole = self.lacking(S.NE).where(~self.wants_tokens)
-        toks = token_rows(tagged.join(docs.select("doc_id"), "doc_id", "left_semi")).unionByName(
-            covered_text(self.stored(S.TOKEN, whole).select("doc_id", "start", "end"), whole))
-        return entities.named_entities(docs, toks, rules.patterns, rules.gazetteer)
+        rows = tagged.join(docs.select("doc_id"), "doc_id", "left_semi").select(
+            "doc_id", "sent_no", "start", "text", F.expr("transform(toks, t -> struct(t.`start`, t.`end`, t.`text`))").alias("toks"))
+        rows = rows.unionByName(stored_sentences(self.stored(S.TOKEN, whole), whole))
+        return entities.named_entities(docs, None, rules.patterns, rules.gazetteer, rows)
 
     def phrases(self, tagged: DataFrame, ents: DataFrame) -> DataFrame:
         """``doc_id, ce_id, start, end`` for documents without noun phrases, from their tags, entities and sentences."""
@@ -213,9 +214,14 @@ class Gaps:
         return tagging.number_phrases(tagging.add_entities(wide, bare(spans), sents=sents))
 
 
-def token_rows(tagged: DataFrame) -> DataFrame:
-    """``doc_id, start, end, text`` of the tokens of sentence rows."""
-    return tagged.select("doc_id", F.explode("toks").alias("t")).select("doc_id", "t.start", "t.end", "t.text")
+def stored_sentences(toks: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, sent_no, start, text, toks`` of stored TOKEN rows, whose ids hold the sentence; its text is fetched once."""
+    listed = F.array_sort(F.collect_list(F.struct("start", "end"))).alias("places")
+    rows = toks.groupBy("doc_id", F.shiftright("ann_id", S.SENTENCE_ID_BITS).alias("sent_no")).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), listed)
+    spelled = F.expr("transform(places, p -> struct(p.`start`, p.`end`,"
+                     " substring(text, CAST(p.`start` - start + 1 AS INT), CAST(p.`end` - p.`start` AS INT)) AS text))")
+    return covered_text(rows, docs).select("doc_id", "sent_no", "start", "text", spelled.alias("toks"))
 
 
 def stored_tags(pos: DataFrame) -> DataFrame:
@@ -277,7 +283,7 @@ def phrase_layer(nps: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rules:
-    """What the jobs may be told: entity patterns, word list ``(word, type)``, weights of links, whether crossing
+    """What the jobs may be told: entity patterns, list ``(word, type)`` of words and phrases, weights of links, whether crossing
     phrases are an error."""
 
     patterns: dict[str, str] = field(default_factory=lambda: dict(entities.PATTERNS))
@@ -299,7 +305,7 @@ def annotate(docs: DataFrame, existing: DataFrame | None = None, config: Rules |
         layers = durable(kept_rows(state, existing).unionByName(missing_layers(state, existing, rules)), "layers")
         return layers, coref.candidate_links(durable(phrases_of_layers(layers, docs), "phrases"), rules.weights)
     tagged = durable(tagging.tagged_tokens(sentences(docs)), "tagged")
-    ents = durable(entities.named_entities(docs, token_rows(tagged), rules.patterns, rules.gazetteer), "entities")
+    ents = durable(entities.named_entities(docs, None, rules.patterns, rules.gazetteer, tagged), "entities")
     found = tagging.add_entities(tagging.sentence_noun_phrases(tagged), ents,
                                  sents=tagged.select("doc_id", "sent_no", "start", "end"))
     nps = durable(tagging.number_phrases(found), "phrases")

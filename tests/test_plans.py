@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marginalia import schema as S
 from marginalia.catalog import inputs
 from marginalia.functions import durable
-from marginalia.operators import coref, guards, segmentation, spans, tagging
+from marginalia.operators import coref, entities, guards, segmentation, spans, tagging
 from marginalia.plans import annotate as plan
 from marginalia.sources import codecs, documents, store
 
@@ -203,6 +203,28 @@ def test_pairs_by_brute_force(spark):
     assert sorted(found) == sorted(wanted)
 
 
+def test_phrases_of_the_word_list(spark, tmp_path):
+    d = spark.createDataFrame([(1, "The New York City Hall of new york. York City, New\tYORK!"), (2, "old york city hall"), (3, "")],
+                              "doc_id bigint, text string")
+    listed = spark.createDataFrame([("new york", "location"), ("New York City", "location"), ("york", "person"), ("york city hall", "time"),
+                                    ("city, new", "money"), ("hall", "time"), ("hall", "person"), ("", "date"), (None, "date")],
+                                   "word string, type string")
+    want = [(1, "location", "New York City"), (1, "location", "new york"), (1, "money", "City, New"), (1, "person", "Hall"),
+            (1, "person", "YORK"), (1, "person", "York"), (1, "time", "Hall"), (2, "time", "york city hall")]
+    rules = plan.Rules(gazetteer=listed)
+    tagged = tagging.tagged_tokens(segmentation.sentences(d))
+    found = entities.gazetteer_phrases(tagged, listed)
+    assert sorted((r["doc_id"], r["type"], r["text"]) for r in found.collect()) == sorted(want)
+    assert all(d.collect()[r["doc_id"] - 1]["text"][r["start"]:r["end"]] == r["text"] for r in found.collect())
+    # The same from stored tokens.
+    layers, _ = plan.annotate(d, config=rules)
+    path = str(tmp_path / "store")
+    store.write_annotations(layers.where("set IN ('PAR', 'SENT', 'TOKEN', 'POS')"), path)
+    plan.annotate_incremental(d, path, rules)
+    assert rows(flat(store.read_sets(spark, path))) == rows(flat(layers))
+    assert entities.gazetteer_phrases(tagged, listed.where("word = ''")).isEmpty()
+
+
 def test_entities_outside_phrases_become_phrases(spark):
     d = spark.createDataFrame([(1, "It cost 3.5% of $7.")], "doc_id bigint, text string")
     from marginalia.operators.entities import named_entities
