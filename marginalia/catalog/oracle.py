@@ -607,6 +607,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
             UNION ALL SELECT {_ANN} FROM ann WHERE "set" = 'SENT' AND doc_id NOT IN (SELECT doc_id FROM labels)
             UNION ALL SELECT {_ANN} FROM ann WHERE "set" = 'PAR' AND doc_id NOT IN (SELECT doc_id FROM labels)
             UNION ALL SELECT {_ANN} FROM stored WHERE "set" = 'PAR') GROUP BY "set" """,
+    "set_aside": r"""SELECT run, CASE WHEN length(text) > most THEN 'too long' ELSE 'no capital' END AS error, count(*) AS docs
+        FROM documents, (VALUES (1::BIGINT, 500), (2::BIGINT, 5000)) AS runs(run, most)
+        WHERE length(text) > most OR NOT regexp_matches(text, '\p{Lu}') GROUP BY ALL""",
     "finished_cells": """SELECT "set", count(*) AS docs FROM documents,
         (SELECT unnest(['PAR', 'SENT', 'TOKEN', 'POS', 'NE', 'NP']) AS "set") AS sets GROUP BY "set" """,
 }.items()}

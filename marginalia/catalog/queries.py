@@ -667,3 +667,16 @@ def finished_cells(spark, folder):
     store.write_annotations(inputs.stored(spark, folder), path)
     plan.annotate_incremental(inputs.docs(spark, folder), path, _rules(spark))
     return store.read_cells(spark, path).groupBy("set").agg(F.count("*").alias("docs"))
+
+
+@query
+def set_aside(spark, folder):
+    """Documents that a run set aside, and how many a later run with a milder check still does."""
+    path, d = new_folder(spark, "store"), inputs.docs(spark, folder)
+    counts = []
+    for run, limit in ((1, 500), (2, 5000)):
+        rules = plan.Rules(checks={"too long": F.length("text") <= limit, "no capital": F.col("text").rlike(r"\p{Lu}")})
+        plan.annotate_incremental(d, path, rules)
+        found = durable(rollups.error_counts(plan.stored_errors(spark, path)), "errors")
+        counts.append(found.withColumn("run", F.lit(run).cast("bigint")))
+    return counts[0].unionByName(counts[1])

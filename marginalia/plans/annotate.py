@@ -2,16 +2,17 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia import schema as S
 from marginalia.functions.durable import durable
 from marginalia.operators import audit, coref, entities, tagging
+from marginalia.operators.rollups import split_errors, with_error
 from marginalia.operators.segmentation import paragraphs, sentences, tokens
 from marginalia.operators.spans import contained_join, covered_text, overlap_join, require_no_crossing
 from marginalia.session import measured
-from marginalia.sources.store import put, read_cells, replace_sets, stored_layers
+from marginalia.sources.store import put, read_cells, read_sets, replace_sets, stored_layers
 
 
 def _attrs(**values: Column) -> Column:
@@ -284,12 +285,13 @@ def phrase_layer(nps: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Rules:
     """What the jobs may be told: entity patterns, list ``(word, type)`` of words and phrases, weights of links, whether crossing
-    phrases are an error."""
+    phrases are an error, and what must hold for a document, as columns over ``doc_id, text`` by message."""
 
     patterns: dict[str, str] = field(default_factory=lambda: dict(entities.PATTERNS))
     gazetteer: DataFrame | None = None
     weights: dict[str, float] = field(default_factory=lambda: dict(coref.WEIGHTS))
     check_crossing: bool = False
+    checks: dict[str, Column] = field(default_factory=dict)
 
 
 def annotate(docs: DataFrame, existing: DataFrame | None = None, config: Rules | None = None) -> tuple[DataFrame, DataFrame]:
@@ -324,6 +326,9 @@ def annotate_incremental(docs: DataFrame, path: str, config: Rules | None = None
     listed.  Texts are read for unfinished documents only, and a run without any ends before it.  All that
     was made becomes one commit: a run that dies before leaves the store as it was and is simply started again.
     ``counters`` gets the number of rows of each layer as they are written.
+
+    A document that fails one of the rules' checks is set aside: it gets a cell ``ERROR`` with the message of the first check that
+    fails, no layer, and another try in the next run, which takes the cell away if the document passes.
     """
     spark = measured(docs.sparkSession)
     cells = read_cells(spark, path, S.ALL_SETS)
@@ -333,15 +338,28 @@ def annotate_incremental(docs: DataFrame, path: str, config: Rules | None = None
     unfinished = durable(with_state(docs, cells, S.ALL_SETS, text=False).where(~whole), "unfinished")
     if unfinished.isEmpty():
         return spark.createDataFrame([], S.ANNOTATIONS)
-    state = durable(docs.select("doc_id", "text").join(unfinished, "doc_id"), "state")
+    rules = config or Rules()
+    checked = durable(with_error(docs.select("doc_id", "text").join(unfinished, "doc_id"), rules.checks), "state")
+    state, failed = split_errors(checked)
     held = stored_layers(spark, path).join(unfinished.select("doc_id"), "doc_id", "left_semi")
-    new = missing_layers(state, held, config or Rules())
+    new = missing_layers(state, held, rules)
     gone = _redone()
     made = F.array(*[F.when(~F.col(f"has_{name}") | (gone if name in (S.TOKEN, S.POS) else F.lit(False)), F.lit(name))
                      for name in S.ALL_SETS])
     put_cells = state.select("doc_id", F.explode(F.filter(made, lambda name: name.isNotNull())).alias("set"))
     again = not state.where(gone).isEmpty()
-    return put(new, path, put_cells, again=again, counters=counters)
+    if rules.checks:
+        zero = F.lit(0).cast("bigint")
+        new = new.unionByName(_exploded(failed, F.array(_item(S.ERROR, zero, zero, zero, F.col("error"), _attrs()))))
+        put_cells = put_cells.withColumn("kept", F.lit(True)).unionByName(
+            checked.select("doc_id", F.lit(S.ERROR).alias("set"), F.col("error").isNotNull().alias("kept")))
+    made = put(new, path, put_cells, again=again or bool(rules.checks), counters=counters)
+    return made.where(F.col("set") != S.ERROR)
+
+
+def stored_errors(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, error`` of documents that the last runs set aside; see :func:`marginalia.operators.rollups.error_counts`."""
+    return read_sets(spark, path, [S.ERROR]).select("doc_id", F.col("type").alias("error"))
 
 
 def repair_store(docs: DataFrame, path: str) -> DataFrame:

@@ -12,6 +12,8 @@ NP = "NP"
 
 BASE_SETS = (PAR, SENT, TOKEN, POS)
 ALL_SETS = (*BASE_SETS, NE, NP)
+# Cells of documents that a job set aside; the type of the row is the message.
+ERROR = "ERROR"
 
 # Tokens of a sentence above which it is split, where document numbers wrap.
 MAX_SENTENCE_TOKENS = 100

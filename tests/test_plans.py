@@ -203,6 +203,20 @@ def test_pairs_by_brute_force(spark):
     assert sorted(found) == sorted(wanted)
 
 
+def test_failing_documents_are_set_aside_and_tried_again(spark, tmp_path):
+    d = spark.createDataFrame([(1, "A dog."), (2, "x" * 50), (3, "no number")], "doc_id bigint, text string")
+    path = str(tmp_path / "store")
+    rules = plan.Rules(checks={"long": F.length("text") < 20, "digits": F.expr("try_cast(text AS int)").isNull()})
+    d = d.unionByName(spark.createDataFrame([(4, "12345"), (5, None)], d.schema))
+    added = plan.annotate_incremental(d, path, rules)
+    assert {r["doc_id"] for r in added.select("doc_id").distinct().collect()} == {1, 3}
+    assert sorted(map(tuple, plan.stored_errors(spark, path).collect())) == [(2, "long"), (4, "digits"), (5, "long")]
+    # The next run tries those three only, and takes the cells of those that pass away.
+    added = plan.annotate_incremental(d, path, plan.Rules(checks={"long": F.length("text") < 60}))
+    assert {r["doc_id"] for r in added.select("doc_id").distinct().collect()} == {2, 4}
+    assert sorted(map(tuple, plan.stored_errors(spark, path).collect())) == [(5, "long")]
+
+
 def test_phrases_of_the_word_list(spark, tmp_path):
     d = spark.createDataFrame([(1, "The New York City Hall of new york. York City, New\tYORK!"), (2, "old york city hall"), (3, "")],
                               "doc_id bigint, text string")
