@@ -12,6 +12,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from marginalia.llm import (common, exact_dedup, jaccard_join, lm_score, mixing, packing, quality, repeated_passages,
                             secret_scan, toxicity)
 from marginalia.llm.queries import QUERIES, SQL
@@ -19,6 +21,11 @@ from marginalia.llm.queries import QUERIES, SQL
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def made_words(n, seed):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{i:x}" for i in rng.integers(0, 1 << 40, n))
+
+
 def split(text):
     return WORD.findall(text or "")
 
@@ -238,6 +245,45 @@ def test_the_splitting_tree_parts_quotas_exactly():
     assert sorted(mixing._permuted(np.arange(1000), 1000, (1,))) == list(range(1000))
 
 
+def test_draws_of_any_size_are_drawn(monkeypatch):
+    quota = np.array([3, 0, 500, 37, 7]) * 10 ** 10 + np.array([1, 0, 5, 9, 10 ** 6])
+    total = int(quota.sum())
+    for left in (0, 1, 12345, total // 3, total - 1, total):
+        drawn = mixing._left_part(quota, left, (1, left))
+        assert drawn.sum() == left and (drawn >= 0).all() and (drawn <= quota).all()
+    # Drawn, not rounded: draws differ from seed to seed, about as much as runs of copies make them.
+    draws = np.array([mixing._left_part(quota, total // 2, (seed,))[2] for seed in range(40)])
+    assert len(set(draws.tolist())) > 30
+    # The same rule with small numbers has the spread of single copies and of runs of them.
+    quota = np.array([600, 400])
+    single = np.array([mixing._left_part(quota, 500, (seed,))[0] for seed in range(300)])
+    monkeypatch.setattr(mixing, "_DRAWABLE", 300)
+    runs = np.array([mixing._left_part(quota, 500, (seed,))[0] for seed in range(300)])
+    assert abs(single.mean() - 300) < 3 and abs(runs.mean() - 300) < 3
+    assert single.std() < runs.std() < 3 * single.std()
+
+
+def test_the_mix_stands_in_the_order_of_its_shards(documents):
+    _, pieces = mixing.mix(documents)
+    want = [(r["doc_id"], r["n_words"]) for r in sorted(pieces.collect(), key=lambda r: (
+        r["shard"], r["position"], r["key"], r["start_word"]))]
+    mixed = mixing.mixed_documents(documents).withColumn("place", F.monotonically_increasing_id())
+    rows = sorted(mixed.collect(), key=lambda r: r["place"])
+    assert [(r["doc_id"], len(split(r["text"]))) for r in rows] == want
+    ids = [r["doc_id"] for r in rows]
+    assert ids != sorted(ids)
+
+
+def test_many_sources_have_trees_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    docs = spark.createDataFrame([(i, f"s{i % 30:02d}", "w " * (1 + i % 50)) for i in range(400)], "doc_id bigint, source string, text string")
+    got = mixing.taken(docs).toPandas()
+    assert (got["taken"] <= 2 * got["size"]).all()
+    by_target = got.groupby("target")["taken"].sum()
+    sources = got.drop_duplicates(["source_size", "target"]).shape[0]
+    assert sources > 7 and abs(got["taken"].sum() - 1.5 * got["size"].sum()) <= 30 and len(by_target) > 1
+
+
 # --- near duplicates -------------------------------------------------------------------------
 
 def brute_groups(rows, n, least):
@@ -473,3 +519,33 @@ def test_word_hashes_know_borders():
     hashes, starts, ends, first = common.words(offsets, data)
     assert row == 0 and first.tolist() == [0, 2, 2, 3, 5, 5]
     assert hashes[0] == hashes[3] and hashes[1] == hashes[2] == hashes[4] and hashes[0] != hashes[1]
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    base = made_words(60, 5)
+    near = base.replace(base.split()[30], "changed", 1)
+    alone = made_words(60, 77)
+    like = alone.replace(alone.split()[10], "changed", 1)
+    rows = [(1, base), (5, near), (5, alone), (8, like), (9, made_words(50, 9)), (5, near), (None, base)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("gone_id", F.lit("x")).withColumn("Sig", F.lit(2))
+    got = sorted((r["doc_id"] or 0, r["component_id"]) for r in jaccard_join.near_groups(docs).collect())
+    # The two texts of id 5 lie in different groups: that of row 1, and one of their own with row 8.
+    assert got == [(0, 1), (1, 1), (5, 1), (5, 1), (5, 5), (8, 5), (9, 9)]
+    left = jaccard_join.without_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted([(0, base), (1, base), (5, alone), (9, made_words(50, 9))])
+
+
+def test_one_text_of_a_shared_id_stays(spark):
+    base = made_words(60, 5)
+    near = base.replace(base.split()[30], "changed", 1)
+    docs = spark.createDataFrame([(5, base), (5, near), (7, near.replace(near.split()[2], "other", 1))], "doc_id bigint, text string")
+    left = jaccard_join.without_near_copies(docs).collect()
+    assert [r["doc_id"] for r in left] == [5]
+
+
+def test_an_id_on_very_many_texts_meets_each_once(spark):
+    rows = [(3, made_words(12, i)) for i in range(300)] + [(4, made_words(12, i) + " tail") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = jaccard_join.near_groups(docs, 3, Fraction(9, 10)).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(3, 3, 300), (4, 3, 300)]

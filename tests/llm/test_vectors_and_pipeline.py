@@ -64,6 +64,31 @@ def test_recall_on_the_table(spark, folder):
     assert sum(r["n_links"] for r in got) >= 0.9 * sum(links.values())
 
 
+def test_recall_on_the_larger_table(spark):
+    table = common.table(spark, "/root/testdata/sf0.1", "embeddings")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    v = np.array([x for _, x in rows], float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    links = (v @ v.T >= 0.9).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_vectors(table).collect()}
+    assert all(got[k] <= n for (k, _), n in zip(rows, links))
+    assert sum(got.values()) >= 0.9 * links.sum()
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    # Their cosine passes the bar as doubles and fails it as floats, or the other way round.
+    def at(cosine):
+        return [cosine, float(np.sqrt(1 - cosine * cosine)), 0.0]
+
+    near, far = at(0.9 + 1e-12), at(0.9 - 1e-12)
+    rows = [(1, [1.0, 0.0, 0.0]), (2, near), (11, [1e300, 0.0, 1e300]), (12, [2e300, 0.0, 2e300]), (13, [1e-310, 0.0, 1e-310])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_vectors(table, recall=0.999999).collect()}
+    assert got[1] == got[2] == 1 and got[11] == got[12] == 2
+    table = spark.createDataFrame([rows[0], (2, far)], "vec_id bigint, embedding array<double>")
+    assert [r["n_links"] for r in near_vectors.near_vectors(table).collect()] == [0, 0]
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in common.components(edges, common.Steps(spark, "test"), "path").collect()}
