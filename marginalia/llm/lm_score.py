@@ -3,7 +3,9 @@
 Two bigram models over one vocabulary, of the same order and smoothing: one from the target
 documents, one from all documents.  Every word and every bigram has counts of its own.  A
 document's score is the mean difference of the two losses over its tokens; it is low where the
-target model predicts the text better.
+target model predicts the text better.  A model never counts the document that it scores: the
+document's own counts are taken off before its losses, in the target model where it is a target,
+in the other one always.
 
 Texts are read once and written as chunks of word numbers.  Each chunk sends every word and bigram
 it holds once, with its counts, to the bucket of its hash; buckets add the counts up and send the
@@ -102,9 +104,8 @@ class _Chunk:
         self.before[1:] = self.tokens[:-1]
         self.before[self.first[:-1][self.length > 0]] = size
         pairs, self.pair = np.unique(self.before * (size + 1) + self.tokens, return_inverse=True)
-        self.ahead, self.word = pairs // (size + 1), pairs % (size + 1)
         hashes = np.append(self.words, _BORDER)
-        ahead, word = hashes[self.ahead], hashes[self.word]
+        ahead, word = hashes[pairs // (size + 1)], hashes[pairs % (size + 1)]
         self.keys = common.mixed(ahead * _FACTOR + word)
         # Two bigrams are one only where these are equal too.
         self.checks = (common.mixed(word * _FACTOR + ahead) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -179,8 +180,14 @@ def _sums(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iter
                      [different if kind == 0 else 0] + [0] * (len(parts) - 1))
 
 
-def losses(both: np.ndarray, ahead: np.ndarray, ones: np.ndarray, total: int, size: int) -> np.ndarray:
-    """Loss of each bigram in nats: bigram counts over a unigram prior, which knows every word."""
+def own_counts(row: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """For each entry how often its item stands in its row."""
+    _, at, n = np.unique(row * (item.max(initial=0) + 1) + item, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def losses(both: np.ndarray, ahead: np.ndarray, ones: np.ndarray, total: np.ndarray, size: int) -> np.ndarray:
+    """Loss of each token in nats: bigram counts over a unigram prior, which knows every word."""
     single = (ones + 1.0) / (total + size + 1.0)
     return -np.log((both + PRIOR * single) / (ahead + PRIOR))
 
@@ -190,8 +197,9 @@ def lm_scores(docs: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``targets`` names the target documents by ``doc_id``.  Losses are nats per token, ``score`` is
     the target's less the background's.  Null and empty texts have no tokens: losses and score are
-    0.  Repeated rows count as often as they stand, null ids are no targets, without targets the
-    target model knows the vocabulary alone.  Vocabulary and counts are those of all documents:
+    0.  Each row is scored by the counts of the other rows, so that targets and other texts compare
+    and a text that stands twice is told from one that stands once.  Repeated rows count as often as
+    they stand, null ids are no targets, without targets the target model knows the vocabulary alone.  Vocabulary and counts are those of all documents:
     words are told apart by a hash of 64 bits, bigrams by one of 80.  Other columns are not read;
     an empty table gives none.
     """
@@ -220,17 +228,24 @@ def lm_scores(docs: DataFrame, targets: DataFrame) -> DataFrame:
             for kind, n in ((0, 4), (1, 2)))
         for row in left.to_pylist():
             one, mean = _Chunk(row["words"], row["tokens"], row["lengths"]), []
+            text = np.repeat(np.arange(len(one.length)), one.length)
+            own = [own_counts(text, items) for items in (one.pair, one.before, one.tokens)]
+            counted = {0: np.ones(len(one.length), bool), 1: np.zeros(len(one.length), bool)}
+            counted[1][row["target"] or []] = True
             for model in (1, 0):
                 total, texts = totals[model]
                 pair = np.empty(len(one.order), np.int64)
                 pair[one.order] = both[model]
-                loss = losses(pair, np.append(single[2 + model], texts)[one.ahead], single[model][one.word], total, size)
-                sums = np.concatenate([[0.0], np.cumsum(loss[one.pair])])
+                off = counted[model][text]
+                loss = losses(pair[one.pair] - off * own[0],
+                              np.append(single[2 + model], texts)[one.before] - off * own[1],
+                              single[model][one.tokens] - off * own[2], total - off * one.length[text], size)
+                sums = np.concatenate([[0.0], np.cumsum(loss)])
                 mean.append((sums[one.first[1:]] - sums[one.first[:-1]]) / np.maximum(one.length, 1))
             out.append(_batch(_SCORES, row["ids"], one.length, *mean, mean[0] - mean[1]))
         return pa.Table.from_batches(out, _batch(_SCORES, [], [], [], [], []).schema)
 
-    return (found.select("chunk", "ids", "lengths", "words", "tokens").groupBy("chunk")
+    return (flagged.select("chunk", "ids", "lengths", "words", "tokens", "target").groupBy("chunk")
             .cogroup(sums.select("bucket", "chunk", "kind", "sums").groupBy("chunk")).applyInArrow(score, _SCORES))
 
 

@@ -458,31 +458,46 @@ def test_attention_slopes():
         assert slope[at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
+def plain_losses(texts, every, text):
+    """Mean loss of a text under the counts of ``texts``; the vocabulary is that of ``every``."""
+    single = Counter(w for t in texts for w in t)
+    both = Counter(p for t in texts for p in zip(["^"] + t, t))
+    ahead = Counter(w for t in texts for w in ["^"] + t[:-1] if t)
+    total, size = sum(single.values()), len({w for t in every for w in t})
+    return np.mean([-np.log((both[p, w] + 50 * (single[w] + 1) / (total + size + 1)) / (ahead[p] + 50))
+                    for p, w in zip(["^"] + text, text)])
+
+
 def test_lm_scores_against_plain_counts(spark):
-    rows = [(1, "a b a b c"), (2, "a b"), (3, None), (4, "c c"), (None, "b a"), (2, "a b")]
+    # Rows are told apart by their text: the two rows of document 2 are equal.
+    rows = [(1, "a b a b c"), (2, "a b"), (3, None), (4, "c c"), (None, "b a"), (2, "a b"), (5, "c a b")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = lm_score.lm_scores(docs, spark.createDataFrame([(1,), (None,)], "doc_id bigint")).collect()
-    assert len(got) == len(rows)
-
-    def losses(texts, text):
-        single = Counter(w for t in texts for w in t)
-        both = Counter(p for t in texts for p in zip(["^"] + t, t))
-        ahead = Counter(w for t in texts for w in ["^"] + t[:-1])
-        total, size = sum(single.values()), 3
-        return np.mean([-np.log((both[p, w] + 50 * (single[w] + 1) / (total + size + 1)) / (ahead[p] + 50))
-                        for p, w in zip(["^"] + text, text)])
-
-    every = [split(t) for _, t in rows if split(t)]
+    got = lm_score.lm_scores(docs, spark.createDataFrame([(1,), (2,), (None,)], "doc_id bigint")).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(k) for k, _ in rows)
+    every = [split(t) for _, t in rows]
     for row in got:
-        text = next(split(t) for k, t in rows if k == row["doc_id"])
-        if not text:
+        at = next(i for i, (k, _) in enumerate(rows) if k == row["doc_id"])
+        if not every[at]:
             assert row["n_tokens"] == 0 and row["score"] == 0
             continue
-        assert row["target_loss"] == pytest.approx(losses([split("a b a b c")], text))
-        assert row["background_loss"] == pytest.approx(losses(every, text))
+        others = [i for i in range(len(rows)) if i != at]
+        known = [every[i] for i in others if rows[i][0] in (1, 2)]
+        assert row["target_loss"] == pytest.approx(plain_losses(known, every, every[at]))
+        assert row["background_loss"] == pytest.approx(plain_losses([every[i] for i in others], every, every[at]))
         assert row["score"] == pytest.approx(row["target_loss"] - row["background_loss"])
 
 
+def test_lm_does_not_know_the_text_it_scores(spark):
+    text, other = made_words(200, 1), made_words(200, 2)
+    rows = [(1, text), (2, other), (3, other), *((k, made_words(200, k)) for k in range(4, 30))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    scored = lambda *ids: lm_score.lm_scores(docs, spark.createDataFrame([(i,) for i in ids], "doc_id bigint")).toPandas().set_index("doc_id")
+    got, without = scored(1, 5), scored(5)
+    # Being a target changes nothing for the target itself; a copy elsewhere does.
+    assert got["target_loss"][1] == without["target_loss"][1] and got["target_loss"][7] != without["target_loss"][7]
+    assert got["background_loss"][2] == got["background_loss"][3] < got["background_loss"].drop([2, 3]).min() - 0.01
+
+
 def test_lm_counts_every_word_and_bigram(spark):
     # More words than 65,536, more bigrams than 2^21, several chunks and buckets.
     rng = np.random.default_rng(4)
@@ -491,14 +506,18 @@ def test_lm_counts_every_word_and_bigram(spark):
     got = lm_score.lm_scores(docs, spark.range(0, 1000, 7).toDF("doc_id")).toPandas().set_index("doc_id").sort_index()
     size = len({w for t in texts for w in t})
     assert size > 1 << 16 and len({p for t in texts for p in zip(t, t[1:])}) > 1 << 21
-    for column, known in (("background_loss", texts), ("target_loss", texts[::7])):
-        single = Counter(w for t in known for w in t)
-        both = Counter(p for t in known for p in zip(["^"] + t, t))
-        ahead = Counter(w for t in known for w in ["^"] + t[:-1])
-        total = sum(single.values())
-        want = [np.mean([-np.log((both[p, w] + 50 * (single[w] + 1) / (total + size + 1)) / (ahead[p] + 50))
-                         for p, w in zip(["^"] + t, t)]) for t in texts[::50]]
-        assert got[column].to_numpy()[::50] == pytest.approx(np.array(want))
+    for column, known in (("background_loss", range(1000)), ("target_loss", range(0, 1000, 7))):
+        single = Counter(w for i in known for w in texts[i])
+        both = Counter(p for i in known for p in zip(["^"] + texts[i], texts[i]))
+        ahead = Counter(w for i in known for w in ["^"] + texts[i][:-1])
+        for k in range(0, 1000, 50):
+            t, off = texts[k], k in known
+            mine = Counter(t), Counter(zip(["^"] + t, t)), Counter(["^"] + t[:-1])
+            total = sum(single.values()) - off * len(t)
+            want = np.mean([-np.log((both[p, w] - off * mine[1][p, w]
+                                     + 50 * (single[w] - off * mine[0][w] + 1) / (total + size + 1))
+                                    / (ahead[p] - off * mine[2][p] + 50)) for p, w in zip(["^"] + t, t)])
+            assert got[column][k] == pytest.approx(want)
 
 
 def test_lm_tells_bigrams_with_one_key_apart():
