@@ -5,10 +5,7 @@ a join or a shuffle.  Given a stored layer, its text is fetched first with
 :func:`marginalia.operators.spans.covered_text`.
 """
 
-from bisect import bisect_right
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,28 +123,32 @@ def all_caps_lower(sents: DataFrame, toks: DataFrame) -> DataFrame:
             .drop("_loud"))
 
 
-def cut_points(n: int, places: list[int], ranks: list[int], limit: int) -> list[int]:
-    """Which of the break tokens at ``places`` to cut a sentence of ``n`` tokens after.
+def _last_at(rank: int) -> Column:
+    """For each of ``toks`` the place of the last break of a rank at or before it, -1 where there is none.
+
+    Every round looks twice as far back, so a long sentence takes a logarithm of rounds over its array.
+    """
+    return F.expr(f"""aggregate(sequence(0, CAST(ceil(log2(size(toks))) AS INT)),
+        transform(toks, (t, i) -> IF(t.rank = {rank}, i, -1)),
+        (seen, k) -> transform(seen, (at, i) -> greatest(at, coalesce(get(seen, i - shiftleft(1, k)), -1))))""")
+
+
+def _halved(limit: int) -> Column:
+    """Ranges ``low, high`` of ``toks`` in order, from the arrays ``last_0`` and so on.
 
-    A range above ``limit`` tokens is cut at the best-ranked break nearest to the
-    left of its middle, and both halves go through the same.  Returns positions
-    in ``places``, ascending.
+    A range above ``limit`` tokens is cut behind the best-ranked break nearest to the left of its middle, and both
+    halves go through the same.  Behind a break of some rank the next cut of that rank or a better one lies beyond the old
+    middle, so five rounds halve what is left.
     """
-    by_rank = [[k for k, rank in enumerate(ranks) if rank == best] for best in range(len(BREAKS))]
-    spots = [[places[k] for k in group] for group in by_rank]
-    cuts, todo = [], [(0, n)]
-    while todo:
-        low, high = todo.pop()
-        if high - low <= limit:
-            continue
-        middle = low + (high - low) // 2
-        for group, spot in zip(by_rank, spots):
-            at = bisect_right(spot, middle) - 1
-            if at >= 0 and spot[at] >= low:
-                cuts.append(group[at])
-                todo += [(low, spot[at] + 1), (spot[at] + 1, high)]
-                break
-    return sorted(cuts)
+    middle = "least(r.low + CAST((r.high - r.low) DIV 2 AS INT), r.high - 2)"
+    best = ", ".join(f"IF(get(last_{k}, {middle}) >= r.low, get(last_{k}, {middle}), NULL)" for k in range(len(BREAKS)))
+    return F.expr(f"""aggregate(sequence(1, 5 * (1 + CAST(ceil(log2(size(toks))) AS INT))),
+        array(struct(0 AS low, size(toks) AS high)),
+        (ranges, k) -> flatten(transform(
+            transform(ranges, r -> struct(r.low AS low, r.high AS high,
+                IF(r.high - r.low <= {limit}, NULL, coalesce({best})) AS cut)),
+            r -> IF(r.cut IS NULL, array(struct(r.low AS low, r.high AS high)),
+                    array(struct(r.low AS low, r.cut + 1 AS high), struct(r.cut + 1 AS low, r.high AS high))))))""")
 
 
 def split_long_sentences(sents: DataFrame, toks: DataFrame | None = None,
@@ -155,55 +156,38 @@ def split_long_sentences(sents: DataFrame, toks: DataFrame | None = None,
     """``doc_id, sent_no, part_no, start, end`` with at most ``limit`` tokens a part.
 
     A stretch without any break stays whole.  Sentences with ``text`` are cut up inside their
-    rows, without a shuffle; given stored tokens, those are brought together by sentence.  Only
-    the positions of break tokens in sentences above the limit go to Python.
+    rows, without a shuffle; given stored tokens, those of long sentences are brought together by sentence.
     """
-    @F.pandas_udf("array<int>")
-    def cuts_of(n: pd.Series, places: pd.Series, ranks: pd.Series) -> pd.Series:
-        rows = zip(n, places, ranks)
-        return pd.Series([cut_points(size, list(p), list(r), limit) for size, p, r in rows])
-
-    breaks = _breaks_of_rows(sents, limit) if toks is None else _breaks_of_tokens(sents, toks, limit)
-    cuts = F.transform(cuts_of("n", F.col("breaks")["place"], F.col("breaks")["rank"]), lambda k: F.col("breaks")[k])
-    none = F.array().cast("array<bigint>")
-    cut = breaks.where("n IS NOT NULL").withColumn("cuts", cuts).select(
-        "doc_id", "sent_no", F.concat(F.array("start"), F.coalesce(F.col("cuts")["next"], none)).alias("starts"),
-        F.concat(F.coalesce(F.col("cuts")["end"], none), F.array("end")).alias("ends"))
-    whole = breaks.where("n IS NULL").select("doc_id", "sent_no", F.array("start").alias("starts"),
-                                             F.array("end").alias("ends"))
-    parts = F.posexplode(F.arrays_zip("starts", "ends")).alias("no", "part")
-    return (cut.unionByName(whole).select("doc_id", "sent_no", parts)
-            .select("doc_id", "sent_no", F.col("no").cast("bigint").alias("part_no"),
-                    F.col("part.starts").alias("start"), F.col("part.ends").alias("end")))
-
-
-def _breaks_of_rows(sents: DataFrame, limit: int) -> DataFrame:
-    """``doc_id, sent_no, start, end, n, breaks``; ``n`` is null where nothing is to be cut."""
-    rows = sents.select("doc_id", "sent_no", "start", "end", F.expr(token_spans("`text`", "`start`")).alias("toks"))
-    ranks = F.array(*[F.lit(b) for b in BREAKS])
-    listed = F.filter(
-        F.transform("toks", lambda t, i: F.struct(
-            i.alias("place"), (F.array_position(ranks, t["text"]).cast("int") - 1).alias("rank"), t["end"].alias("end"),
-            F.get(F.col("toks"), i + 1)["start"].alias("next"))),
-        lambda b: b["rank"] >= 0)
-    long = F.size("toks") > limit
-    return rows.select("doc_id", "sent_no", "start", "end", F.when(long, F.size("toks")).alias("n"),
-                       F.when(long, listed).alias("breaks"))
-
-
-def _breaks_of_tokens(sents: DataFrame, toks: DataFrame, limit: int) -> DataFrame:
-    """The same from stored tokens; only those of long sentences are sorted."""
+    rows = _tokens_of_rows(sents, limit) if toks is None else _tokens_of_table(sents, toks, limit)
+    long = F.col("toks").isNotNull()
+    rows = rows.select("*", *[F.when(long, _last_at(k)).alias(f"last_{k}") for k in range(len(BREAKS))])
+    rows = rows.withColumn("ranges", F.when(long, _halved(limit)))
+    parts = F.expr("""coalesce(transform(ranges, r -> struct(
+        IF(r.low = 0, `start`, toks[r.low].`start`) AS `start`,
+        IF(r.high = size(toks), `end`, toks[r.high - 1].`end`) AS `end`)), array(struct(`start`, `end`)))""")
+    return rows.select("doc_id", "sent_no", F.posexplode(parts).alias("no", "p")).select(
+        "doc_id", "sent_no", F.col("no").cast("bigint").alias("part_no"), "p.start", "p.end")
+
+
+def _rank(text: Column) -> Column:
+    """Rank of a break token from 0 on, -1 for any other one."""
+    return F.array_position(F.array(*[F.lit(b) for b in BREAKS]), text).cast("int") - 1
+
+
+def _tokens_of_rows(sents: DataFrame, limit: int) -> DataFrame:
+    """``doc_id, sent_no, start, end, toks`` with ``start, end, rank`` of tokens; null where nothing is to be cut."""
+    rows = sents.select("doc_id", "sent_no", "start", "end", F.expr(token_spans("`text`", "`start`")).alias("found"))
+    toks = F.transform("found", lambda t: F.struct(t["start"], t["end"], _rank(t["text"]).alias("rank")))
+    return rows.select("doc_id", "sent_no", "start", "end", F.when(F.size("found") > limit, toks).alias("toks"))
+
+
+def _tokens_of_table(sents: DataFrame, toks: DataFrame, limit: int) -> DataFrame:
+    """The same from stored tokens; only those of long sentences are put in order."""
     sentence = ["doc_id", "sent_no"]
-    sizes = toks.groupBy(*sentence).agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    rank = F.array_position(F.array(*[F.lit(b) for b in BREAKS]), F.col("text")).cast("int") - 1
-    found = (toks.join(sizes, sentence)
-             .withColumn("next", F.lead("start").over(W.partitionBy(*sentence).orderBy("tok_no")))
-             .where(F.col("text").isin(*BREAKS))
-             .groupBy(*sentence).agg(
-                 F.max("n").cast("int").alias("n"),
-                 F.array_sort(F.collect_list(F.struct(
-                     (F.col("tok_no") - 1).cast("int").alias("place"), rank.alias("rank"),
-                     F.col("end").alias("end"), F.col("next").alias("next")))).alias("breaks")))
+    sizes = toks.groupBy(*sentence).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*sentence)
+    listed = F.array_sort(F.collect_list(F.struct("tok_no", "start", "end", _rank(F.col("text")).alias("rank"))))
+    found = toks.join(sizes, sentence, "left_semi").groupBy(*sentence).agg(
+        F.transform(listed, lambda t: F.struct(t["start"], t["end"], t["rank"])).alias("toks"))
     return sents.select(*sentence, "start", "end").join(found, sentence, "left")
 
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from marginalia.operators import audit, coref, entities, guards, rollups, segmentation, spans
 from marginalia.operators import tagging, terms, trees
-from marginalia.operators.segmentation import cut_points
 
 
 def docs(spark, *texts):
@@ -218,16 +217,39 @@ def naive_cuts(n, places, ranks, limit, low=0):
     return []
 
 
-def test_cut_points():
+def test_cuts_of_long_sentences(spark):
     import random
 
     rng = random.Random(3)
-    for _ in range(300):
+    rows = []
+    for k in range(150):
         n = rng.randint(1, 60)
-        places = sorted(rng.sample(range(n), rng.randint(0, n // 3)))
-        ranks = [rng.randint(0, 3) for _ in places]
-        cuts = cut_points(n, places, ranks, 8)
-        assert [places[k] for k in cuts] == naive_cuts(n, places, ranks, 8)
+        places = dict.fromkeys(sorted(rng.sample(range(n), rng.randint(0, n // 3))))
+        rows.append((k, [rng.choice(";:,.") if i in places else f"w{i}" for i in range(n)]))
+    rows += [(150, ["a"] * 9), (151, [";"] * 40), (152, list("ab;") + ["c"] * 60), (153, []),
+             (154, [";:,."[i % 4] if i % 3 else "w" for i in range(5000)])]
+    # One sentence a document; stops do not end it here.
+    sents = spark.createDataFrame([(k, 0, 0, len(" ".join(w)), " ".join(w)) for k, w in rows],
+                                  "doc_id bigint, sent_no bigint, start bigint, `end` bigint, text string")
+    toks = segmentation.tokens(None, sents)
+    want = set()
+    for k, words in rows:
+        text = " ".join(words)
+        at = [0]
+        for w in words:
+            at.append(at[-1] + len(w) + 1)
+        places = [i for i, w in enumerate(words) if w in ";:,."]
+        cuts = naive_cuts(len(words), places, [";:,.".index(words[i]) for i in places], 8)
+        starts = [0] + [at[c + 1] for c in cuts]
+        ends = [at[c + 1] - 1 for c in cuts] + [len(text)]
+        want |= {(k, no, s, e) for no, (s, e) in enumerate(zip(starts, ends))}
+    for got in (segmentation.split_long_sentences(sents, limit=8), segmentation.split_long_sentences(sents, toks, 8)):
+        out = [(r["doc_id"], r["part_no"], r["start"], r["end"]) for r in got.collect()]
+        assert len(out) == len(want) and set(out) == want
+    # A limit of one token ends too, and no Python runs.
+    assert segmentation.split_long_sentences(sents.where("doc_id = 151"), limit=1).count() == 40
+    plan = segmentation.split_long_sentences(sents)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
 
 
 def test_range_joins_by_brute_force(spark):
