@@ -440,9 +440,10 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
         CAST(start // 1048576 AS BIGINT) AS part, '[' || string_agg('{"value":' || to_json(text)
         || ',"start":' || start || ',"end":' || "end" || '}', ',' ORDER BY start, "end") || ']' AS matches
         FROM ents GROUP BY ALL""",
-    "encode_links": """SELECT doc_id, '[' || string_agg('{"leftEntity":' || to_json(left_entity)
+    "encode_links": """SELECT doc_id, part, '[' || string_agg('{"leftEntity":' || to_json(left_entity)
         || ',"rightEntity":' || to_json(right_entity) || ',"weight":' || to_json(weight) || '}', ','
-        ORDER BY left_entity, right_entity, weight) || ']' AS data FROM links GROUP BY doc_id""",
+        ORDER BY left_entity, right_entity, weight) || ']' AS data FROM (SELECT *, (row_number() OVER (
+        PARTITION BY doc_id ORDER BY left_entity, right_entity, weight) - 1) // 1024 AS part FROM links) GROUP BY doc_id, part""",
     "guard_no_text": r"""SELECT doc_id FROM documents
         WHERE length(text) > 0 AND regexp_matches(text, '[^\x00-\x20]')""",
     "guard_text_too_long": "SELECT doc_id FROM documents WHERE length(text) <= 5000",
@@ -537,8 +538,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "strip_report": f"""SELECT "set", count(*) AS removed, CAST(sum({" + ".join(
         f"CAST({t} AS BIGINT)" for t in _FAULTS.values())} - 1) AS BIGINT) AS failed_removals,
         count(DISTINCT doc_id) AS changed_docs FROM damaged WHERE {_BAD} GROUP BY "set" """,
-    "entities_by_type": """SELECT doc_id, type, string_agg(DISTINCT text, '|' ORDER BY text) AS texts
-        FROM ents GROUP BY doc_id, type""",
+    "entities_by_type": """SELECT doc_id, type, part, string_agg(text, '|' ORDER BY text) AS texts FROM (
+        SELECT *, (row_number() OVER (PARTITION BY doc_id, type ORDER BY text) - 1) // 1024 AS part
+        FROM (SELECT DISTINCT doc_id, type, text FROM ents)) GROUP BY doc_id, type, part""",
     "set_size_histogram": """SELECT "set", size, count(*) AS docs FROM (
         SELECT doc_id, "set", count(*) AS size FROM ann GROUP BY doc_id, "set") GROUP BY "set", size""",
     "np_log10_histogram": """SELECT CASE WHEN n >= 1000 THEN 3 WHEN n >= 100 THEN 2 WHEN n >= 10 THEN 1 ELSE 0 END::BIGINT
@@ -564,8 +566,9 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "tree_spans": 'SELECT doc_id, node_id, coalesce(parent_id, -1) AS parent_id, label, start, "end" FROM inner_nodes',
     "tree_spans_with_leaves": f"""SELECT doc_id, label, {_SUMS} FROM (SELECT doc_id, label, start, "end" FROM inner_nodes
         UNION ALL SELECT doc_id, label, start, "end" FROM leaves) GROUP BY doc_id, label""",
-    "child_ids": """SELECT doc_id, parent_id AS node_id, string_agg(node_id, ',' ORDER BY node_id) AS child_ids
-        FROM edges WHERE parent_id IS NOT NULL GROUP BY doc_id, parent_id""",
+    "child_ids": """SELECT doc_id, parent_id AS node_id, part, string_agg(node_id, ',' ORDER BY node_id DESC) AS child_ids
+        FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id, parent_id ORDER BY node_id DESC) - 1) // 1024 AS part
+              FROM edges WHERE parent_id IS NOT NULL) GROUP BY doc_id, parent_id, part""",
     **{name: f'SELECT doc_id, sent_no, tok_no, start, "end", type, {_GOV} FROM deps'
        for name in ("dependency_spans", "dependency_spans_of_tables")},
     "relation_groups": f"""SELECT doc_id, sent_no, tok_no, start, "end", {_GROUPED} AS type, {_GOV} FROM deps""",
@@ -585,10 +588,11 @@ SQL: dict[str, str] = {name: _sql(body) for name, body in {
     "coref_clusters": """SELECT n.doc_id, n.ce_id, coalesce(c.name, n.ce_id) AS cluster_id FROM nps n LEFT JOIN (
         SELECT doc_id, node, min(name) AS name FROM spread GROUP BY doc_id, node) c
         ON c.doc_id = n.doc_id AND c.node = n.ce_id""",
-    "coref_destinations": """SELECT n.doc_id, n.node_id,
+    "coref_destinations": """SELECT n.doc_id, n.node_id, coalesce(l.part, 0) AS part,
             coalesce(string_agg(l.dst, ',' ORDER BY l.dst), '') AS dests
         FROM (SELECT doc_id, src AS node_id FROM arcs UNION SELECT doc_id, dst FROM arcs) n
-        LEFT JOIN arcs l ON l.doc_id = n.doc_id AND l.src = n.node_id GROUP BY n.doc_id, n.node_id""",
+        LEFT JOIN (SELECT *, (row_number() OVER (PARTITION BY doc_id, src ORDER BY dst) - 1) // 1024 AS part FROM arcs) l
+        ON l.doc_id = n.doc_id AND l.src = n.node_id GROUP BY ALL""",
     "np_properties": f"""SELECT doc_id, ce_id, start, "end", '{{"CE_ID":"' || ce_id || '","Number":"'
         || CASE WHEN ends_with(lower(head), 's') THEN 'plural' ELSE 'singular' END || '","Pronoun":"'
         || CASE WHEN lower(text) IN {_in(LEXICON['PRP'])} THEN 'true' ELSE 'false' END || '","SentNum":"'

@@ -48,6 +48,25 @@ def numbered(df: DataFrame, name: str, keys=("doc_id",), at: str = "start", orde
         *[c for c in df.columns if c != name], name, *extra)
 
 
+def in_parts(df: DataFrame, keys: list[str], order: list[str], items: int) -> DataFrame:
+    """Add ``part``, from 0: the rows of each of ``keys`` in ``order``, ``items`` of them to a part.
+
+    Rows are sorted by ranges of key and order, so a key of any share of all rows spreads over tasks.  A row's rank is its place
+    within the key's stretch of its task, and what earlier tasks hold of the key.  So a list that is put together by
+    key and part has a bounded length, and the parts one after the other are the whole list.
+    """
+    whole = [*keys, *order]
+    placed = df.repartitionByRange(*whole).sortWithinPartitions(*whole).withColumn("_slot", F.monotonically_increasing_id())
+    # The counts and the rows must come from one and the same sort.
+    placed = durable(placed.withColumn("_task", F.shiftright("_slot", 33)), "parts")
+    key = [*keys, "_task"]
+    sizes = placed.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_slot").alias("_first"))
+    sizes = sizes.withColumn("_ahead", _zero(F.sum("_n").over(_until(keys, ["_task"], -1))))
+    rank = F.col("_ahead") + F.col("_slot") - F.col("_first")
+    return placed.join(sizes.drop("_n"), key).withColumn("part", F.floor(rank / F.lit(items)).cast("bigint")).select(
+        *df.columns, "part")
+
+
 def counted_on(df: DataFrame, column: str, name: str, keys=("doc_id",), at: str = "start", order=("start", "end"),
                bits: int = CELL_BITS) -> DataFrame:
     """Add ``name``: ``column``, and where it is null the last number before plus the rows since, from 1 on."""

@@ -10,8 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marginalia.functions.durable import durable
+from marginalia.functions.scans import in_parts
 from marginalia.operators.tagging import LEXICON
-from marginalia.schema import SENTENCE_ID_STEP
+from marginalia.schema import LIST_ITEMS, SENTENCE_ID_STEP
 
 # Weight of each feature, in the order they are added up.
 WEIGHTS = {
@@ -204,18 +205,19 @@ def node_id(sent_no: str, tok_no: str) -> Column:
     return (F.col(sent_no) + 1) * SENTENCE_ID_STEP + F.col(tok_no)
 
 
-def coref_destinations(links: DataFrame) -> DataFrame:
-    """``doc_id, node_id, dests``: each end of a link ``(doc_id, src, dst)`` and where it leads.
+def coref_destinations(links: DataFrame, items: int = LIST_ITEMS) -> DataFrame:
+    """``doc_id, node_id, part, dests``: each end of a link ``(doc_id, src, dst)`` and where it leads.
 
-    ``dests`` is the comma-joined list of all destinations, empty for a node
+    ``dests`` is the comma-joined list of all destinations, at most ``items`` in a part, and empty for a node
     that is only led to.
     """
-    ends = F.explode(F.array(
-        F.struct(F.col("src").alias("node_id"), F.col("dst").alias("dest")),
-        F.struct(F.col("dst").alias("node_id"), F.lit(None).cast("bigint").alias("dest"))))
-    nodes = links.select("doc_id", ends.alias("e")).select("doc_id", "e.node_id", "e.dest").distinct()
+    leads = links.select("doc_id", F.col("src").alias("node_id"), F.col("dst").alias("dest")).distinct()
     dests = F.array_sort(F.collect_list("dest")).cast("array<string>")
-    return nodes.groupBy("doc_id", "node_id").agg(F.array_join(dests, ",").alias("dests"))
+    lists = in_parts(leads, ["doc_id", "node_id"], ["dest"], items).groupBy("doc_id", "node_id", "part").agg(
+        F.array_join(dests, ",").alias("dests"))
+    ends = links.select("doc_id", F.col("dst").alias("node_id")).distinct()
+    bare = ends.join(leads, ["doc_id", "node_id"], "left_anti")
+    return lists.unionByName(bare.select("doc_id", "node_id", F.lit(0).cast("bigint").alias("part"), F.lit("").alias("dests")))
 
 
 def np_properties(nps: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ MAX_DOCUMENT_NUMBER = 32767
 # Characters that one part of an encoded cell covers; longer documents have more parts.
 CELL_CHARS = 1024 * 1024
 
+# Items of one part of a list; longer lists have more parts.
+LIST_ITEMS = 1024
+
 # Annotation ids hold the sentence above this many bits and the token below.
 SENTENCE_ID_BITS = 32
 SENTENCE_ID_STEP = 1 << SENTENCE_ID_BITS

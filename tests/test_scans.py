@@ -1,7 +1,9 @@
 """Scans over cells, sentence rows against tables, and the shape of their plans."""
 
+import json
 import random
 import re
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +96,40 @@ def test_sentence_rows_and_tables_agree(spark, monkeypatch, limit):
     columns = deps.columns
     assert found(trees.sentence_dependencies(rows).select(*columns)) == found(deps)
     assert found(trees.sentence_dependencies(rows, resolve=True).select(*columns)) == found(trees.resolve_conjunctions(deps))
+
+
+def test_lists_in_parts(spark):
+    from marginalia.operators import coref, rollups, trees
+    from marginalia.sources import codecs
+
+    pairs = [(d, f"a{i % 7}", f"b{i:04d}", i / 100) for d in range(3) for i in range(1, 400 * d + 2)]
+    links = spark.createDataFrame(pairs, "doc_id bigint, left_entity string, right_entity string, weight double")
+    got = codecs.encode_links(links, 10).collect()
+    lists = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["doc_id"], r["part"])):
+        items = json.loads(r["data"])
+        assert len(items) <= 10 and r["part"] == len(lists[r["doc_id"]]) / 10
+        lists[r["doc_id"]] += [(r["doc_id"], i["leftEntity"], i["rightEntity"], i["weight"]) for i in items]
+    assert [i for d in sorted(lists) for i in lists[d]] == sorted(pairs)
+
+    ents = spark.createDataFrame([(d, "x", t) for d, t, *_ in [(p[0], p[2]) for p in pairs] * 2], "doc_id bigint, type string, text string")
+    got = rollups.entities_by_type(ents, 7).orderBy("doc_id", "type", "part").collect()
+    assert max(len(r["texts"]) for r in got) == 7
+    assert [(r["doc_id"], t) for r in got for t in r["texts"]] == sorted({(p[0], p[2]) for p in pairs})
+
+    edges = spark.createDataFrame([(0, i, 0 if i else None, -i) for i in range(100)], "doc_id bigint, node_id bigint, parent_id bigint, seq bigint")
+    got = trees.child_ids(edges, 8).orderBy("part").collect()
+    assert [c for r in got for c in r["child_ids"].split(",")] == [str(i) for i in range(99, 0, -1)] and len(got) == 13
+
+    arcs = spark.createDataFrame([(0, 1, i) for i in range(2, 50)] + [(0, 2, 9), (0, 1, 2)], "doc_id bigint, src bigint, dst bigint")
+    got = coref.coref_destinations(arcs, 5).orderBy("node_id", "part").collect()
+    assert [d for r in got if r["node_id"] == 1 for d in r["dests"].split(",")] == [str(i) for i in range(2, 50)]
+    assert {r["node_id"]: r["dests"] for r in got if r["node_id"] > 1} == {2: "9", **{i: "" for i in range(3, 50)}}
+
+
+def test_a_key_with_most_rows_spreads_over_tasks(spark):
+    rows = spark.range(20000).select(F.lit(1).cast("bigint").alias("doc_id"), F.col("id").alias("start"))
+    with_parts = scans.in_parts(rows, ["doc_id"], ["start"], 100)
+    assert with_parts.where("part <> start DIV 100").count() == 0
+    held = [r["n"] for r in with_parts.groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert held == [100] * 200
