@@ -164,7 +164,8 @@ def coref_clusters(scored: DataFrame, nps: DataFrame,
 
     A cluster is named by its smallest mention.  Every round a mention takes the
     smallest name among itself and its partners and then that name's own name;
-    documents without a change leave the loop, and each round is written out.
+    documents without a change leave the loop.  A round writes one table, from which the next one
+    reads names and which documents still change.
     """
     strong = scored.where(F.col("weight") >= threshold).select("doc_id", "i", "j")
     both = F.array(F.struct(F.col("i").alias("u"), F.col("j").alias("v")),
@@ -172,13 +173,12 @@ def coref_clusters(scored: DataFrame, nps: DataFrame,
     edges = durable(strong.select("doc_id", F.explode(both).alias("e")).select(
         "doc_id", "e.u", "e.v"), "coref-edges")
     # Mentions without a partner name themselves and stay out of the loop.
-    names = edges.groupBy("doc_id", F.col("u").alias("ce_id")).agg(
-        F.least("ce_id", F.min("v")).alias("name"))
-    names = durable(names, "coref-names")
-    settled = []
+    names = durable(edges.groupBy("doc_id", F.col("u").alias("ce_id")).agg(
+        F.least("ce_id", F.min("v")).alias("name")), "coref-names")
+    pairs, settled = edges, []
     while True:
         seen = names.select("doc_id", F.col("ce_id").alias("v"), F.col("name").alias("_name"))
-        hooked = edges.join(seen, ["doc_id", "v"]).groupBy(
+        hooked = pairs.join(seen, ["doc_id", "v"]).groupBy(
             "doc_id", F.col("u").alias("ce_id")).agg(F.min("_name").alias("_low"))
         own = names.select("doc_id", F.col("ce_id").alias("name"), F.col("name").alias("_own"))
         moved = (names.join(hooked, ["doc_id", "ce_id"])
@@ -188,11 +188,10 @@ def coref_clusters(scored: DataFrame, nps: DataFrame,
         moved = durable(moved, "coref-round")
         active = moved.where(F.col("old") != F.col("name")).select("doc_id").distinct()
         settled.append(moved.join(active, "doc_id", "left_anti").select("doc_id", "ce_id", "name"))
-        names = durable(moved.join(active, "doc_id", "left_semi").select(
-            "doc_id", "ce_id", "name"), "coref-names")
-        if names.isEmpty():
+        if active.isEmpty():
             break
-        edges = durable(edges.join(active, "doc_id", "left_semi"), "coref-edges")
+        names = moved.join(active, "doc_id", "left_semi").select("doc_id", "ce_id", "name")
+        pairs = edges.join(active, "doc_id", "left_semi")
     named = settled[0]
     for part in settled[1:]:
         named = named.unionByName(part)
