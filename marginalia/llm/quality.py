@@ -57,8 +57,9 @@ def encode(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
         kinds = _CLASS[data]
         out[:, :CLASSES] = np.bincount(owner * CLASSES + kinds, minlength=total * CLASSES).reshape(total, CLASSES)
         pair = (data[:-1].astype(np.int64) * 31 + data[1:]) * 0x9E37 >> 7 & (PAIRS - 1)
+        one_text = text_of[:-1] == text_of[1:]
         out[:, CLASSES:CLASSES + PAIRS] = np.bincount(
-            owner[:-1] * PAIRS + pair, minlength=total * PAIRS).reshape(total, PAIRS)
+            (owner[:-1] * PAIRS + pair)[one_text], minlength=total * PAIRS).reshape(total, PAIRS)
         out[:, :CLASSES + PAIRS] /= np.maximum(chars, 1)[:, None]
     if len(hashes):
         length = np.minimum(ends - starts, LENGTHS) - 1
@@ -68,7 +69,11 @@ def encode(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
         out[:, at:at + LENGTHS] /= np.maximum(words, 1)[:, None]
         for i, n in enumerate((1, 2, 3)):
             run = common.runs_of(hashes, n)
-            where = passage[:len(run)]
+            # Runs lie within one text, and belong to the passage they begin in.
+            one_text = row[:len(run)] == row[n - 1:n - 1 + len(run)]
+            run, where = run[one_text], passage[:len(run)][one_text]
+            if not len(run):
+                continue
             order = np.lexsort((run, where))
             new = np.ones(len(run), bool)
             new[1:] = (run[order][1:] != run[order][:-1]) | (where[order][1:] != where[order][:-1])

@@ -468,6 +468,118 @@ def plain_losses(texts, every, text):
                     for p, w in zip(["^"] + text, text)])
 
 
+def plain_passages(text):
+    """Features of the passages of a text, one character and one word after the other."""
+    data, found = text.encode(), [m.span() for m in re.finditer(WORD.pattern.encode(), text.encode())]
+    count = max(1, -(-len(found) // quality.PASSAGE_WORDS))
+    out = [[0.0] * quality.FEATURES for _ in range(count)]
+    chars = [0] * count
+    for i, byte in enumerate(data):
+        before = sum(1 for a, _ in found if a <= i)
+        owner = (before - 1) // quality.PASSAGE_WORDS if before else 0
+        chars[owner] += 1
+        out[owner][int(quality._CLASS[byte])] += 1
+        if i + 1 < len(data):
+            out[owner][quality.CLASSES + ((byte * 31 + data[i + 1]) * 0x9E37 >> 7) % quality.PAIRS] += 1
+    at = quality.CLASSES + quality.PAIRS
+    words = [data[a:b] for a, b in found]
+    for p in range(count):
+        here = range(p * quality.PASSAGE_WORDS, min(len(words), (p + 1) * quality.PASSAGE_WORDS))
+        out[p][:at] = [v / max(chars[p], 1) for v in out[p][:at]]
+        for i in here:
+            out[p][at + min(len(words[i]), quality.LENGTHS) - 1] += 1 / len(here)
+        for k, n in enumerate((1, 2, 3)):
+            grams = [tuple(words[i:i + n]) for i in here if i + n <= len(words)]
+            out[p][at + quality.LENGTHS + k] = len(set(grams)) / max(len(grams), 1)
+        out[p][-1] = np.log1p(len(here))
+    return out
+
+
+def plain_attention(model, passages):
+    """The score of a bag, neuron by neuron."""
+    w, dot = model.w, lambda a, b: sum(float(x) * float(y) for x, y in zip(a, b))
+    hidden, raw = [], []
+    for x in passages:
+        x = [min(8.0, max(-8.0, (v - m) / s)) for v, m, s in zip(x, model.mean, model.spread)]
+        h = [np.tanh(dot(x, w["enc"][:, j]) + w["enc0"][j]) for j in range(quality.HIDDEN)]
+        gated = [np.tanh(dot(h, w["v"][:, g])) / (1 + np.exp(-dot(h, w["u"][:, g]))) for g in range(quality.GATE)]
+        hidden.append(h)
+        raw.append(dot(gated, w["att"]))
+    share = [np.exp(r - max(raw)) for r in raw]
+    mean = [dot([h[j] for h in hidden], share) / sum(share) for j in range(quality.HIDDEN)]
+    return 1 / (1 + np.exp(-dot(mean, w["out"]) - w["out0"][0]))
+
+
+def test_quality_against_plain_python(spark):
+    rows = [(i, made_words(n, i)) for i, n in enumerate([3, 130, 300, 128, 1, 2])]
+    rows += [(10, ""), (11, None), (12, " \t Ünï cödé -- 12 !  "), (13, "a b a b a b"), (14, rows[1][1]), (15, "a b a b a b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    bags = [plain_passages(t or "") for _, t in rows]
+    model = quality.Model(9)
+    flat = np.array([p for b in bags for p in b])
+    model.mean, model.spread = flat.mean(0), flat.std(0) + 1e-2
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()}
+    for (k, _), bag in zip(rows, bags):
+        assert got[k] == pytest.approx(plain_attention(model, bag), abs=1e-9)
+    # Neighbours in a batch do not touch a score.
+    assert got[1] == pytest.approx(got[14], abs=1e-12) and got[13] == pytest.approx(got[15], abs=1e-12)
+
+
+def plain_places(text):
+    out = set()
+    text = text.lower()
+    for size in toxicity.SIZES:
+        for i in range(len(text) - size + 1):
+            gram = size
+            for c in text[i:i + size]:
+                gram = (gram * 0xD6E8FEB86659FD93 + ord(c)) % (1 << 64)
+            out.add(((gram ^ gram >> 32) * 0x9E3779B97F4A7C15) % (1 << 64) >> 64 - toxicity.BITS)
+    return out
+
+
+def test_toxicity_against_plain_python(spark):
+    rng = np.random.default_rng(2)
+    usual, bad = [f"word{i}" for i in range(40)], ["awful!!", "Ünkind", "nastyone"]
+    rows, marks = [], []
+    for i in range(120):
+        marks.append(i % 3 == 0)
+        said = list(rng.choice(usual, 6)) + (list(rng.choice(bad, 2)) if marks[-1] else [])
+        rows.append((i, " ".join(said)))
+    docs = spark.createDataFrame(rows + [(500, ""), (501, None), (502, "abc")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(m)) for i, m in enumerate(marks)], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+
+    known = [i for i in range(120) if zlib.crc32(str(i).encode()) % 5 != 0]
+    held = {i: plain_places(t) for i, t in rows}
+    toxic = [i for i in known if marks[i]]
+    fine = [i for i in known if not marks[i]]
+    seen = {c: Counter(p for i in ids for p in held[i]) for c, ids in (("toxic", toxic), ("fine", fine))}
+    ratio = {}
+    for p in set().union(*(held[i] for i in known)):
+        a, b = seen["toxic"][p], seen["fine"][p]
+        r = np.log((a + 1) / (len(toxic) + 2) / ((b + 1) / (len(fine) + 2)))
+        if a + b >= toxicity.SEEN and abs(r) >= toxicity.LEAST_RATIO:
+            ratio[p] = r / 2
+    assert ratio
+    # Logistic regression by Adam on the scaled features, weight by weight.
+    w, m, v = ({k: 0.0 for k in [*ratio, "bias"]} for _ in range(3))
+    for step in range(1, toxicity.ROUNDS + 1):
+        slope = {k: 1e-4 * w[k] if k != "bias" else 0.0 for k in w}
+        for i in known:
+            z = w["bias"] + sum(w[p] * ratio[p] for p in held[i] if p in ratio)
+            error = (1 / (1 + np.exp(-z)) - marks[i]) * 0.5 / (len(toxic) if marks[i] else len(fine))
+            slope["bias"] += error
+            for p in held[i]:
+                if p in ratio:
+                    slope[p] += error * ratio[p]
+        for k, g in slope.items():
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.99 * v[k] + 0.01 * g * g
+            w[k] -= 0.05 * m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-9)
+    for i, text in [*rows, (500, ""), (501, ""), (502, "abc")]:
+        z = w["bias"] + sum(w[p] * ratio[p] for p in plain_places(text) if p in ratio)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
 def test_lm_scores_against_plain_counts(spark):
     # Rows are told apart by their text: the two rows of document 2 are equal.
     rows = [(1, "a b a b c"), (2, "a b"), (3, None), (4, "c c"), (None, "b a"), (2, "a b"), (5, "c a b")]
