@@ -82,14 +82,30 @@ def _checked(vectors: DataFrame) -> tuple[DataFrame, str]:
     return vectors.select("vec_id", F.col("embedding").cast(column)).mapInArrow(check, "vec_id bigint, vector binary"), kind
 
 
+def _smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of ``n`` nodes that each one reaches by the links ``a, b``."""
+    least = np.arange(n)
+    while True:
+        before = least.copy()
+        low = np.minimum(least[a], least[b])
+        np.minimum.at(least, a, low)
+        np.minimum.at(least, b, low)
+        # A node's smallest hears of it too, so that long chains take few rounds.
+        np.minimum.at(least, before, least.copy())
+        least = least[least]
+        if (least == before).all():
+            return least
+
+
 def _compared(k: int, tables: int, threshold: float, kind: str):
     def compare(batches):
         hashing = _Tables(k, tables)
         for unit in common.runs_of_key(batches, "unit"):
             if unit.num_rows < 2:
                 continue
+            unit = unit.sort_by("node")
             node, copies, side = (unit.column(c).to_numpy() for c in ("node", "copies", "side"))
-            table, links, least = unit.column("tab")[0].as_py(), np.zeros(len(node), np.int64), node.copy()
+            table, links = unit.column("tab")[0].as_py(), np.zeros(len(node), np.int64)
             v = _unit(unit.column("vector").to_pylist(), kind)
             keys = hashing.keys(v)
             rows_at, columns_at = (np.flatnonzero(side <= 0), np.flatnonzero(side >= 0))
@@ -107,9 +123,8 @@ def _compared(k: int, tables: int, threshold: float, kind: str):
                 continue
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
-            np.minimum.at(least, a, node[b])
-            np.minimum.at(least, b, node[a])
-            # A node tied to none smaller here is the smaller end of its links.
+            # The smallest neighbour alone would lose a node's other links: all of a unit's links go into its components.
+            least = node[_smallest(len(node), a, b)]
             hit = links > 0
             yield pa.RecordBatch.from_arrays([pa.array(node[hit]), pa.array(least[hit]), pa.array(links[hit])], ["a", "b", "links"])
 

@@ -122,3 +122,20 @@ def test_the_rest_does_not_need_the_subpackage():
     for file in (root / "marginalia").rglob("*.py"):
         if "llm" not in file.parts:
             assert "llm" not in file.read_text(), file
+
+
+def test_links_without_a_smaller_end_in_common(spark):
+    """Of three vectors only the middle one links with both others, whichever number each of them gets."""
+    turn = lambda t, degrees: [0.0] * 2 * t + [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))] + [0.0] * (38 - 2 * t)
+    rows = [(3 * t + i, turn(t, degrees)) for t in range(20) for i, degrees in enumerate((0, 40, 20))]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    for r in got:
+        assert r["component_id"] == r["vec_id"] // 3 * 3
+        assert r["n_links"] == (2 if r["vec_id"] % 3 == 2 else 1)
+
+
+def test_components_of_a_unit():
+    a, b = np.array([3, 3, 5, 6]), np.array([1, 2, 6, 4])
+    assert near_vectors._smallest(8, a, b).tolist() == [0, 1, 1, 1, 4, 4, 4, 7]
+    chain = np.random.default_rng(3).permutation(500)
+    assert (near_vectors._smallest(500, chain[:-1], chain[1:]) == 0).all()
