@@ -250,3 +250,17 @@ def test_entities_outside_phrases_become_phrases(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert durable.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_candidates_carry_no_words(spark, folder):
+    """Three shuffles, for the mention before, the same text and the same head; none of them has a list of words."""
+    nps = spark.createDataFrame([], "doc_id bigint, ce_id bigint, sent_no bigint, start bigint, end bigint, text string, head string, head_no bigint")
+    text = explained(coref.candidate_features(nps))
+    assert text.count("Exchange hashpartitioning") == 3
+    assert "Join" not in text
+
+
+def test_the_mention_before_across_blocks(spark):
+    n = 2 * (1 << 10) + 3
+    nps = spark.range(1, n + 1).selectExpr("1L AS doc_id", "id AS ce_id", "0L AS sent_no", "concat('w', id) AS text", "concat('w', id) AS head")
+    assert rows(coref.mention_pairs(nps)) == sorted(repr((1, i, i + 1)) for i in range(1, n))
