@@ -252,6 +252,17 @@ def test_shared_folder_is_the_configured_one(spark):
     assert durable.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_segments_of_odd_texts(spark):
+    """Null and empty texts, and a sentence of many tokens; no array grows by appending, which copies it every time."""
+    assert "array_append" not in segmentation.token_spans("text")
+    long = "ab é, " * 3000
+    found = spark.createDataFrame([(0, None), (1, ""), (2, " x  y"), (3, long)], "doc_id bigint, text string").select(
+        "doc_id", F.expr(segmentation.token_spans("text", "5L")).alias("s")).collect()
+    spans_of = {r["doc_id"]: r["s"] and [tuple(s) for s in r["s"]] for r in found}
+    assert (spans_of[0], spans_of[1], spans_of[2]) == (None, [], [(6, 7, "x"), (9, 10, "y")])
+    assert len(spans_of[3]) == 9000 and all(long[a - 5:b - 5] == text for a, b, text in spans_of[3])
+
+
 def test_candidates_carry_no_words(spark, folder):
     """Three shuffles, for the mention before, the same text and the same head; none of them has a list of words."""
     nps = spark.createDataFrame([], "doc_id bigint, ce_id bigint, sent_no bigint, start bigint, end bigint, text string, head string, head_no bigint")
