@@ -275,3 +275,12 @@ def test_the_mention_before_across_blocks(spark):
     n = 2 * (1 << 10) + 3
     nps = spark.range(1, n + 1).selectExpr("1L AS doc_id", "id AS ce_id", "0L AS sent_no", "concat('w', id) AS text", "concat('w', id) AS head")
     assert rows(coref.mention_pairs(nps)) == sorted(repr((1, i, i + 1)) for i in range(1, n))
+
+
+def test_cells_shuffle_values_and_not_json(spark, folder):
+    ann = spark.createDataFrame([(1, "T", 2, 0, 3, "é\"", {"b": "2", "a": None}), (1, "T", 1, 0, 3, None, None)], S.ANNOTATIONS)
+    cells = codecs.encode_set(ann)
+    assert [tuple(r) for r in cells.collect()] == [
+        (1, "T", 0, '[{"ann_id":1,"start":0,"end":3},{"ann_id":2,"start":0,"end":3,"type":"é\\"","attrs":{"a":null,"b":"2"}}]')]
+    behind = explained(cells).split("Exchange")[1]
+    assert "to_json" not in behind and "structstojson" not in behind.lower()
