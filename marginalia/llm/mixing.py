@@ -271,7 +271,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     pieces = common.Steps(spark, "mix").keep(pieces, "pieces")
     parts = 4 * common.partitions(spark)
     last = pieces.agg(F.max("shard")).first()[0] or 0
-    own = docs.withColumn(mine, row_key()).dropDuplicates([mine, "doc_id"])
+    own = docs.withColumn(mine, row_key())
+    # Of rows that stand several times each has pieces of its own, and one of the rows gives the text of all.  Whether there are
+    # such rows is seen from the keys; only then do texts go through a shuffle for it.
+    if not lined.groupBy("key", "doc_id").count().where("count > 1").isEmpty():
+        own = own.dropDuplicates([mine, "doc_id"])
     wanted = pieces.select(F.col("key").alias(key), F.col("doc_id").alias(number), F.col("size").alias(size),
                            F.col("start_word").alias(start), F.col("n_words").alias(count),
                            F.col("shard").alias(shard), F.col("position").alias(position))

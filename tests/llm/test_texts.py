@@ -680,3 +680,13 @@ def test_an_id_on_very_many_texts_meets_each_once(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = jaccard_join.near_groups(docs, 3, Fraction(9, 10)).groupBy("doc_id", "component_id").count().collect()
     assert sorted(map(tuple, got)) == [(3, 3, 300), (4, 3, 300)]
+
+
+def test_a_mix_looks_for_repeated_rows_by_their_keys(spark):
+    """Texts go through an aggregate only where rows stand several times; the words of the mix are those that it takes either way."""
+    docs = spark.createDataFrame([(i, f"w{i} " * (40 + i), f"s{i % 3}") for i in range(60)], "doc_id bigint, text string, source string")
+    words = lambda df: df.agg(F.sum(mixing.word_count(F.col("text")))).first()[0]
+    for df, repeated in ((docs, False), (docs.union(docs.where("doc_id < 7")), True)):
+        mixed = mixing.mixed_documents(df)
+        assert ("Aggregate" in mixed._jdf.queryExecution().executedPlan().toString()) == repeated
+        assert words(mixed) == mixing.taken(df).agg(F.sum("taken")).first()[0]
