@@ -133,3 +133,16 @@ def test_a_key_with_most_rows_spreads_over_tasks(spark):
     assert with_parts.where("part <> start DIV 100").count() == 0
     held = [r["n"] for r in with_parts.groupBy("part").agg(F.count("*").alias("n")).collect()]
     assert held == [100] * 200
+
+
+def test_short_lists_are_not_ranked(spark):
+    """Keys with one part are counted and neither sorted nor joined; beside them a long list is parted as before."""
+    rows = spark.range(0, 300).selectExpr("id % 100 AS doc_id", "id AS start")
+    short = scans.in_parts(rows, ["doc_id"], ["start"], 3)
+    assert "Join" not in short._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in short.collect()) == sorted((i % 100, i, 0) for i in range(300))
+    both = scans.in_parts(rows.union(spark.range(0, 50).selectExpr("7L AS doc_id", "1000 + id AS start")), ["doc_id"], ["start"], 10)
+    of = {}
+    for r in both.orderBy("start").collect():
+        of.setdefault(r["doc_id"], []).append(r["part"])
+    assert of[7] == [i // 10 for i in range(53)] and all(of[d] == [0, 0, 0] for d in range(100) if d != 7)
