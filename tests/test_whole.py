@@ -125,3 +125,26 @@ def test_both_sides_of_a_block_agree(spark):
 
 def test_ids_of_huge_sentences_do_not_meet():
     assert S.SENTENCE_ID_STEP >= 1 << 32 and inputs.LEAF_IDS < inputs.RUN_IDS < S.SENTENCE_ID_STEP
+
+
+def test_trees_of_any_shape(spark):
+    """Bushy trees and long chains by brute force; nodes of finished rounds are not looked up again."""
+    bushy = [(1, n, (n - 1) // 3 if n else None) for n in range(200)]
+    chain = [(2, n, n - 1 if n else None) for n in range(150)]
+    edges = spark.createDataFrame([(d, n, p, f"l{n}") for d, n, p in bushy + chain], "doc_id bigint, node_id bigint, parent_id bigint, label string")
+    low = [(1, n) for n in range(67, 200)] + [(2, 149), (2, 70)]
+    leaves = spark.createDataFrame([(d, 1000 + n, n, "w", 10 * n, 10 * n + 5) for d, n in low],
+                                   "doc_id bigint, node_id bigint, parent_id bigint, label string, start bigint, `end` bigint")
+    up, want = {(d, n): p for d, n, p in bushy + chain}, {}
+    for d, n in low:
+        at = n
+        while at is not None:
+            a, z = want.get((d, at), (10 ** 9, -1))
+            want[d, at] = (min(a, 10 * n), max(z, 10 * n + 5))
+            at = up[d, at]
+    got = trees.tree_spans(edges, leaves)
+    rows = got.collect()
+    assert {(r["doc_id"], r["node_id"]): (r["start"], r["end"]) for r in rows} == want and len(rows) == len(want)
+    assert all((r["parent_id"], r["label"]) == (up[r["doc_id"], r["node_id"]], f"l{r['node_id']}") for r in rows)
+    flat = trees.tree_spans(edges.where("doc_id = 1"), leaves.where("doc_id = 1"))
+    assert "Join" not in flat._jdf.queryExecution().executedPlan().toString()
