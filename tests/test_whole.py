@@ -148,3 +148,9 @@ def test_trees_of_any_shape(spark):
     assert all((r["parent_id"], r["label"]) == (up[r["doc_id"], r["node_id"]], f"l{r['node_id']}") for r in rows)
     flat = trees.tree_spans(edges.where("doc_id = 1"), leaves.where("doc_id = 1"))
     assert "Join" not in flat._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dependency_tables_write_no_text(spark, folder):
+    toks, edges = inputs.dependency_tables(spark, folder)
+    held = spark.read.parquet(*toks.inputFiles())
+    assert held.columns == ["doc_id", "sent_no", "toks", "edges"] and "text" not in held.schema["toks"].simpleString()
