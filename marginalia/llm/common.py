@@ -2,8 +2,6 @@
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.session import prepare
+from marginalia.session import prepare, shipped
 
 # The blanks of the contracts, space and 0x09 to 0x0D.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -22,7 +20,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 _LOCAL: dict[str, str] = {}
-_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,18 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def ready(spark: SparkSession) -> SparkSession:
     """Set what right results depend on, and send the package to the Python workers once."""
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = Path(__file__).resolve().parents[1]
-        bundle = Path(tempfile.mkdtemp(prefix="marginalia-")) / "marginalia.zip"
-        with zipfile.ZipFile(bundle, "w") as out:
-            for file in package.rglob("*.py"):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(bundle))
-        _SHIPPED.add(context.applicationId)
-    # Batches of long texts stay small beside the worker's own arrays.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * SLICE_BYTES))
-    return prepare(spark)
+    return prepare(shipped(spark))
 
 
 class Steps:
