@@ -284,3 +284,52 @@ def test_cells_shuffle_values_and_not_json(spark, folder):
         (1, "T", 0, '[{"ann_id":1,"start":0,"end":3},{"ann_id":2,"start":0,"end":3,"type":"é\\"","attrs":{"a":null,"b":"2"}}]')]
     behind = explained(cells).split("Exchange")[1]
     assert "to_json" not in behind and "structstojson" not in behind.lower()
+
+
+ODD_TEXTS = [(1, None), (2, ""), (3, " \t x"), (4, "Ünï çödé. ΑΒΓ ʼn 中文字 x１２ ½ٱ١ 😀😀a😀 b‿c"), (5, "İ KELVINK K ſ  x\u0085y NEL The CAT Running. 12 12a ４ 4."),
+             (6, "a . . . b?! c\n\n.d  . \ne"), (7, "He she. Its his Dog Ⅷ ǅ ǈings, New Words"), (8, "".join(map(chr, range(1, 0x3000))))]
+
+
+def test_tokens_and_tags_by_arrays_are_those_of_the_rules(spark):
+    sents = segmentation.sentences(spark.createDataFrame(ODD_TEXTS, "doc_id bigint, text string"))
+    tagged = tagging.tagged_tokens(sents)
+    span = "t.`start` AS `start`, t.`end` AS `end`, t.`text` AS `text`"
+    tag = tagging.tag_of("t.`text`", "lower(t.`text`)", "i + 1")
+    by_rules = sents.withColumn("toks", F.expr(f"transform({segmentation.token_spans('`text`', '`start`')}, (t, i) -> struct({span}, {tag} AS tag))"))
+    assert rows(tagged) == rows(by_rules)
+    held = durable.durable(sents, "sents")
+    for df in (tagging.tagged_tokens(held), segmentation.tokens(None, held), plan.text_layers(tagging.tagged_tokens(held)),
+               tagging.sentence_noun_phrases(tagging.tagged_tokens(held))):
+        assert "lambda" not in explained(df)
+
+
+def test_phrases_are_numbered_in_the_document(spark):
+    """Without a shuffle of phrases; ids that come again are numbered over all their rows."""
+    d = spark.createDataFrame([*ODD_TEXTS, (9, "The cat. A dog saw it."), (9, "My old house. Sam ran."), (None, "The cat.")], "doc_id bigint, text string")
+    found = tagging.base_noun_phrases(d)
+    assert rows(found) == rows(tagging.number_phrases(tagging.sentence_noun_phrases(tagging.tagged_tokens(segmentation.sentences(d)))))
+    assert [r["ce_id"] for r in found.where("doc_id = 9").orderBy("ce_id").collect()] == [1, 2, 3, 4, 5]
+    assert "Exchange" not in explained(tagging.base_noun_phrases(durable.durable(d.where("doc_id < 9"), "docs")))
+
+
+def test_stored_tokens_are_spelled_once_a_row(spark):
+    """A list looked up in stored tokens spelled all tokens of a sentence anew for each of them."""
+    text = "é word, " * 50
+    d = spark.createDataFrame([(1, text), (2, "x Word")], "doc_id bigint, text string")
+    layers = durable.durable(plan.base_layers(d), "layers")
+    stored = plan.stored_sentences(layers.where("set = 'TOKEN'"), d)
+    assert rows(stored.select("doc_id", "sent_no", "toks")) == rows(segmentation.tokens(d).groupBy("doc_id", "sent_no").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("toks")))
+    listed = spark.createDataFrame([("word", "person")], "word string, type string")
+    found = entities.gazetteer_phrases(stored, listed)
+    assert found.count() == 51 and "lambdafunction(substring" not in explained(found) and "lambda i" not in explained(found)
+    assert "lambda" not in explained(found).split("Generate explode")[1].split("Project")[0]
+
+
+def test_spans_over_broken_and_missing_places(spark):
+    from marginalia.functions.words import spelled_arrays
+
+    df = spark.createDataFrame([("aébc", 10, [(10, 12), (11, 99), (13, 12), (None, 12)]), ("", 0, [(0, 3)]), (None, None, None)],
+                               "text string, start bigint, places array<struct<start:bigint,end:bigint>>")
+    got = df.select(spelled_arrays(spark)(F.col("text"), F.col("start"), F.col("places")).alias("s")).collect()
+    assert [r["s"] and [t["text"] for t in r["s"]] for r in got] == [["aé", "ébc", "", None], [""], None]
