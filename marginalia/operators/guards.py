@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marginalia.sources.codecs import item_json
+from marginalia.sources.codecs import item_bytes
 
 
 def has_text(mode: str = "empty") -> Column:
@@ -44,8 +44,7 @@ def row_sizes(docs: DataFrame, ann: DataFrame) -> DataFrame:
 
 def cell_sizes(ann: DataFrame) -> DataFrame:
     """``doc_id, set, bytes`` of the encoded sets."""
-    item = F.octet_length(item_json()).cast("bigint") + 1
-    return ann.groupBy("doc_id", "set").agg((F.sum(item) + 1).alias("bytes"))
+    return ann.groupBy("doc_id", "set").agg((F.sum(item_bytes() + 1) + 1).alias("bytes"))
 
 
 def guard_row_too_large(docs: DataFrame, ann: DataFrame, limit: int) -> DataFrame:
