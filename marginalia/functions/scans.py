@@ -109,11 +109,31 @@ def counted_on(df: DataFrame, column: str, name: str, keys=("doc_id",), at: str
 def runs(df: DataFrame, column: str, keys, at: str, bits: int = TOKEN_CELL_BITS) -> DataFrame:
     """Add ``_run``, the number of the run of equal values of ``column`` a row is in, and ``_last``, the largest ``at`` of its key."""
     cells, keys = in_cells(df, at, bits), list(keys)
+    wide = durable(cells.where("_cell <> 0").select(*keys).distinct(), "wide-keys")
+    if wide.isEmpty():
+        return _runs_of_one_cell(cells, column, keys, at).select(*df.columns, "_run", "_last")
+    few = _runs_of_one_cell(cells.join(wide, keys, "left_anti"), column, keys, at)
+    many = _runs_of_cells(cells.join(wide, keys, "left_semi").select(*df.columns, "_cell"), column, keys, at)
+    return few.select(*df.columns, "_run", "_last").unionByName(many.select(*df.columns, "_run", "_last"))
+
+
+def _changed(column: str, at: str, order) -> Column:
+    # The first row has nobody before it here.
+    return F.lag(at).over(order).isNotNull() & ~F.col(column).eqNullSafe(F.lag(column).over(order))
+
+
+def _runs_of_one_cell(df: DataFrame, column: str, keys: list[str], at: str) -> DataFrame:
+    """The same for keys that lie in the first cell: one shuffle and one sort do."""
+    for name in keys:
+        df = df.where(F.col(name).isNotNull())
+    new = df.withColumn("_new", _changed(column, at, W.partitionBy(*keys).orderBy(at)).cast("int"))
+    return new.withColumn("_run", F.sum("_new").over(_until(keys, [at]))).withColumn(
+        "_last", F.max(at).over(W.partitionBy(*keys)))
+
+
+def _runs_of_cells(cells: DataFrame, column: str, keys: list[str], at: str) -> DataFrame:
     key = [*keys, "_cell"]
-    order = W.partitionBy(*key).orderBy(at)
-    # The first row of a cell has nobody before it here.
-    changed = F.lag(at).over(order).isNotNull() & ~F.col(column).eqNullSafe(F.lag(column).over(order))
-    local = cells.withColumn("_new", changed.cast("int")).withColumn("_own", F.sum("_new").over(_until(key, [at])))
+    local = cells.withColumn("_new", _changed(column, at, W.partitionBy(*key).orderBy(at)).cast("int")).withColumn("_own", F.sum("_new").over(_until(key, [at])))
     ends = cells.groupBy(*key).agg(F.min(F.struct(at, column)).alias("_a"), F.max(F.struct(at, column)).alias("_z"))
     turn = W.partitionBy(*keys).orderBy("_cell")
     fresh = F.lag("_z").over(turn).isNull() | ~F.col(f"_a.{column}").eqNullSafe(F.lag(f"_z.{column}").over(turn))
@@ -121,5 +141,4 @@ def runs(df: DataFrame, column: str, keys, at: str, bits: int = TOKEN_CELL_BITS)
     ends = ends.join(changes, key).withColumn("_fresh", fresh.cast("int"))
     ends = ends.withColumn("_ahead", F.sum("_fresh").over(_until(keys, ["_cell"])) + _zero(F.sum("_changes").over(_until(keys, ["_cell"], -1))))
     ends = ends.withColumn("_last", F.max(f"_z.{at}").over(W.partitionBy(*keys)))
-    return local.join(ends.select(*key, "_ahead", "_last"), key).withColumn("_run", F.col("_ahead") + F.col("_own")).select(
-        *df.columns, "_run", "_last")
+    return local.join(ends.select(*key, "_ahead", "_last"), key).withColumn("_run", F.col("_ahead") + F.col("_own"))

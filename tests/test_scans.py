@@ -146,3 +146,29 @@ def test_short_lists_are_not_ranked(spark):
     for r in both.orderBy("start").collect():
         of.setdefault(r["doc_id"], []).append(r["part"])
     assert of[7] == [i // 10 for i in range(53)] and all(of[d] == [0, 0, 0] for d in range(100) if d != 7)
+
+
+def test_runs_of_short_keys_take_one_shuffle(spark):
+    from marginalia.functions.scans import runs
+
+    labels = "OAABBOA"
+    rows = [(d, 0, i, labels[i % 7]) for d, n in ((1, 7), (2, 50)) for i in range(1, n)] + [(None, 0, 1, "A")]
+    df = spark.createDataFrame(rows, "doc_id bigint, sent_no bigint, tok_no bigint, label string")
+    counts = lambda found: sorted(map(tuple, found.groupBy("doc_id", "_run", "label", "_last").count().drop("_run").collect()))
+    short = runs(df, "label", ["doc_id", "sent_no"], "tok_no")
+    # With cells of 8 tokens one key is short and one is not; with cells of 4 both go through the cells.
+    assert counts(short) == counts(runs(df, "label", ["doc_id", "sent_no"], "tok_no", 3)) == counts(runs(df, "label", ["doc_id", "sent_no"], "tok_no", 2))
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_sizes_of_cells_need_no_order_of_attributes(spark):
+    from marginalia.operators import guards
+    from marginalia.schema import ANNOTATIONS
+    from marginalia.sources import codecs
+
+    ann = spark.createDataFrame([(1, "T", 2, 0, 3, "é\"", {"b": "2", "a": None}), (1, "T", 1, 0, 3, None, None)], ANNOTATIONS)
+    cell = codecs.encode_set(ann).first()
+    sizes = guards.cell_sizes(ann)
+    assert [r["bytes"] for r in sizes.collect()] == [len(cell[3].encode())]
+    assert "array_sort" not in sizes._jdf.queryExecution().executedPlan().toString()
