@@ -1,12 +1,14 @@
 """Properties of the jobs, skewed inputs and the shape of plans."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from marginalia import schema as S
 from marginalia.catalog import inputs
-from marginalia.functions import durable
+from marginalia.functions import durable, words
 from marginalia.operators import coref, entities, guards, segmentation, spans, tagging
 from marginalia.plans import annotate as plan
 from marginalia.sources import codecs, documents, store
@@ -333,3 +335,14 @@ def test_spans_over_broken_and_missing_places(spark):
                                "text string, start bigint, places array<struct<start:bigint,end:bigint>>")
     got = df.select(spelled_arrays(spark)(F.col("text"), F.col("start"), F.col("places")).alias("s")).collect()
     assert [r["s"] and [t["text"] for t in r["s"]] for r in got] == [["aé", "ébc", "", None], [""], None]
+
+
+def test_ascii_tokens_are_tagged_together(monkeypatch):
+    texts = [".", ",", "-", "_", "x", "7", "2024", "2nd", "The", "their", "Running", "ings", "classes", "Able", "notable", "Paris", "I", "É", "éclairs"]
+    kinds = np.array([words.CAPITAL_WORD if t[0].isupper() else words.WORD if t[0].isalnum() or t[0] == "_" else words.OTHER for t in texts], np.uint8)
+    one_by_one = [tagging.word_tag(t, k) for t, k in zip(texts, kinds.tolist())]
+    asked = []
+    alone = tagging.word_tag
+    monkeypatch.setattr(tagging, "word_tag", lambda t, k: asked.append(t) or alone(t, k))
+    names, codes = tagging.word_tags(pa.array(texts), kinds)
+    assert [names[c] for c in codes] == one_by_one and asked == ["É", "éclairs"]
