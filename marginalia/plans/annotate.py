@@ -16,6 +16,11 @@ from marginalia.session import measured
 from marginalia.sources.store import put, read_cells, read_sets, replace_sets, stored_layers
 
 
+# Keys of documents that every executor may hold at once.
+FEW_DOCUMENTS = 500_000
+LAYERS = {"par": S.PAR, "sent": S.SENT, "token": S.TOKEN, "pos": S.POS}
+
+
 def _attrs(**values: Column) -> Column:
     if not values:
         none = F.array().cast("array<string>")
@@ -91,6 +96,19 @@ def text_layers(tagged: DataFrame) -> DataFrame:
     return _token_rows(tagged, _sentence_first(F.col("toks"), True))
 
 
+def flagged_layers(df: DataFrame, **wanted: Column) -> DataFrame:
+    """PAR, SENT, TOKEN and POS of documents, or SENT, TOKEN and POS of sentence rows with ``text``, in one pass.
+
+    ``wanted`` has a condition on each row for ``par``, ``sent``, ``token`` and ``pos``; a layer that is left out is not made.
+    """
+    columns = ["sent_no", "start", "end"] if "sent_no" in df.columns else []
+    flags = [F.coalesce(wanted.get(name, F.lit(False)), F.lit(False)).alias(name) for name in LAYERS]
+    rows = tagging.layer_rows(df.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in columns], "text", *flags),
+                              LAYERS, S.SENTENCE_ID_STEP)
+    attrs = F.when(F.col("set") == S.SENT, _attrs(sent_no=F.col("ann_id"))).otherwise(_attrs())
+    return rows.withColumn("attrs", attrs).select(*S.ANNOTATION_COLUMNS)
+
+
 def multi_layer_annotate(docs: DataFrame) -> DataFrame:
     """SENT, TOKEN, POS and NE of documents in one pass over the text, without a shuffle."""
     tagged = tagging.tagged_tokens(sentences(docs))
@@ -141,11 +159,10 @@ def base_layers(docs: DataFrame, existing: DataFrame | None = None) -> DataFrame
     those of the document that is made anew.
     """
     if existing is None:
-        return paragraph_layer(paragraphs(docs)).unionByName(
-            text_layers(tagging.tagged_tokens(sentences(docs))))
-    state = with_state(docs, existing)
-    gaps = Gaps(state, existing)
-    return kept_rows(state, existing).unionByName(gaps.base_layers(gaps.tagged()))
+        return flagged_layers(docs, **{name: F.lit(True) for name in LAYERS})
+    # Several steps read it; its text is shuffled once.
+    state = durable(with_state(docs, existing), "state")
+    return kept_rows(state, existing).unionByName(Gaps(state, existing).rows())
 
 
 def _redone() -> Column:
@@ -155,7 +172,11 @@ def _redone() -> Column:
 
 def kept_rows(state: DataFrame, held: DataFrame) -> DataFrame:
     """Stored rows without those that give way."""
-    redone = state.where(_redone()).select("doc_id", F.lit(True).alias("_redone"))
+    redone = durable(state.where(_redone()).select("doc_id"), "redone")
+    if redone.count() <= FEW_DOCUMENTS:
+        # The stored rows are many times more than these keys, so they stay where they are.
+        redone = F.broadcast(redone)
+    redone = redone.withColumn("_redone", F.lit(True))
     return (held.join(redone, "doc_id", "left")
             .where(F.col("_redone").isNull() | ~F.col("set").isin(S.TOKEN, S.POS)).select(*S.ANNOTATION_COLUMNS))
 
@@ -199,6 +220,20 @@ class Gaps:
         old = covered_text(self._spans(S.SENT, "sent_no", on_sents), on_sents)
         return tagging.tagged_tokens(new.withColumn("stored", F.lit(False)).unionByName(old.withColumn("stored", F.lit(True))))
 
+    def rows(self) -> DataFrame:
+        """PAR, SENT, TOKEN and POS that documents lack, without a table of tagged sentences between."""
+        of_text = ~self.has[S.PAR] & ~self.has[S.SENT]
+        plain = flagged_layers(self.lacking(S.PAR), par=F.lit(True), sent=of_text,
+                               token=of_text & self.wants_tokens, pos=of_text & self.wants_tokens)
+        on_pars, wants = self.lacking(S.SENT).where(self.has[S.PAR]), self.wants_tokens
+        on_sents = self.state.where(self.has[S.SENT] & wants)
+        parts = [(self._new_sentences(on_pars.where(wants)), True, True), (self._new_sentences(on_pars.where(~wants)), True, False),
+                 (covered_text(self._spans(S.SENT, "sent_no", on_sents), on_sents), False, True)]
+        parts = [part.select("doc_id", "sent_no", "start", "end", "text", F.lit(sent).alias("_new"), F.lit(toks).alias("_wants"))
+                 for part, sent, toks in parts]
+        sents = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        return plain.unionByName(flagged_layers(sents, sent=F.col("_new"), token=F.col("_wants"), pos=F.col("_wants")))
+
     def base_layers(self, tagged: DataFrame) -> DataFrame:
         return (paragraph_layer(paragraphs(self.lacking(S.PAR)))
                 .unionByName(text_layers(tagged.where(~F.col("stored"))))

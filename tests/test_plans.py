@@ -337,6 +337,28 @@ def test_spans_over_broken_and_missing_places(spark):
     assert [r["s"] and [t["text"] for t in r["s"]] for r in got] == [["aé", "ébc", "", None], [""], None]
 
 
+def test_layers_of_texts_are_rows_at_once(spark, folder):
+    text = explained(plan.base_layers(documents.scan_documents(spark, folder)))
+    assert "MapInArrow" in text and "Generate" not in text and "Exchange" not in text
+
+
+def test_layers_of_odd_texts(spark):
+    texts = ["", None, " ", "\n\n", "a.", "  One two.  Three!\n\nfour\n.x. .\n", "Éa ß中 ½.\u2028b", "U.S. ones\t2.5", "no end\n \n"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    apart = plan.paragraph_layer(segmentation.paragraphs(d)).unionByName(
+        plan.text_layers(tagging.tagged_tokens(segmentation.sentences(d))))
+    assert rows(flat(plan.base_layers(d))) == rows(flat(apart))
+    flags = d.withColumn("on", F.when(F.col("doc_id") == 5, True).when(F.col("doc_id") == 6, False))
+    made = plan.flagged_layers(flags, sent=F.col("on"), pos=F.col("on"))
+    assert rows(flat(made)) == rows(flat(apart.where("doc_id = 5 AND set IN ('SENT', 'POS')")))
+
+
+def test_missing_layers_leave_stored_rows_in_place(spark, folder):
+    held = durable.durable(inputs.stored(spark, folder), "stored")
+    state = durable.durable(plan.with_state(inputs.docs(spark, folder), held), "state")
+    assert "Exchange hashpartitioning" not in explained(plan.kept_rows(state, held))
+
+
 def test_ascii_tokens_are_tagged_together(monkeypatch):
     texts = [".", ",", "-", "_", "x", "7", "2024", "2nd", "The", "their", "Running", "ings", "classes", "Able", "notable", "Paris", "I", "É", "éclairs"]
     kinds = np.array([words.CAPITAL_WORD if t[0].isupper() else words.WORD if t[0].isalnum() or t[0] == "_" else words.OTHER for t in texts], np.uint8)
