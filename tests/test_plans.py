@@ -359,6 +359,12 @@ def test_missing_layers_leave_stored_rows_in_place(spark, folder):
     assert "Exchange hashpartitioning" not in explained(plan.kept_rows(state, held))
 
 
+def test_stored_sentences_are_made_once(spark, folder):
+    d = inputs.docs(spark, folder)
+    # The cut into sentences is not part of what reads their places.
+    assert "[^.!?]" not in explained(segmentation.tokens(d, segmentation.sentences(d).drop("text")))
+
+
 def test_ascii_tokens_are_tagged_together(monkeypatch):
     texts = [".", ",", "-", "_", "x", "7", "2024", "2nd", "The", "their", "Running", "ings", "classes", "Able", "notable", "Paris", "I", "É", "éclairs"]
     kinds = np.array([words.CAPITAL_WORD if t[0].isupper() else words.WORD if t[0].isalnum() or t[0] == "_" else words.OTHER for t in texts], np.uint8)
