@@ -24,6 +24,8 @@ from marginalia.llm import common
 TRIE = 512
 # Ratio of the largest to the smallest set size of a level.
 LEVEL = Fraction(7, 5)
+# Keys that a task sorts at once; the arrays beside them take about ten times their bytes.
+HELD = 1_000_000
 # Shingles that count as frequent, at most, and documents of one task that must hold them.
 FREQUENT = 1 << 20
 TOGETHER = 4
@@ -182,7 +184,7 @@ def ties(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     """``(a, b)`` signatures of sets that share a key.
 
     A task ties the sets that it reads to the first one of each key itself and hands on that one
-    only, so that a key reaches the shuffle once per task however many sets have it.
+    only, so that a key reaches the shuffle once per ``HELD`` keys of a task however many sets have it.
     """
     spark = docs.sparkSession
     listed = spark.sparkContext.broadcast(frequent_shingles(docs, n))
@@ -198,7 +200,7 @@ def ties(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
                         keys += found
                         sigs += [np.full(sum(map(len, found)), sig, np.int64)]
                         held += len(sigs[-1])
-                if held > 3_000_000:
+                if held > HELD:
                     yield from _first_of_each(keys, sigs)
                     keys, sigs, held = [], [], 0
         yield from _first_of_each(keys, sigs)
@@ -218,10 +220,10 @@ def _first_of_each(keys: list[np.ndarray], sigs: list[np.ndarray]):
     head = sig[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
     tied = np.unique(np.stack([sig[~new], head[~new]], 1), axis=0)
     tied = tied[tied[:, 0] != tied[:, 1]]
-    step = 100_000
-    for at in range(0, int(new.sum()), step):
-        k = key[new][at:at + step]
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(sig[new][at:at + step]), pa.nulls(len(k), pa.int64())],
+    step, key, sig = 100_000, key[new], sig[new]
+    for at in range(0, len(key), step):
+        k = key[at:at + step]
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(sig[at:at + step]), pa.nulls(len(k), pa.int64())],
                                          ["key", "sig", "tie"])
     if len(tied):
         # A tie travels with a key of its own, to any task.
@@ -340,9 +342,12 @@ def _joined(threshold: Fraction):
 
 
 def _links(units: DataFrame, threshold: Fraction, tasks: int) -> DataFrame:
-    """Links ``(a, b)`` that connect what links within each unit; a task streams its units, of about two tries of sets each."""
+    """Links ``(a, b)`` that connect what links within each unit; a task streams its units, of about two tries of sets each.
+
+    The links are few beside the sets, so they are brought together: a file each of so many tasks would hold next to nothing.
+    """
     return (units.repartition(tasks, "unit").sortWithinPartitions("unit")
-            .mapInArrow(_joined(threshold), "a bigint, b bigint"))
+            .mapInArrow(_joined(threshold), "a bigint, b bigint").repartition("a"))
 
 
 def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:

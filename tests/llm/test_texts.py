@@ -690,3 +690,24 @@ def test_a_mix_looks_for_repeated_rows_by_their_keys(spark):
         mixed = mixing.mixed_documents(df)
         assert ("Aggregate" in mixed._jdf.queryExecution().executedPlan().toString()) == repeated
         assert words(mixed) == mixing.taken(df).agg(F.sum("taken")).first()[0]
+
+
+def test_links_of_many_units_are_written_together(spark, tmp_path):
+    members = np.arange(50, dtype="<u8").tobytes()
+    units = spark.createDataFrame([(2 * i + j, members, i) for i in range(64) for j in range(2)], "node bigint, members binary, unit bigint")
+    path = str(tmp_path / "links")
+    jaccard_join._links(units, Fraction(4, 5), 48).write.parquet(path)
+    assert len(list((tmp_path / "links").glob("*.parquet"))) == 1
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(2 * i + 1, 2 * i) for i in range(64)]
+
+
+def test_keys_of_a_long_task_are_tied_in_pieces(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, made_words(200, i // 2) + f" w{i}") for i in range(40)], "doc_id bigint, text string").coalesce(1)
+    whole = rows_of(jaccard_join.near_groups(docs))
+    monkeypatch.setattr(jaccard_join, "HELD", 50)
+    assert rows_of(jaccard_join.near_groups(docs)) == whole
+    assert {r[2] for r in whole} == set(range(0, 40, 2))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("doc_id", "n_shingles", "component_id").collect()))
