@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.session import prepare, shipped
+from marginalia.session import prepare, shipped, write_step
 
 # The blanks of the contracts, space and 0x09 to 0x0D.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -49,19 +49,26 @@ class Steps:
                 _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="marginalia-")
             root = _LOCAL[context.applicationId]
         self.folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.held: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back."""
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        write_step(df, path)
+        self.held.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Delete written tables that no later step reads."""
         for name in names:
+            self.held.discard(name)
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def only(self, *names: str) -> None:
+        """Delete all written tables but those named."""
+        self.drop(*sorted(self.held - set(names)))
+
 
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names with as many underscores in front as it takes to clash with no column of ``df``."""

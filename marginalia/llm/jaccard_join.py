@@ -355,7 +355,7 @@ def near_groups(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5
     return grouped(docs, n, threshold).select("doc_id", "n_shingles", "component_id")
 
 
-def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), steps: common.Steps | None = None) -> DataFrame:
     """``(doc_id, n_shingles, sig, sig2, component_id)``, one row per row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that links reach.  Null and empty texts and such
@@ -367,13 +367,16 @@ def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -
     cut into pieces, and each piece is joined together with the first one.  Where that has
     tied most of a block into one component, only sets outside it still have to meet
     every piece; no pairs are written, just one link for each tied set.
+
+    What is written on the way goes as soon as nothing reads it; ``steps`` holds what the result is read from, for a caller that writes it.
     """
     spark = docs.sparkSession
-    steps = common.Steps(spark, "jaccard")
+    steps = steps or common.Steps(spark, "jaccard")
     tasks = 4 * common.partitions(spark)
     own = steps.keep(signed(docs, n), "signed")
     tied = steps.keep(ties(docs, n, threshold), "ties")
     blocks = steps.keep(common.components(tied, steps, "tied"), "blocks")
+    steps.only("signed", "blocks")
     heads = (own.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig", "sig2")
              .agg(F.min(F.struct("doc_id", "place")).alias("m"))
              .select("sig", "sig2", F.col("m.doc_id").alias("head"), F.col("m.place").alias("place")))
@@ -382,6 +385,7 @@ def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -
     inside = heads.join(blocks.withColumnRenamed("node", "sig"), "sig").select("sig", "sig2", "head", "place", "component")
     sizes = inside.groupBy("component").agg(F.count("*").alias("sets")).where("sets > 1")
     inside = steps.keep(inside.join(sizes, "component"), "inside")
+    steps.drop("blocks")
 
     def shingled(batches):
         for batch in batches:
@@ -405,6 +409,7 @@ def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -
                # Another text may have the same id and hash.
                .where("members IS NOT NULL"))
     members = steps.keep(members, "members")
+    steps.drop("inside")
 
     pieces = F.ceil(F.col("sets") / TRIE)
     piece = F.pmod(F.xxhash64("node"), pieces)
@@ -439,7 +444,9 @@ def grouped(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5)) -
         units = all_pieces.union(every).select("node", "members", F.xxhash64("component", "to", "chunk").alias("unit"))
         links = links.union(steps.keep(_links(units, threshold, tasks), "links-1"))
 
+    steps.drop("members")
     found = steps.keep(common.components(links, steps, "linked"), "found")
+    steps.only("signed", "heads", "found")
     # A component has the smallest id of its sets.
     named = (heads.join(found, F.col("sig") == F.col("node")).groupBy("component").agg(F.min("head").alias("component_id")))
     by_set = (found.join(named, "component").select("node", "component_id"))
@@ -459,8 +466,9 @@ def without_near_copies(docs: DataFrame, n: int = 5, threshold: Fraction = Fract
     """
     spark = docs.sparkSession
     steps = common.Steps(spark, "near-copies")
-    found = grouped(docs, n, threshold).where("doc_id IS NOT NULL")
+    found = grouped(docs, n, threshold, steps).where("doc_id IS NOT NULL")
     found = steps.keep(found.groupBy("doc_id", "sig", "sig2").agg(F.min("component_id").alias("component_id")), "sets")
+    steps.only("sets")
     stays = (found.where("doc_id = component_id AND sig IS NOT NULL").groupBy("component_id")
              .agg(F.min(F.struct("sig", "sig2")).alias("first")).withColumnRenamed("component_id", "doc"))
     # Only a component's own id can stand at sets that stay beside others that go.
